@@ -24,7 +24,7 @@ def plan_bytes(df: DataFrame) -> int | None:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
     except AttributeError:
         return None
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
