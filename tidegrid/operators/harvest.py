@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import text
@@ -36,11 +36,13 @@ def candidates(listing: DataFrame, config: DatasetConfig,
 
 
 def latest_per_key(rows: DataFrame, keys: Iterable[str], order: Iterable[Column | str]) -> DataFrame:
-    """The last row per key in ``order``, as a map-side combinable aggregate."""
-    keys = list(keys)
-    rest = [c for c in rows.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
-    return rows.groupBy(*keys).agg(picked).select(*keys, "row.*")
+    """The last row per key in ``order``.
+
+    A first-row rank: Spark keeps one row per key and task before it shuffles, so a hot key costs a
+    row per task, and columns nobody reads are pruned.
+    """
+    w = Window.partitionBy(*keys).orderBy(*[(F.col(c) if isinstance(c, str) else c).desc() for c in order])
+    return rows.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def _day(date: str = "date") -> Column:

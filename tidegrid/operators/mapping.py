@@ -13,6 +13,7 @@ and no result is lost.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,10 @@ def _limit_copies(sources: DataFrame, k: int) -> DataFrame:
 
 
 def _shrink(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
-    """Lower each target's radius to the tightest cube around it known to hold k sources."""
+    """Lower each target's radius to the tightest cube around it known to hold k sources.
+
+    Targets carry their columns through the lookup, so one aggregate by cell finishes the step.
+    """
     levels = F.sequence(F.lit(MIN_LEVEL), F.lit(MAX_LEVEL))
     crowded = (
         sources.select("x", "y", "z", F.explode(levels).alias("level"))
@@ -69,35 +73,33 @@ def _shrink(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
         .groupBy("level", "cube").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= k)
     )
-    # levels whose diagonal is within the radius
+    # only levels whose diagonal is within the radius; NULL where there is none
     top = F.floor(F.log2(F.greatest(F.col("r") / _DIAGONAL, F.lit(1.0)))).cast("int")
-    tight = (
-        targets.filter(top >= MIN_LEVEL)
-        .select("cell_id", "x", "y", "z",
-                F.explode(F.sequence(F.lit(MIN_LEVEL), F.least(top, F.lit(MAX_LEVEL)))).alias("level"))
-        .select("cell_id", "level", _cube(F.col("level")).alias("cube"))
-        .join(crowded, ["level", "cube"], "left_semi")
-        .groupBy("cell_id").agg(F.min("level").alias("tight"))
-    )
-    return (
-        targets.join(tight, "cell_id", "left")
-        .withColumn("r", F.coalesce(F.least(F.col("r"), _edge(F.col("tight")) * _DIAGONAL), F.col("r")))
-        .drop("tight")
+    tried = F.when(top >= MIN_LEVEL, F.sequence(F.lit(MIN_LEVEL), F.least(top, F.lit(MAX_LEVEL))))
+    columns = targets.columns
+    found = (
+        targets.withColumn("level", F.explode_outer(tried))
+        .withColumn("cube", _cube(F.col("level")))
+        .join(crowded, ["level", "cube"], "left")
+        .groupBy(*columns).agg(F.min(F.when(F.col("n").isNotNull(), F.col("level"))).alias("tight"))
     )
+    return found.withColumn(
+        "r", F.coalesce(F.least(F.col("r"), _edge(F.col("tight")) * _DIAGONAL), F.col("r"))
+    ).drop("tight")
 
 
 def nearest_within(
-    targets: DataFrame, sources: DataFrame, radius: Column, k: int | None,
+    targets: DataFrame, sources: DataFrame, radius: Column, k: int | None, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs (cell_id, src_id, dist_m, rank) with distance within ``radius``, at most k per target.
 
     ``targets`` has cell_id, lon, lat (one row per cell) and whatever ``radius`` needs; ``sources``
     has src_id, lon, lat. Rank 1 is the closest; ties go to the smaller ``src_id``. ``k=None`` keeps
-    all pairs.
+    all pairs. ``carry`` names target columns to keep.
     """
     if k is not None and k < 1:
         raise ValueError("the neighbour limit must be at least 1")
-    t = _positions(targets.withColumn("r", radius.cast("double")), "cell_id", "r").filter(F.col("r") >= 0)
+    t = _positions(targets.withColumn("r", radius.cast("double")), "cell_id", "r", *carry).filter(F.col("r") >= 0)
     s = _positions(sources, "src_id")
     if k is not None:
         s = _limit_copies(s, k)
@@ -109,7 +111,7 @@ def nearest_within(
         t.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
         .withColumn("dz", F.explode(around))
         .select(
-            "cell_id", "level", "r", F.col("x").alias("tx"), F.col("y").alias("ty"),
+            "cell_id", *carry, "level", "r", F.col("x").alias("tx"), F.col("y").alias("ty"),
             F.col("z").alias("tz"),
             _pack(_axis(F.col("x"), lv) + F.col("dx"), _axis(F.col("y"), lv) + F.col("dy"),
                   _axis(F.col("z"), lv) + F.col("dz")).alias("cube"),
@@ -126,7 +128,7 @@ def nearest_within(
         lookups.join(placed, ["level", "cube"])
         .withColumn("dist_m", chord(("tx", "ty", "tz"), ("x", "y", "z")))
         .filter(F.col("dist_m") <= F.col("r"))
-        .select("cell_id", "src_id", "dist_m")
+        .select("cell_id", "src_id", "dist_m", *carry)
     )
     w = Window.partitionBy("cell_id").orderBy("dist_m", "src_id")
     ranked = pairs.withColumn("rank", F.row_number().over(w))
@@ -164,14 +166,19 @@ def build_mapping(targets: DataFrame, sources: DataFrame, max_spacing_m: float,
     """The mapping table: radius pairs, and the nearest source of targets that have none.
 
     ``kind`` is ``radius`` or ``nearest``. A target never has both, so applying the mapping needs
-    one join and one aggregate, fallback included.
+    one join and one aggregate, fallback included. Both kinds come from one search as far as the
+    larger of the two distances: the closest source is the fallback exactly when it lies outside
+    the target's own radius.
     """
-    hits = radius_pairs(targets, sources, max_neighbours, search_radius_m)
-    missed = targets.join(hits.select("cell_id").distinct(), "cell_id", "left_anti")
-    fallback = nearest_pairs(missed, sources, max_spacing_m)
-    return hits.withColumn("kind", F.lit("radius")).unionByName(
-        fallback.withColumn("kind", F.lit("nearest"))
-    )
+    own = F.col("radius_m")
+    if search_radius_m is not None:
+        own = F.least(own, F.lit(float(int(search_radius_m))))
+    reach = F.lit(float(int(max_spacing_m)))
+    pairs = nearest_within(
+        targets.withColumn("own", own), sources, F.greatest(F.col("own"), reach), max_neighbours, carry=("own",))
+    inside = F.col("dist_m") <= F.col("own")
+    kind = F.when(inside, F.lit("radius")).when((F.col("rank") == 1) & (F.col("dist_m") <= reach), F.lit("nearest"))
+    return pairs.withColumn("kind", kind).filter(F.col("kind").isNotNull()).drop("own")
 
 
 MAPPING_PARTITIONS = ["ds", "grid", "hemi", "t_version"]

@@ -22,8 +22,12 @@ def hemi_priority(hemi: Column | str = "hemi") -> Column:
 
 def hemi_merge(records: DataFrame, keys: Sequence[str], order: Sequence[Column], cell: str = "cell_id",
                value: str = "value") -> DataFrame:
-    """First non-missing value per (keys, cell) in ``order``; any number of overlapping records."""
-    rank = F.when(F.col(value).isNotNull(), F.struct(*order))
+    """First non-missing value per (keys, cell) in ``order``; any number of overlapping records.
+
+    A single numeric order column keeps the aggregate on fixed-width buffers, which Spark hashes;
+    several columns, or text, make it sort. Give one where records of a hemisphere are unique.
+    """
+    rank = F.when(F.col(value).isNotNull(), order[0] if len(order) == 1 else F.struct(*order))
     return records.groupBy(*keys, cell).agg(F.min_by(value, rank).alias(value))
 
 
@@ -103,6 +107,16 @@ def drop_empty_days(series: DataFrame, keys: Sequence[str], date: str = "date",
     return spread_join(series, valid, day, salt_from=["cell_id"], how="left_semi")
 
 
+def days_with_data(series: DataFrame, keys: Sequence[str], date: str = "date", value: str = "value") -> DataFrame:
+    """Days of each (keys, year, month) on which some cell has a value; days fold before they are counted."""
+    day = F.col(date).cast("date")
+    return (
+        series.filter(F.col(value).isNotNull())
+        .select(*keys, F.year(day).alias("year"), F.month(day).alias("month"), day.alias("d"))
+        .groupBy(*keys, "year", "month").agg(F.count_distinct("d").alias("need"))
+    )
+
+
 def monthly_mean(
     series: DataFrame,
     keys: Sequence[str],
@@ -111,6 +125,7 @@ def monthly_mean(
     date: str = "date",
     value: str = "value",
     cell: str = "cell_id",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Twelve monthly means per (keys, cell, year) with their windows.
 
@@ -119,7 +134,8 @@ def monthly_mean(
     leaves out days on which no cell of the record has a value.
 
     One shuffle: twelve conditional sums fold on the map side. The days each month must have come
-    from the calendar, or from a small per-month count of days with data.
+    from the calendar, or from a small per-month count of days with data (``days``, computed by
+    ``days_with_data`` unless a stored one is given).
     """
     day = F.col(date).cast("date")
     month = F.month(day)
@@ -144,14 +160,10 @@ def monthly_mean(
     if skipna:
         out = long.withColumn(value, mean)
     elif not drop_empty:
-        days = F.day(F.last_day(F.make_date(F.col("year"), F.col("month"), F.lit(1))))
-        out = long.withColumn(value, F.when(F.col("n") == days, mean))
+        calendar = F.day(F.last_day(F.make_date(F.col("year"), F.col("month"), F.lit(1))))
+        out = long.withColumn(value, F.when(F.col("n") == calendar, mean))
     else:
-        valid = (
-            series.filter(F.col(value).isNotNull())
-            .select(*keys, F.year(day).alias("year"), month.alias("month"), day.alias("d"))
-            .groupBy(*keys, "year", "month").agg(F.count_distinct("d").alias("need"))
-        )
+        valid = days_with_data(series, keys, date, value) if days is None else days
         on = [*keys, "year", "month"]
         out = spread_join(long, valid, on, salt_from=[cell], how="left").withColumn(
             value, F.when(F.col("n") == F.col("need"), mean))
@@ -170,9 +182,10 @@ def year_stats(series: DataFrame, keys: Sequence[str], date: str = "date", value
     )
 
 
-def savable(series: DataFrame, keys: Sequence[str], date: str = "date", value: str = "value") -> DataFrame:
-    """Rows of years that have at least one value."""
-    full = year_stats(series, keys, date, value).filter("has_data").select(*keys, "year")
+def savable(series: DataFrame, keys: Sequence[str], date: str = "date", value: str = "value",
+            stats: DataFrame | None = None) -> DataFrame:
+    """Rows of years that have at least one value; ``stats`` saves recomputing ``year_stats``."""
+    full = (year_stats(series, keys, date, value) if stats is None else stats).filter("has_data").select(*keys, "year")
     rows = series.withColumn("year", _year_of(date))
     return spread_join(rows, full, [*keys, "year"], salt_from=["cell_id"], how="left_semi")
 

@@ -11,21 +11,24 @@ from tidegrid.operators import planning, state, temporal
 from tidegrid.schemas import DatasetConfig
 from tidegrid.sinks.products import write_product
 from tidegrid.sinks.store import StateStore
-from tidegrid.sizing import spread_join
+from tidegrid.sizing import materialize, spread_join
 
 SERIES_KEYS = ("ds", "grid", "field")
 
 
-def merged_series(records: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
-    """One value per (series, date, cell): hemispheres of a date merged by priority."""
-    order = [temporal.hemi_priority("hemi"), F.col("filename")]
+def merged_series(records: DataFrame, keys: Sequence[str] = SERIES_KEYS, unique: bool = False) -> DataFrame:
+    """One value per (series, date, cell): hemispheres of a date merged by priority.
+
+    ``unique`` says that a hemisphere has at most one record per date; otherwise file names break ties.
+    """
+    order = [temporal.hemi_priority("hemi")] + ([] if unique else [F.col("filename")])
     return temporal.hemi_merge(records, [*keys, "date"], order)
 
 
-def daily_product(series: DataFrame, cells: DataFrame, config: DatasetConfig,
+def daily_product(series: DataFrame, cells: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
                   keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """The annual series with empty records for missing dates; years without data are left out."""
-    rows = temporal.savable(series, keys)
+    rows = temporal.savable(series, keys, stats=stats).drop("year")
     dates = rows.select(*keys, "date").distinct()
     monthly = config.time_scale == "monthly"
     gaps = temporal.missing_months(dates, keys) if monthly else temporal.missing_days(dates, keys)
@@ -34,11 +37,30 @@ def daily_product(series: DataFrame, cells: DataFrame, config: DatasetConfig,
     return full.withColumn("year", F.year("date"))
 
 
-def monthly_product(series: DataFrame, config: DatasetConfig, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+def monthly_product(series: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
+                    days: DataFrame | None = None, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """Monthly means of the years that have data, straight from the sparse series."""
-    return temporal.monthly_mean(
-        temporal.savable(series, keys).drop("year"), keys, skipna=config.skipna,
-        drop_empty=config.drop_empty_days)
+    rows = temporal.savable(series, keys, stats=stats).drop("year")
+    return temporal.monthly_mean(rows, keys, skipna=config.skipna, drop_empty=config.drop_empty_days, days=days)
+
+
+def write_products(series: DataFrame, cells: DataFrame, config: DatasetConfig, daily_path: str, monthly_path: str,
+                   staging: str) -> DataFrame:
+    """Write a dataset's annual products and return the statistics of its years.
+
+    The merged series is stored once and read by every step; the small per-year and per-month tables
+    are stored too, so the joins on them are planned with their real size.
+    """
+    series = materialize(series, f"{staging}/series")
+    stats = materialize(temporal.year_stats(series, SERIES_KEYS), f"{staging}/stats")
+    monthly_only = config.time_scale == "monthly"
+    write_product(daily_product(series, cells, config, stats), monthly_path if monthly_only else daily_path)
+    if config.do_monthly and not monthly_only:
+        days = None
+        if config.drop_empty_days and not config.skipna:
+            days = materialize(temporal.days_with_data(series, SERIES_KEYS), f"{staging}/days")
+        write_product(monthly_product(series, config, stats, days), monthly_path)
+    return stats
 
 
 def plan(store: StateStore, targets: DataFrame, versions: DataFrame) -> DataFrame:
@@ -54,16 +76,12 @@ def plan(store: StateStore, targets: DataFrame, versions: DataFrame) -> DataFram
 
 
 def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame, config: DatasetConfig,
-        daily_path: str, monthly_path: str, now: Column) -> None:
+        daily_path: str, monthly_path: str, staging: str, now: Column) -> None:
     """Aggregate the planned years, write the products, record the outcome."""
+    todo = materialize(todo, f"{staging}/todo")
     wanted = spread_join(records.withColumn("year", F.year("date")), todo, list(planning.AGG_KEY),
                          salt_from=["cell_id"], how="left_semi").drop("year")
-    series = merged_series(wanted)
-    monthly_only = config.time_scale == "monthly"
-    write_product(daily_product(series, cells, config), monthly_path if monthly_only else daily_path)
-    if config.do_monthly and not monthly_only:
-        write_product(monthly_product(series, config), monthly_path)
-    stats = temporal.year_stats(series, SERIES_KEYS)
+    stats = write_products(merged_series(wanted), cells, config, daily_path, monthly_path, staging)
     rows = todo.join(stats, list(planning.AGG_KEY), "left").select(
         *planning.AGG_KEY, F.lit(True).alias("success"), now.alias("agg_time"),
         F.lit(config.a_version).alias("version"), F.lit("").alias("message"),

@@ -15,8 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Flat schema from ``name TYPE`` pairs; needs no session."""
+    pairs = (part.split() for part in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 REMOTE_GRANULE = _schema("ds STRING, url STRING, filename STRING, mod_time TIMESTAMP, date TIMESTAMP, hemi STRING")
@@ -205,12 +213,14 @@ class DatasetConfig:
         )
 
 
+_NAMES = T.ArrayType(T.StringType())
 CONFIG_TABLE = _schema(
     "ds STRING, start STRING, end STRING, time_scale STRING, hemi_north STRING, hemi_south STRING,"
-    " t_version DOUBLE, a_version STRING, strategy STRING, variable STRING, active BOOLEAN,"
-    " fields ARRAY<STRUCT<name: STRING, long_name: STRING, standard_name: STRING, units: STRING,"
-    " pre_transformations: ARRAY<STRING>, post_transformations: ARRAY<STRING>>>"
-)
+    " t_version DOUBLE, a_version STRING, strategy STRING, variable STRING, active BOOLEAN"
+).add("fields", T.ArrayType(
+    _schema("name STRING, long_name STRING, standard_name STRING, units STRING")
+    .add("pre_transformations", _NAMES).add("post_transformations", _NAMES)
+))
 
 
 def config_table(spark: SparkSession, configs: Iterable[DatasetConfig]) -> DataFrame:

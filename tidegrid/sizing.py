@@ -33,6 +33,16 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Data
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a shared folder and read it back.
+
+    Cuts lineage so that a lost executor does not recompute everything before, lets several readers
+    share the work, and gives the planner the real size.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,

@@ -18,6 +18,8 @@ JSON_ENTRY = (
     "STRUCT<id: STRING, collection_concept_id: STRING, updated: STRING,"
     " links: ARRAY<STRUCT<rel: STRING, href: STRING>>>"
 )
+_XML_ENTRY = "_urlPath: STRING, date: ARRAY<STRUCT<_VALUE: STRING, _type: STRING>>"
+XML_CATALOG = f"dataset ARRAY<STRUCT<dataset: ARRAY<STRUCT<{_XML_ENTRY}, dataset: ARRAY<STRUCT<{_XML_ENTRY}>>>>>>"
 # Time text in the listings.
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 LINK_TIME = "dd-MMM-yyyy HH:mm"
@@ -88,13 +90,9 @@ def year_folders(pages: DataFrame, start: str, end: str, body: str = "body", url
     )
 
 
-def _element_values(body: Column, path: str) -> Column:
-    return F.xpath(body, F.lit(path))
-
-
 def catalog_refs(pages: DataFrame, start: str, end: str, body: str = "body") -> DataFrame:
     """Catalogue folders: titles within the range of years; non-numeric ones stay, monthly ones go."""
-    titles = _element_values(F.col(body), '//*[local-name()="catalogRef"]/@*[local-name()="title"]')
+    titles = F.xpath(F.col(body), F.lit('//*[local-name()="catalogRef"]/@*[local-name()="title"]'))
     keep_cols = [c for c in pages.columns if c != body]
     year = F.col("title").try_cast("int")
     return (
@@ -120,17 +118,25 @@ def _month(text: str, now: int = 12) -> int:
 
 
 def entries_xml(pages: DataFrame, file_server: str, body: str = "body") -> DataFrame:
-    """Catalogue page: nested ``dataset`` elements that have an address and a date."""
-    inner = '//*[local-name()="dataset"]//*[local-name()="dataset"][@urlPath]'
-    listed = F.arrays_zip(
-        _element_values(F.col(body), inner + "/@urlPath").alias("path"),
-        _element_values(F.col(body), inner + '/*[local-name()="date"]/text()').alias("date"),
-    )
+    """Catalogue page: ``dataset`` elements with an address, one or two levels below another one.
+
+    A page is parsed once; address and date come from the same element, so one without a date keeps
+    its own missing time.
+    """
+    doc = F.from_xml(F.col(body), XML_CATALOG, {"ignoreNamespace": "true", "rowTag": "catalog"})
+    inner = lambda d: F.coalesce(d["dataset"], F.array())
+    plain = lambda e: F.struct(e["_urlPath"].alias("path"), F.get(e["date"], F.lit(0))["_VALUE"].alias("date"))
+    second = F.coalesce(F.col("top.dataset"), F.array())
+    third = F.flatten(F.transform(second, inner))
+    entries = F.concat(F.transform(second, plain), F.transform(third, plain))
     keep = [c for c in pages.columns if c not in (body, "url")]
-    return pages.select(*keep, F.explode(listed).alias("d")).select(
-        *keep,
-        _join_url(F.lit(file_server), F.col("d.path")).alias("url"),
-        F.try_to_timestamp(F.col("d.date"), F.lit(XML_TIME)).alias("mod_time"),
+    return (
+        # exploding the outer elements first keeps the parse from being repeated per use
+        pages.select(*keep, F.explode(doc["dataset"]).alias("top"))
+        .select(*keep, F.explode(F.filter(entries, lambda e: e["path"].isNotNull())).alias("d"))
+        .select(
+            *keep, _join_url(F.lit(file_server), F.col("d.path")).alias("url"),
+            F.try_to_timestamp(F.trim(F.col("d.date")), F.lit(XML_TIME)).alias("mod_time"))
     )
 
 

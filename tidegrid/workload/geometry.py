@@ -202,7 +202,7 @@ def map_count(v: Views):
 @query("mapping_table", sql("m_all", "SELECT cell_id, src_id, kind FROM m_all"))
 def mapping_table(v: Views):
     """Radius pairs, and the nearest source of targets without any."""
-    return v.mapping.select("cell_id", "src_id", "kind")
+    return mapping.build_mapping(v.tgt, v.src, v.MAX_SPACING_M).select("cell_id", "src_id", "kind")
 
 
 @query("mapping_reuse", sql("m_all", "SELECT kind, count(*) AS n, count(DISTINCT cell_id) AS cells FROM m_all GROUP BY kind"))
@@ -322,14 +322,14 @@ def llc_compact_index(v: Views):
 
 
 @query("pack_record", sql("b_val", """
-    SELECT event_type, b AS block, b * 1024 AS offset, 1024 AS n_bytes
-    FROM (SELECT DISTINCT event_type, event_id // 256 AS b FROM b_val) ORDER BY ALL"""))
+    SELECT event_type, b AS block, b * 16384 AS offset, 16384 AS n_bytes
+    FROM (SELECT DISTINCT event_type, event_id // 4096 AS b FROM b_val) ORDER BY ALL"""))
 def pack_record(v: Views):
     """Blocks of big-endian floats, one record per event type, with their offsets."""
     n = v.events.count()
-    n_cells = -(-n // 256) * 256
+    n_cells = -(-n // 4096) * 4096
     rows = v.value_events.select("event_type", "event_id", "value")
-    blocks = pack_records(rows, ["event_type"], F.col("event_id"), n_cells, block_cells=256)
+    blocks = pack_records(rows, ["event_type"], F.col("event_id"), n_cells, block_cells=4096)
     return blocks.select("event_type", "block", "offset", F.octet_length("data").alias("n_bytes"))
 
 

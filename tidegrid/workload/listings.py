@@ -11,7 +11,13 @@ from tidegrid.sources import listings
 from tidegrid.workload.registry import Views, query, ts_text
 from tidegrid.workload.sqltext import TS, sql
 
-KEY = F.col("o_orderkey").cast("string")
+def _key():
+    return F.col("o_orderkey").cast("string")
+
+
+def _orders(v: Views):
+    """Orders spread over tasks: parsing is CPU work and the table is a single row group."""
+    return v.orders.repartition("o_orderkey")
 
 
 @query("listing_links", sql("", r"""
@@ -26,9 +32,9 @@ def listing_links(v: Views):
 
 def _dir_pages(v: Views):
     day = F.date_format("o_orderdate", "dd-MMM-yyyy")
-    link = lambda h: F.concat(F.lit('<a href="G'), KEY, F.lit(f'_{h}.nc">G</a>  '), day, F.lit(" 03:0"), (F.col("o_orderkey") % 10).cast("string"), F.lit("  12K\n"))
-    return v.orders.select(
-        "o_orderkey", F.concat(F.lit("https://host/list/"), KEY, F.lit("/")).alias("url"),
+    link = lambda h: F.concat(F.lit('<a href="G'), _key(), F.lit(f'_{h}.nc">G</a>  '), day, F.lit(" 03:0"), (F.col("o_orderkey") % 10).cast("string"), F.lit("  12K\n"))
+    return _orders(v).select(
+        "o_orderkey", F.concat(F.lit("https://host/list/"), _key(), F.lit("/")).alias("url"),
         F.concat(F.lit('<pre><a href="../">Parent</a> -\n'), link("nh"), link("sh"), F.lit("</pre>")).alias("body"))
 
 
@@ -64,15 +70,15 @@ def listing_year_folders(v: Views):
 def listing_json(v: Views):
     """Search results with a data link of the provider, and rejected ones without."""
     entry = lambda i, link: F.struct(
-        F.concat(F.lit(i), KEY).alias("id"), F.lit("C1").alias("collection_concept_id"),
+        F.concat(F.lit(i), _key()).alias("id"), F.lit("C1").alias("collection_concept_id"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T04:05:06.000Z")).alias("updated"),
         F.array(
-            F.struct(F.lit("http://other/rel#").alias("rel"), F.concat(F.lit("https://provA/x/"), KEY).alias("href")),
-            F.struct(F.lit(listings.DATA_RELATION).alias("rel"), F.concat(F.lit("https://provB/d/G"), KEY).alias("href")),
-            F.struct(F.lit(link).alias("rel"), F.concat(F.lit("https://provA/d/G"), KEY, F.lit(".nc")).alias("href")),
+            F.struct(F.lit("http://other/rel#").alias("rel"), F.concat(F.lit("https://provA/x/"), _key()).alias("href")),
+            F.struct(F.lit(listings.DATA_RELATION).alias("rel"), F.concat(F.lit("https://provB/d/G"), _key()).alias("href")),
+            F.struct(F.lit(link).alias("rel"), F.concat(F.lit("https://provA/d/G"), _key(), F.lit(".nc")).alias("href")),
         ).alias("links"))
     body = F.to_json(F.array(entry("E", listings.DATA_RELATION), entry("X", "http://other/rel#")))
-    pages = v.orders.select("o_orderkey", F.lit("https://api/search").alias("url"), body.alias("body"))
+    pages = _orders(v).select("o_orderkey", F.lit("https://api/search").alias("url"), body.alias("body"))
     rows = listings.entries_json(pages, "provA")
     return rows.select("o_orderkey", "id", "url", ts_text("mod_time").alias("mod_time"), "reject_reason")
 
@@ -82,7 +88,7 @@ def listing_json(v: Views):
 def listing_rejected(v: Views):
     """Rows split off because they have no address."""
     entry = F.struct(
-        F.concat(F.lit("X"), KEY).alias("id"), F.lit("2020-01-01T00:00:00.000Z").alias("updated"),
+        F.concat(F.lit("X"), _key()).alias("id"), F.lit("2020-01-01T00:00:00.000Z").alias("updated"),
         F.array(F.struct(F.lit("none").alias("rel"), F.lit("https://provA/").alias("href"))).alias("links"))
     pages = v.orders.select("o_orderkey", F.to_json(F.array(entry)).alias("body"))
     _, bad = listings.split_rejected(listings.entries_json(pages, "provA"))
@@ -96,12 +102,12 @@ def listing_rejected(v: Views):
 def listing_xml(v: Views):
     """Nested catalogue entries, default namespace included."""
     item = lambda p: F.concat(
-        F.lit('<dataset name="a" urlPath="d/G'), KEY, F.lit(f'_{p}.nc"><dataSize units="Mbytes">1</dataSize><date type="modified">'),
+        F.lit('<dataset name="a" urlPath="d/G'), _key(), F.lit(f'_{p}.nc"><dataSize units="Mbytes">1</dataSize><date type="modified">'),
         F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(f"T07:08:0{p}Z</date></dataset>"))
     body = F.concat(
         F.lit('<catalog xmlns="http://www.unidata.ucar.edu/namespaces/thredds/InvCatalog/v1.0" xmlns:xlink="http://www.w3.org/1999/xlink">'
               '<dataset name="top">'), item(1), item(2), F.lit("</dataset></catalog>"))
-    pages = v.orders.select("o_orderkey", F.lit("https://files/catalog.xml").alias("url"), body.alias("body"))
+    pages = _orders(v).select("o_orderkey", F.lit("https://files/catalog.xml").alias("url"), body.alias("body"))
     rows = listings.entries_xml(pages, "https://files/server/")
     return rows.select("o_orderkey", "url", ts_text("mod_time").alias("mod_time"))
 
@@ -115,7 +121,7 @@ def listing_xml_refs(v: Views):
     body = F.concat(
         F.lit('<catalog xmlns="http://c" xmlns:xlink="http://www.w3.org/1999/xlink">'),
         ref(F.year("o_orderdate").cast("string")), ref(F.lit("monthly")), ref(F.lit("reprocessed")), F.lit("</catalog>"))
-    pages = v.orders.select("o_orderkey", body.alias("body"))
+    pages = _orders(v).select("o_orderkey", body.alias("body"))
     return listings.catalog_refs(pages, "19960101T00:00:00Z", "19991231T00:00:00Z")
 
 
@@ -138,11 +144,11 @@ def listing_month_folders(v: Views):
 def listing_table_rows(v: Views):
     """Table rows between the headers and the footer."""
     row = lambda p: F.concat(
-        F.lit('<tr><td><img></td><td><a href="F'), KEY, F.lit(f'_{p}.tgz">F</a></td><td align="right">'),
+        F.lit('<tr><td><img></td><td><a href="F'), _key(), F.lit(f'_{p}.tgz">F</a></td><td align="right">'),
         F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(f" 11:2{p}  </td><td>5M</td></tr>\n"))
     head = "<table><tr><th>Name</th></tr><tr><th><hr></th></tr><tr><td></td><td><a href=\"/\">Parent</a></td></tr>"
     body = F.concat(F.lit(head), row(1), row(2), F.lit("<tr><th><hr></th></tr></table>"))
-    pages = v.orders.select("o_orderkey", F.lit("https://host/t").alias("url"), body.alias("body"))
+    pages = _orders(v).select("o_orderkey", F.lit("https://host/t").alias("url"), body.alias("body"))
     return listings.entries_table(pages).select("o_orderkey", "position", "url", ts_text("mod_time").alias("mod_time"))
 
 
@@ -188,7 +194,7 @@ def exclude_tags(v: Views):
     """Near-real-time and fast-track files go."""
     p = F.col("o_orderpriority")
     tag = F.when(p == "1-URGENT", "NRT").when(p == "2-HIGH", "icdrft").otherwise("cdr")
-    named = v.orders.withColumn("filename", F.concat(F.lit("ice_"), tag, F.lit("_"), KEY))
+    named = v.orders.withColumn("filename", F.concat(F.lit("ice_"), tag, F.lit("_"), _key()))
     return named.filter(text.without_tags("filename", (text.NEAR_REAL_TIME_TAG, text.FAST_TRACK_TAG))).select("o_orderkey")
 
 

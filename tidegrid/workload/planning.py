@@ -80,7 +80,7 @@ def _outputs(v: Views):
         F.col("version").alias("output_version"))
 
 
-_FS = """WITH fs AS (
+_FS = """, fs AS (
     SELECT p.*, t.date + INTERVAL 30 DAY AS output_mtime,
            coalesce(t.date + INTERVAL 30 DAY > p.source_mtime AND t.version = p.t_version, FALSE) AS current
     FROM plan2 p LEFT JOIN b_tx t USING (ds, filename, grid, field))"""

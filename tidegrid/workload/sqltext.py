@@ -74,8 +74,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                'TG' || l_orderkey || '.nc' || l_returnflag || l_linestatus AS id
         FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus
-            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC, l_quantity DESC,
-                     l_extendedprice DESC, l_discount DESC, l_tax DESC) = 1"""),
+            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC) = 1"""),
     "b_agg": (("b_tx",), """
         SELECT ds || '-' || grid || '-' || field || '-' || year AS id, ds, grid, field, year, success,
                last + to_days(3) AS agg_time, CASE WHEN year <= 1997 THEN '1.0' ELSE '2.0' END AS version,

@@ -17,7 +17,9 @@ from tidegrid.sources import state as src
 from tidegrid.workload.registry import Views, query, ts_text
 from tidegrid.workload.sqltext import TS, sql
 
-NOW = F.lit("2002-01-01").cast("timestamp")
+def _now():
+    """A fixed present, so that results are comparable."""
+    return F.lit("2002-01-01").cast("timestamp")
 
 
 @query("state_scan", sql("b_tx", f"""
@@ -146,7 +148,7 @@ def record_results(v: Views):
     """Finished work recorded; file columns only on success; results without id are left out."""
     tx = v.tx.withColumns({
         "in_progress": F.lit(True), "output_name": F.lit(None).cast("string"), "output_path": F.lit(None).cast("string"), "checksum": F.lit(None).cast("string")})
-    updates, _ = ops.result_updates(_results(v), NOW, F.lit(3.0))
+    updates, _ = ops.result_updates(_results(v), _now(), F.lit(3.0))
     out = ops.record_results(tx, updates)
     return out.select("id", "in_progress", "success", "message", "output_name", "version", ts_text("completed").alias("completed"))
 
@@ -154,7 +156,7 @@ def record_results(v: Views):
 @query("results_without_id", sql("b_tx", "SELECT count(*) AS n FROM b_tx WHERE grid <> 'N' AND field <> 'F'"))
 def results_without_id(v: Views):
     """Results that cannot be recorded."""
-    return ops.result_updates(_results(v), NOW, F.lit(3.0))[1].agg(F.count(F.lit(1)).alias("n"))
+    return ops.result_updates(_results(v), _now(), F.lit(3.0))[1].agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("failure_fanout", sql("b_tx", """
@@ -179,7 +181,7 @@ def granule_result(v: Views):
     known = v.granule.filter("o_orderstatus <> 'O'").select("ds", "filename", "id", "download_time")
     files = v.granule.filter("success").select(
         "filename", F.concat(F.lit("/new/"), "filename").alias("path"), "size", "checksum", (F.col("mod_time") + F.make_interval(days=F.lit(1))).alias("mtime"))
-    out = ops.granule_results(attempts, known, files, NOW).join(v.granule.select("filename", "o_orderkey"), "filename")
+    out = ops.granule_results(attempts, known, files, _now()).join(v.granule.select("filename", "o_orderkey"), "filename")
     return out.select("o_orderkey", "id", "success", "path", "checksum", "size", "message", ts_text("download_time").alias("download_time"), ts_text("mod_time").alias("mod_time"))
 
 
@@ -239,7 +241,7 @@ def grid_cascade(v: Views):
 def grid_register(v: Views):
     """Grid table after new and changed grids are registered."""
     reg, found = _grids(v)
-    return ops.register_grids(reg, found, NOW).select("grid", "id", "checksum", "path", ts_text("added").alias("added"))
+    return ops.register_grids(reg, found, _now()).select("grid", "id", "checksum", "path", ts_text("added").alias("added"))
 
 
 _STATUS = """CASE WHEN n_success = 0 AND n_failed = 0 THEN '{none}' WHEN n_success = 0 THEN '{no}' WHEN n_failed > 0 THEN n_failed || '{bad}' ELSE '{fine}' END"""
@@ -293,7 +295,7 @@ def dataset_dates(v: Views):
 def dataset_row(v: Views):
     """Dataset-table updates after a harvest, written and read back."""
     store = StateStore(v.spark, shared_dir(v.spark, "state"))
-    store.upsert("dataset", ops.dataset_rows(v.granule, NOW))
+    store.upsert("dataset", ops.dataset_rows(v.granule, _now()))
     out = store.read("dataset")
     return out.select("ds", "n_granules", "n_success", "n_failed", ts_text("start_date").alias("start_date"), ts_text("end_date").alias("end_date"), "harvest_status")
 
@@ -304,8 +306,8 @@ def dataset_row(v: Views):
 def stage_writeback(v: Views):
     """Stage status written to the dataset table next to what is there."""
     store = StateStore(v.spark, shared_dir(v.spark, "state"))
-    store.upsert("dataset", ops.dataset_rows(v.granule, NOW))
-    status = ops.transformation_status(v.tx).select("ds", F.col("status").alias("transformation_status"), NOW.alias("last_transformation"))
+    store.upsert("dataset", ops.dataset_rows(v.granule, _now()))
+    status = ops.transformation_status(v.tx).select("ds", F.col("status").alias("transformation_status"), _now().alias("last_transformation"))
     store.upsert("dataset", status)
     return store.read("dataset").select("ds", "transformation_status", ts_text("last_transformation").alias("last_transformation"), "n_granules")
 

@@ -8,7 +8,7 @@ from tidegrid.operators import temporal as ops
 from tidegrid.schemas import DatasetConfig, FieldConfig
 from tidegrid.session import shared_dir
 from tidegrid.plans import aggregate
-from tidegrid.sinks.products import write_product, write_regridded
+from tidegrid.sinks.products import write_regridded
 from tidegrid.workload.registry import Views, query, ts_text
 from tidegrid.workload.sqltext import TS, sql
 
@@ -180,7 +180,7 @@ def time_coverage(v: Views):
     return out.select("field", ts_text("coverage_start").alias("coverage_start"), ts_text("coverage_end").alias("coverage_end"), "resolution")
 
 
-_CONFIG = DatasetConfig(ds="DS0", start="20240101T00:00:00Z", end="NOW", fields=(FieldConfig("value"),), skipna=True)
+_CONFIG = DatasetConfig(ds="DS0", start="20240101T00:00:00Z", end="NOW", fields=(FieldConfig("value"),), skipna=True, do_monthly=True)
 
 
 @query("product_write", sql("b_series", """
@@ -205,9 +205,8 @@ def annual_products(v: Views):
     """The whole aggregation job: merge, densify, monthly means, write, read back."""
     rows = v.rec.withColumns({"ds": F.lit("DS0"), "grid": F.lit("g1"), "filename": F.lit("f")})
     cells = v.rec.select(F.lit("g1").alias("grid"), "cell_id").distinct()
-    series = aggregate.merged_series(rows)
-    daily, monthly = shared_dir(v.spark, "daily"), shared_dir(v.spark, "monthly")
-    write_product(aggregate.daily_product(series, cells, _CONFIG), daily)
-    write_product(aggregate.monthly_product(series, _CONFIG), monthly)
+    root = shared_dir(v.spark, "products")
+    daily, monthly = f"{root}/daily", f"{root}/monthly"
+    aggregate.write_products(aggregate.merged_series(rows), cells, _CONFIG, daily, monthly, f"{root}/staging")
     sides = [v.spark.read.parquet(p).select("field", F.lit(n).alias("scale"), "value") for p, n in ((daily, "daily"), (monthly, "monthly"))]
     return sides[0].unionByName(sides[1]).groupBy("field", "scale").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_valid"))
