@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.masks import apply_masks
+from tidegrid.functions.text import hemi_tag
 from tidegrid.functions.timebounds import record_window
 from tidegrid.functions.units import apply_post
 from tidegrid.operators import planning, state
@@ -55,11 +56,14 @@ def regrid_dataset(obs: DataFrame, mapping: DataFrame, config: DatasetConfig, gr
     return out
 
 
-def plan(store: StateStore, targets: DataFrame, versions: DataFrame, source_files: DataFrame,
+def plan(store: StateStore, config: DatasetConfig, targets: DataFrame, source_files: DataFrame,
          outputs: DataFrame) -> DataFrame:
     """Combinations of the dataset's granules, grids and fields with ids, reasons and problems."""
-    granules = store.read("granule").filter("success")
-    tx = store.read("transformation")
+    mine = F.col("ds") == config.ds
+    hemi = hemi_tag("filename", config.hemi_north, config.hemi_south)
+    granules = store.read("granule").filter(mine & F.col("success")).withColumn("hemi", hemi)
+    tx = store.read("transformation").filter(mine)
+    versions = store.spark.createDataFrame([(config.ds, config.t_version)], "ds STRING, t_version DOUBLE")
     mtimes = source_files.select("path", F.col("mtime").alias("source_mtime"))
     want = planning.tx_plan(granules.drop("id", "success"), targets, tx, versions).join(mtimes, "path", "left")
     checked = planning.output_is_current(want, outputs)
