@@ -140,7 +140,8 @@ def test_harvest_to_products(spark, tmp_path, rows):
     outputs = spark.createDataFrame([("D", "a_nh_20200101.nc", "g", "h", D(2020, 4, 1), 1.0)], "ds string, filename string, grid string, field string, output_mtime timestamp, output_version double")
     source_files = files.select("path", "mtime")
     planned = transform.plan(store, CONFIG, targets, source_files, outputs)
-    transform.begin(store, planned, now())
+    ready = transform.begin(store, planned, now(), str(tmp_path / "work"))
+    assert ready.count() == 7
     tx = store.read("transformation")
     assert tx.count() == 8 and tx.filter("in_progress").count() == 7 and tx.filter("success").count() == 1
 
@@ -148,7 +149,7 @@ def test_harvest_to_products(spark, tmp_path, rows):
     cells = spark.createDataFrame([("g", 0, 0.05, 0.0, 20_000.0), ("g", 1, 10.2, 0.0, 1000.0)], "grid string, cell_id bigint, lon double, lat double, radius_m double")
     m = mapping.build_mapping(cells, src, 50_000.0)
     obs = store.read("granule").select("ds", "filename", "date").withColumn("hemi", F.regexp_extract("filename", "_(nh|sh)_", 1))
-    obs = obs.crossJoin(src.select("src_id")).withColumn("sst", F.when(F.col("hemi") == "sh", 300.15).when(F.col("src_id") == 0, 273.15).when(F.col("src_id") == 1, 283.15).otherwise(-5.0))
+    obs = obs.withColumn("src_id", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(3)]))).withColumn("sst", F.when(F.col("hemi") == "sh", 300.15).when(F.col("src_id") == 0, 273.15).when(F.col("src_id") == 1, 283.15).otherwise(-5.0))
     out = transform.regrid_dataset(obs, m, CONFIG, "g")
     got = {(r.filename, r.field, r.cell_id): (r.value, r.units) for r in out.collect()}
     assert got["a_nh_20200101.nc", "sst", 0] == (pytest.approx(5.0), "Celsius")

@@ -15,6 +15,7 @@ from tidegrid.operators import planning, state
 from tidegrid.operators.regrid import regrid
 from tidegrid.schemas import DatasetConfig, FieldConfig
 from tidegrid.sinks.store import StateStore
+from tidegrid.sizing import materialize
 from tidegrid.sources.cells import to_long, with_fields
 
 RECORD_KEYS = ("ds", "filename", "date", "hemi")
@@ -70,8 +71,13 @@ def plan(store: StateStore, config: DatasetConfig, targets: DataFrame, source_fi
     return planning.with_ids(planning.triage(checked), tx, planning.TX_KEY)
 
 
-def begin(store: StateStore, planned: DataFrame, now: Column) -> None:
-    """One snapshot with rebuilt, unprocessable and in-progress rows, before work starts."""
+def begin(store: StateStore, planned: DataFrame, now: Column, staging: str) -> DataFrame:
+    """One snapshot with rebuilt, unprocessable and in-progress rows, before work starts.
+
+    The plan is stored first, so the three kinds of rows and the work itself read one and the same
+    list; it is returned.
+    """
+    planned = materialize(planned, f"{staging}/plan")
     todo = planning.work_items(planned)
     ready = todo.filter(F.col("problem").isNull())
     rows = (
@@ -81,6 +87,7 @@ def begin(store: StateStore, planned: DataFrame, now: Column) -> None:
     )
     touched = ["in_progress", "success", "started", "message", "origin_checksum"]
     store.upsert("transformation", rows, set_columns=touched)
+    return ready
 
 
 def finish(store: StateStore, results: DataFrame, now: Column, version: Column) -> None:

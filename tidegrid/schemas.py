@@ -209,7 +209,7 @@ class DatasetConfig:
             drop_empty_days=bool(raw.get("remove_nan_days_from_data", True)),
             skipna=bool(raw.get("skipna_in_mean", False)),
             provider=raw.get("provider"), strategy=raw.get("strategy", "plain"),
-            variable=raw.get("variable", ""), active=bool(raw.get("active", True)), extra=dict(raw),
+            variable=next((str(v) for k, v in raw.items() if k == "variable" or k.endswith("_variable")), ""), active=bool(raw.get("active", True)), extra=dict(raw),
         )
 
 

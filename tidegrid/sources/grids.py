@@ -65,16 +65,13 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def grid_stats(sources: DataFrame, targets: DataFrame, data_res: float, cap: int = 100) -> DataFrame:
     """One row: spacing bounds of the source grid, largest target radius, neighbour bound."""
-    s = sources.agg(
-        (F.cos(F.radians(F.max(F.abs("lat")))) * data_res * METRES_PER_DEGREE).alias("min_spacing_m"),
-        F.lit(data_res * METRES_PER_DEGREE).alias("max_spacing_m"),
-    )
-    t = targets.agg(F.max("radius_m").alias("max_radius_m"))
+    widest = targets.agg(F.max("radius_m")).scalar()
     needed = F.floor(F.pow(F.col("max_radius_m") * 2 / F.col("min_spacing_m"), F.lit(2.0)))
-    # both sides are single-row aggregates
-    return s.join(F.broadcast(t)).withColumn(
-        "neighbours", F.greatest(F.lit(1), F.least(F.lit(cap), needed)).cast("int")
-    )
+    return sources.agg(
+        (F.cos(F.radians(F.max(F.abs("lat")))) * data_res * METRES_PER_DEGREE).alias("min_spacing_m")
+    ).select(
+        "min_spacing_m", F.lit(data_res * METRES_PER_DEGREE).alias("max_spacing_m"), widest.alias("max_radius_m")
+    ).withColumn("neighbours", F.greatest(F.lit(1), F.least(F.lit(cap), needed)).cast("int"))
 
 
 def neighbour_bound(max_radius_m: float, min_spacing_m: float, cap: int | None = 100) -> int:

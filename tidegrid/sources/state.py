@@ -56,7 +56,10 @@ def with_defaults(df: DataFrame, schema: T.StructType, defaults: Mapping[str, ob
 
 def from_documents(docs: DataFrame, table: str) -> DataFrame:
     """Typed table from exported state documents (one row per document, ``type_s`` tells the kind)."""
-    names = DOCUMENT_FIELDS[table]
+    names = dict(DOCUMENT_FIELDS[table])
+    if table == "dataset":
+        # the variable group's document name carries a prefix that differs between installations
+        names.update({"variable": c for c in docs.columns if c.endswith("_variable_s")})
     rows = docs.filter(F.col("type_s") == table)
     present = {doc: col for col, doc in names.items() if doc in docs.columns}
     picked = rows.select(*[F.col(doc).alias(col) for doc, col in present.items()])

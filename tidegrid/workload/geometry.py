@@ -24,25 +24,25 @@ def lon_wrap(v: Views):
 
 
 @query("grid_generate", sql("", """
-    WITH n AS (SELECT count(*) // 100 AS rows FROM part)
+    WITH n AS (SELECT (count(*) + 99) // 100 AS rows FROM part)
     SELECT p_partkey AS src_id, p_partkey // 100 AS "row", p_partkey % 100 AS col,
            round(-180 + (p_partkey % 100 + 0.5::DOUBLE) * 3.6, 8) AS lon,
            round(90 - (p_partkey // 100 + 0.5::DOUBLE) * (180.0::DOUBLE / rows), 8) AS lat
-    FROM part, n WHERE p_partkey < rows * 100"""))
+    FROM part, n"""))
 def grid_generate(v: Views):
     """A regular grid with as many cells as there are parts."""
-    rows = v.table("part").count() // 100
-    ids = v.table("part").select(F.col("p_partkey").alias("src_id")).filter(F.col("src_id") < rows * 100)
+    rows = -(-v.table("part").count() // 100)
+    ids = v.table("part").select(F.col("p_partkey").alias("src_id"))
     cells = grids.source_cells(ids, (100, rows), (-180, -90, 180, 90), geo.Projection("longlat"))
     return cells.withColumns({"lon": F.round("lon", 8), "lat": F.round("lat", 8)})
 
 
 @query("grid_transpose", sql("", """
     SELECT p_partkey, (p_partkey // 100) * 100 + p_partkey % 100 AS plain,
-           (p_partkey % 100) * (SELECT count(*) // 100 FROM part) + p_partkey // 100 AS swapped FROM part"""))
+           (p_partkey % 100) * (SELECT (count(*) + 99) // 100 FROM part) + p_partkey // 100 AS swapped FROM part"""))
 def grid_transpose(v: Views):
     """Source cell number of an array position, read by rows or by columns."""
-    rows = v.table("part").count() // 100
+    rows = -(-v.table("part").count() // 100)
     k = F.col("p_partkey")
     r, c = F.floor(k / 100), k % 100
     return v.table("part").select(
