@@ -17,7 +17,7 @@ def _key():
 
 def _orders(v: Views):
     """Orders spread over tasks: parsing is CPU work and the table is a single row group."""
-    return v.orders.repartition("o_orderkey")
+    return v.spread(v.orders, "o_orderkey")
 
 
 @query("listing_links", sql("", r"""

@@ -66,6 +66,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Spread a single-row-group table over all cores; a stated number keeps it from being merged back."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism, key)
+
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -160,7 +164,7 @@ class Views:
         ok = F.col("l_discount") < 0.09
         order = ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber"]
         # spread by order first: the table is one row group, which a single task would sort
-        items = latest_per_key(self.lineitem.repartition("l_orderkey"), ["l_orderkey", "l_returnflag", "l_linestatus"], order)
+        items = latest_per_key(self.spread(self.lineitem, "l_orderkey"), ["l_orderkey", "l_returnflag", "l_linestatus"], order)
         rows = items.select(
             F.concat(F.lit("DS"), (k % 5).cast("string")).alias("ds"),
             F.concat(F.lit("G"), k.cast("string"), F.lit(".nc")).alias("filename"),
