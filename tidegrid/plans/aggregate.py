@@ -25,6 +25,12 @@ def merged_series(records: DataFrame, keys: Sequence[str] = SERIES_KEYS, unique:
     return temporal.hemi_merge(records, [*keys, "date"], order)
 
 
+def one_record_per_hemisphere(tx: DataFrame) -> bool:
+    """Whether no (series, date, hemisphere) has several records, read from the state table alone."""
+    records = tx.filter("success").groupBy("ds", "grid", "field", "date", "hemi").agg(F.count(F.lit(1)).alias("n"))
+    return records.filter(F.col("n") > 1).isEmpty()
+
+
 def daily_product(series: DataFrame, cells: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
                   keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """The annual series with empty records for missing dates; years without data are left out."""
@@ -81,7 +87,9 @@ def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame
     todo = materialize(todo, f"{staging}/todo")
     wanted = spread_join(records.withColumn("year", F.year("date")), todo, list(planning.AGG_KEY),
                          salt_from=["cell_id"], how="left_semi").drop("year")
-    stats = write_products(merged_series(wanted), cells, config, daily_path, monthly_path, staging)
+    tx = store.read("transformation").filter(F.col("ds") == config.ds)
+    series = merged_series(wanted, unique=one_record_per_hemisphere(tx))
+    stats = write_products(series, cells, config, daily_path, monthly_path, staging)
     rows = todo.join(stats, list(planning.AGG_KEY), "left").select(
         *planning.AGG_KEY, F.lit(True).alias("success"), now.alias("agg_time"),
         F.lit(config.a_version).alias("version"), F.lit("").alias("message"),
