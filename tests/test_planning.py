@@ -141,3 +141,49 @@ def test_error_rollup(spark, rows):
     f = spark.createDataFrame([("Harvest", "B", "x"), ("Harvest", "A", "x"), ("Transform", "A", "x"), ("Transform", "A", None)], "stage string, ds string, error string")
     assert rows(reports.error_rollup(f), "error", "n", "stages", "datasets") == [
         ("(no message)", 1, "Transform", "A"), ("x", 3, "Harvest, Transform", "A, B")]
+
+
+def test_settings_existing_configurations_leave_out():
+    base = {"start": "20200101T00:00:00Z", "end": "NOW", "fields": []}
+    of = lambda ds, kind="cmr": DatasetConfig.of({**base, "ds_name": ds, "harvester_type": kind})
+    assert of("RDEFT4").strategy == "month_end" and of("TELLUS_GRAC_L3").strategy == "month_nearest"
+    assert of("X").strategy == "plain" and of("X").exclude == ("NRT",) and of("X", "osisaf").exclude == ("icdrft",)
+    assert of("L3_DEBIAS_LOCEAN_v1").next_day_end and not of("X").next_day_end
+
+
+def test_month_end_and_slices_through_the_plan(spark, rows):
+    from dataclasses import replace
+
+    from tidegrid.plans import harvest as plans
+
+    none = spark.createDataFrame([], "ds string, filename string, success boolean, download_time timestamp")
+    names = ["x_20200115.nc", "x_20200131.nc", "x_20200220.nc"]
+    picked = plans.plan(listing(spark, names), replace(CONFIG, strategy="month_end"), none)
+    assert rows(picked, "filename", "date", "reason") == [("x_20200131.nc", D(2020, 1, 1), "new")]
+    steps = spark.createDataFrame(
+        [("D", "u1", D(2020, 1, 1), D(2020, 1, 15)), ("D", "u2", D(2020, 2, 1), D(2020, 1, 16)), ("D", "u2", D(2020, 2, 1), D(2021, 1, 16))],
+        "ds string, url string, mod_time timestamp, time timestamp")
+    slices = plans.plan_slices(steps, CONFIG, none)
+    assert rows(slices, "filename", "url", "date") == [("D_20200101.nc", "u2", D(2020, 1, 1))]
+
+
+def test_record_window_settings_in_regridding(spark, rows):
+    from tidegrid.plans.transform import regrid_dataset
+
+    m = spark.createDataFrame([(0, 0, 1.0, 1, "radius")], "cell_id bigint, src_id bigint, dist_m double, rank int, kind string")
+    obs = spark.createDataFrame(
+        [("D", "f", D(2020, 1, 2), "", 0, 5.0, ["20200102", "20200105"], D(2020, 1, 2, 6))],
+        "ds string, filename string, date timestamp, hemi string, src_id bigint, v double, tb array<string>, time timestamp")
+    run = lambda **kw: rows(regrid_dataset(obs, m, DatasetConfig("D", "20200101T00:00:00Z", "NOW", (FieldConfig("v"),), **kw), "g"), "value", "time_start", "time_end")
+    assert run() == [(5.0, D(2020, 1, 2), D(2020, 1, 3))]
+    assert run(time_bounds_var="tb") == [(5.0, D(2020, 1, 4), D(2020, 1, 5))]
+    assert run(time_bounds_var="gone") == [(5.0, D(2020, 1, 2), D(2020, 1, 3))]
+    assert run(next_day_end=True) == [(5.0, D(2020, 1, 2, 6), D(2020, 1, 3, 6))]
+    assert run(time_scale="monthly") == [(5.0, D(2020, 1, 1), D(2020, 2, 1))]
+
+
+def test_dataset_attributes(spark):
+    from tidegrid.operators.regrid import dataset_attributes
+
+    a = spark.range(1).select(dataset_attributes({"original_dataset_title": "T", "notes": None}, "g", "llc", 1.5).alias("a")).first().a
+    assert a == {"original_dataset_title": "T", "interpolated_grid": "g", "interpolated_grid_id": "g", "model_grid_type": "llc", "transformation_version": "1.5"}

@@ -19,12 +19,11 @@ TOLERANCE_DAYS = 7
 MONTH_END_SLACK = 2
 
 
-def candidates(listing: DataFrame, config: DatasetConfig,
-               exclude: Iterable[str] = (text.NEAR_REAL_TIME_TAG,)) -> DataFrame:
+def candidates(listing: DataFrame, config: DatasetConfig) -> DataFrame:
     """Listed files of a dataset with name, date and hemisphere; out-of-range and excluded names go."""
     named = listing.withColumn("filename", text.basename("url"))
     return (
-        named.filter(text.without_tags("filename", exclude))
+        named.filter(text.without_tags("filename", config.exclude))
         .withColumn("date", text.filename_date("filename", config.date_regex, config.date_format))
         .filter(text.in_range("date", config.start, config.end))
         .withColumns({

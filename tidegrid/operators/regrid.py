@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +106,21 @@ def record_attributes(fields: DataFrame, grid: Column | str, filename: Column |
     return fields.withColumn("attrs", F.create_map(*entries))
 
 
+# Dataset attributes copied from the configuration.
+DATASET_ATTRIBUTES = (
+    "original_dataset_title", "original_dataset_short_name", "original_dataset_url",
+    "original_dataset_reference", "original_dataset_doi", "notes",
+)
+
+
+def dataset_attributes(raw: Mapping[str, object], grid: str, grid_type: str, t_version: float) -> Column:
+    """Dataset-level attributes of a record as a map; absent settings are left out."""
+    pairs = {k: raw[k] for k in DATASET_ATTRIBUTES if raw.get(k) is not None}
+    pairs.update({"interpolated_grid": grid, "interpolated_grid_id": grid, "model_grid_type": grid_type,
+                  "transformation_version": t_version})
+    return F.create_map(*[F.lit(str(x)) for kv in pairs.items() for x in kv])
+
+
 def product_attributes(attrs: Column | str) -> Column:
     """Drop source-file attributes; the original field name stays."""
     m = F.col(attrs) if isinstance(attrs, str) else attrs

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.functions import text
 from tidegrid.operators import harvest, planning, state
 from tidegrid.schemas import DatasetConfig
 from tidegrid.sinks.store import StateStore
@@ -16,6 +17,8 @@ def plan(listing: DataFrame, config: DatasetConfig, known: DataFrame, compare: s
     if config.strategy == "month_to_days":
         rows = harvest.month_to_days(rows).withColumns({
             "filename": F.col("daily_filename"), "date": F.col("day").cast("timestamp")}).drop("daily_filename", "day")
+    elif config.strategy == "series_slice":
+        raise ValueError("a series is sliced after its file is fetched; see plan_slices")
     elif config.strategy != "plain":
         picked = harvest.select(rows, config.strategy)
         # keep the strategy's date, take everything else from the listing
@@ -23,6 +26,18 @@ def plan(listing: DataFrame, config: DatasetConfig, known: DataFrame, compare: s
     return planning.needs_harvest(rows, known, compare=compare)
 
 
+def plan_slices(steps: DataFrame, config: DatasetConfig, known: DataFrame, compare: str = "timestamp") -> DataFrame:
+    """Monthly slices of fetched multi-month files that need work.
+
+    ``steps`` has one row per time step: ds, url, mod_time and time. A month found in several files
+    is taken from the latest publication.
+    """
+    slices = harvest.series_slice(steps, ["ds", "url", "mod_time"]).withColumn("date", F.col("month").cast("timestamp"))
+    in_range = slices.filter(text.in_range("date", config.start, config.end))
+    latest = harvest.latest_per_key(in_range, ["ds", "filename"], ["mod_time", "url"])
+    return planning.needs_harvest(latest, known, compare=compare)
+
+
 def record(store: StateStore, attempts: DataFrame, files: DataFrame, now: Column) -> None:
     """Write harvest attempts to the granule table and refresh the dataset table."""
     store.upsert("granule", state.granule_results(attempts, store.read("granule"), files, now))

@@ -35,12 +35,21 @@ def regrid_dataset(obs: DataFrame, mapping: DataFrame, config: DatasetConfig, gr
                    keys: Sequence[str] = RECORD_KEYS) -> DataFrame:
     """All fields of a dataset on one grid, with record windows and units.
 
-    ``obs`` is wide: record keys, ``src_id`` and one column per variable. Fields with the same masks
-    and post-transformations share one scan. Only cells the mapping reaches come out.
+    ``obs`` is wide: record keys, ``src_id`` and one column per variable; a bounds variable is an
+    array, a center time is ``time``. Fields with the same masks and post-transformations share one
+    scan. Only cells the mapping reaches come out.
     """
     names = [f.name for f in config.fields]
-    wide = with_fields(obs, names)
-    window = record_window("date", config.time_scale)
+    bounds = config.time_bounds_var if config.time_bounds_var in obs.columns else None
+    window = record_window(
+        "date", config.time_scale,
+        bounds_start=F.try_element_at(bounds, F.lit(1)) if bounds else None,
+        bounds_end=F.try_element_at(bounds, F.lit(-1)) if bounds else None,
+        center=F.col("time") if "time" in obs.columns else F.col("date"), next_day_end=config.next_day_end)
+    # the window belongs to the record: it travels with the keys
+    wide = with_fields(obs, names).withColumn("w", window).withColumns(
+        {"time_start": F.col("w.start"), "time": F.col("w.center"), "time_end": F.col("w.end")}).drop("w")
+    keys = [*keys, "time_start", "time", "time_end"]
     out = None
     for masks, post, members in _groups(config.fields):
         cols = [f.name for f in members]
@@ -48,9 +57,7 @@ def regrid_dataset(obs: DataFrame, mapping: DataFrame, config: DatasetConfig, gr
         units = F.create_map(*[F.lit(x) for f in members for x in (f.name, f.units)])
         part = (
             regrid(long, mapping, [*keys, "field"], config.mapping_operation)
-            .withColumns({"grid": F.lit(grid), "units": units[F.col("field")], "w": window})
-            .withColumns({"time_start": F.col("w.start"), "time": F.col("w.center"), "time_end": F.col("w.end")})
-            .drop("w")
+            .withColumns({"grid": F.lit(grid), "units": units[F.col("field")]})
         )
         part = apply_post(part, post)
         out = part if out is None else out.unionByName(part)

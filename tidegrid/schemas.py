@@ -161,6 +161,25 @@ class FieldConfig:
         )
 
 
+# How existing configurations, which do not say it, are treated. File name tags left out
+# by provider type, selection strategies by dataset name, and the datasets whose window ends a day after
+# the center time.
+EXCLUDED_TAGS = {"cmr": ("NRT",), "osisaf": ("icdrft",)}
+STRATEGY_BY_NAME = {
+    "ATL20_V004_daily": "month_to_days",
+    "ATL21_V003_daily": "month_to_days",
+    "TELLUS_GRAC-GRFO_MASCON_CRI_GRID_RL06.3_V4": "series_slice",
+    "RDEFT4": "month_end",
+}
+NEAREST_MONTH_PREFIX = "TELLUS_GR"
+NEXT_DAY_END_TAG = "DEBIAS_LOCEAN"
+
+
+def default_strategy(ds: str) -> str:
+    """Selection strategy of a dataset whose configuration names none."""
+    return STRATEGY_BY_NAME.get(ds, "month_nearest" if NEAREST_MONTH_PREFIX in ds else "plain")
+
+
 @dataclass(frozen=True)
 class DatasetConfig:
     """One dataset's settings; ``of`` reads the same keys the YAML files use."""
@@ -188,6 +207,8 @@ class DatasetConfig:
     strategy: str = "plain"
     variable: str = ""
     active: bool = True
+    exclude: tuple[str, ...] = ("NRT",)
+    next_day_end: bool = False
     extra: Mapping[str, Any] = dc_field(default_factory=dict, compare=False)
 
     @classmethod
@@ -208,7 +229,10 @@ class DatasetConfig:
             do_monthly=bool(raw.get("do_monthly_aggregation", False)),
             drop_empty_days=bool(raw.get("remove_nan_days_from_data", True)),
             skipna=bool(raw.get("skipna_in_mean", False)),
-            provider=raw.get("provider"), strategy=raw.get("strategy", "plain"),
+            provider=raw.get("provider"),
+            strategy=raw.get("strategy") or default_strategy(raw["ds_name"]),
+            exclude=tuple(raw.get("exclude", EXCLUDED_TAGS.get(raw.get("harvester_type", ""), ()))),
+            next_day_end=bool(raw.get("next_day_end", NEXT_DAY_END_TAG in raw["ds_name"])),
             variable=next((str(v) for k, v in raw.items() if k == "variable" or k.endswith("_variable")), ""), active=bool(raw.get("active", True)), extra=dict(raw),
         )
 
