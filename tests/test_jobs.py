@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions import layout
 from tidegrid.operators import mapping, state
 from tidegrid.plans import aggregate, harvest, transform
-from tidegrid.schemas import DatasetConfig, FieldConfig, GRANULE
+from tidegrid.schemas import DatasetConfig, GRANULE
 from tidegrid.sinks.packing import join_blocks, pack_records
 from tidegrid.sinks.provenance import members, provenance_lines, write_provenance
 from tidegrid.sinks.store import StateStore
