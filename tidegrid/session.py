@@ -38,18 +38,11 @@ def build(app: str = "tidegrid", master: str | None = None, **conf) -> SparkSess
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder every executor can see, under the cluster's checkpoint folder.
 
-    Falls back to a fresh local folder only where no checkpoint folder is set and the master is
-    local, as in tests.
+    Where no checkpoint folder is set, it is below the warehouse, which executors share too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     import uuid
 
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base is None:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
