@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, mixture, tokencount, tokenfiles
+from tidegrid.llm import chat, decontaminate, jaccard, mixture, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import ready, table
 from tidegrid.session import shared_dir
@@ -44,6 +44,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query("op1_jaccard_components", sql.jaccard(3, 90))
+def op1(spark, sf_dir):
+    """Documents and the components of their links by shared three-word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents", ["doc_id", "text"]), k=3, percent=90)
+
+
 @query("op2_token_counts")
 def op2(spark, sf_dir):
     """Bytes and tokens of every document."""

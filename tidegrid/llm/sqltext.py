@@ -91,3 +91,19 @@ FROM c GROUP BY conv_id
 
 def _coalesce(name: str) -> str:
     return f"coalesce({name}, '')"
+
+
+def jaccard(k: int, percent: int) -> str:
+    """Components by labels that spread along links; pairs come from shared shingles."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words("text", NOT_SPACE, True)} AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(w[i:i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})] END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS v, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v WHERE r.root < e.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(min(r.root), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.v = d.doc_id GROUP BY d.doc_id, n.n
+"""
