@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, jaccard, mixture, tokencount, tokenfiles
+from tidegrid.llm import chat, decontaminate, jaccard, mixture, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import ready, table
 from tidegrid.session import shared_dir
@@ -75,6 +75,13 @@ def op5(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_substring_dedup", sql.remove_repeats(50))
+def op6(spark, sf_dir):
+    """Documents without the 50-word windows that also start in an earlier document."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"]), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_chat_format", sql.chat_format(chat.LLAMA))
 def op8(spark, sf_dir):
     """Every conversation formatted, and what is read back from the output."""

@@ -107,3 +107,16 @@ r AS (SELECT doc_id AS v, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(min(r.root), d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.v = d.doc_id GROUP BY d.doc_id, n.n
 """
+
+
+def remove_repeats(window: int) -> str:
+    """Windows of every document, the smallest id of each, and the words they cover."""
+    return f"""
+WITH d AS (SELECT doc_id, {_words("text", NOT_SPACE, False)} AS w FROM documents),
+r AS (SELECT doc_id, i, md5(array_to_string(w[i:i + {window - 1}], ' ')) AS win FROM d, LATERAL unnest(range(1, len(w) - {window - 2})) AS t(i)),
+f AS (SELECT win, min(doc_id) AS least FROM r GROUP BY win),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + {window})) AS p FROM r JOIN f USING (win) WHERE least < doc_id),
+l AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id),
+k AS (SELECT d.doc_id, w, coalesce(len(gone), 0) AS n, CASE WHEN gone IS NULL THEN w ELSE list_select(w, list_sort(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)))) END AS kept FROM d LEFT JOIN l USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""

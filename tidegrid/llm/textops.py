@@ -120,10 +120,10 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_pieces(column: pa.Array, word_bytes: np.ndarray, lower: bool) -> Iterator[Words]:
+def word_pieces(column: pa.Array, word_bytes: np.ndarray, lower: bool, limit: int = PIECE_BYTES) -> Iterator[Words]:
     """The words of a text column, piece by piece."""
     data, offsets = buffers(column)
-    for first, last in pieces(offsets):
+    for first, last in pieces(offsets, limit):
         part = data[offsets[first] : offsets[last]]
         if lower:
             part = LOWER[part]
