@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, jaccard, mixture, substrings, tokencount, tokenfiles
+from tidegrid.llm import chat, decontaminate, jaccard, langid, mixture, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import ready, table
 from tidegrid.session import shared_dir
@@ -94,6 +94,14 @@ def op8(spark, sf_dir):
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query("op9_language")
+def op9(spark, sf_dir):
+    """Predicted language of every document, by a model trained on the documents not held out."""
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
 @query("op10_token_files")
 def op10(spark, sf_dir):
     """Every document as token ids, written to files and read back from them."""
