@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, jaccard, langid, mixture, substrings, tokencount, tokenfiles
+from tidegrid.llm import chat, decontaminate, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import ready, table
 from tidegrid.session import shared_dir
@@ -82,6 +82,12 @@ def op6(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op7_nearest_neighbours")
+def op7(spark, sf_dir):
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), k=20, every=20)
+
+
 @query("op8_chat_format", sql.chat_format(chat.LLAMA))
 def op8(spark, sf_dir):
     """Every conversation formatted, and what is read back from the output."""
