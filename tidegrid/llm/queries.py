@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
+from tidegrid.llm import chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import ready, table
 from tidegrid.session import shared_dir
@@ -68,6 +68,12 @@ def op3(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+@query("op4_html_text")
+def op4(spark, sf_dir):
+    """Visible text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages", ["page_id", "html"]))
+
+
 @query("op5_mix_sources", sql.MIX)
 def op5(spark, sf_dir):
     """Words that the mix takes of every document."""
@@ -93,7 +99,7 @@ def op8(spark, sf_dir):
     """Every conversation formatted, and what is read back from the output."""
     turns = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', :said), (-7L, 1L, 'assistant', :said) AS t(conv_id, turn, role, text)", args={"said": said})
     back = chat.read_back(chat.format_conversations(turns.unionByName(extra)))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), chat.turn_digest(F.col("turns")).alias("turns_sha256"),
