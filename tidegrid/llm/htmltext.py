@@ -86,6 +86,11 @@ class TreeBuilder(HTMLParser):
         elif tag not in ("br", "p"):
             self._end({tag}, {"table"} if tag in TABLE_PART else set() if tag == "table" else SCOPE - {tag})
 
+    def parse_marked_section(self, i, report=1):
+        """``<![`` begins a comment that ends with the next ``>``, as everywhere outside of embedded XML."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
@@ -156,6 +161,11 @@ def _marker(node: Node, parents: list[Node], counts: dict) -> str:
     return "- "
 
 
+def _spaced(node: Node, parents: list[Node]) -> bool:
+    """Whether blank lines stand around a block; a list inside of an item has none."""
+    return node.tag in SPACED and not (node.tag in ("ul", "ol", "menu", "dir") and any(p.tag == "li" for p in parents))
+
+
 def render(top: Node, nested: bool = False, visible: bool = True) -> list[str]:
     """Lines of a node's content. In a cell (``nested``) a table inside is read as plain blocks."""
     out, counts, parents, pre = Layout(), {}, [top], 0
@@ -172,7 +182,7 @@ def render(top: Node, nested: bool = False, visible: bool = True) -> list[str]:
             if node.tag in ("pre", "textarea"):
                 pre -= 1
             if node.tag in BLOCK:
-                out.block(node.tag in SPACED)
+                out.block(_spaced(node, parents))
             elif node.tag in ("td", "th"):
                 out.space = True
             out.indent = indent
@@ -186,7 +196,7 @@ def render(top: Node, nested: bool = False, visible: bool = True) -> list[str]:
             out.line(True)
             continue
         if node.tag in BLOCK:
-            out.block(node.tag in SPACED and not (node.tag in ("ul", "ol", "menu") and any(p.tag == "li" for p in parents)))
+            out.block(_spaced(node, parents))
         if node.tag == "table" and not nested:
             out.put(table_lines(node, shown))
             out.block(True)
