@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm.chunks import HashTable
 from tidegrid.llm.scratch import checked, stored
 from tidegrid.llm.textops import NOT_SPACE, Words, hash_windows, word_pieces
 
 WINDOW = 50
 UNIT_BYTES = 4 << 20  # of text that a task settles at once
-RANGE_BYTES = 12 << 20  # of text for each hash range, about two million probes
+RANGE_BYTES = 8 << 20  # of text for each hash range, rather more than a million probes
+REMEMBERED = 1 << 20  # windows that a task knows from its earlier units
 PACKED = "part int, known boolean, hashes binary, places binary, flags binary, rows binary, ids binary, counts binary"
 
 
@@ -34,13 +36,13 @@ def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
-def _packed(part: int, known: bool, hashes: np.ndarray, places: np.ndarray, flags: np.ndarray, doc: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> tuple:
+def _packed(part: int, known: bool, hashes: np.ndarray, places: np.ndarray, flags: np.ndarray, doc: np.ndarray, rows: np.ndarray, ids: np.ndarray | None) -> tuple:
     """One row of entries in document order; documents are run-length coded, places as narrow as they can be."""
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     counts = np.diff(np.append(first, len(doc))).astype(np.uint32)
     narrow = np.uint16 if places.max(initial=0) < 1 << 16 else np.uint32
     return (part, known, hashes.tobytes(), places.astype(narrow).tobytes(), np.packbits(flags).tobytes(),
-            rows[doc[first]].tobytes(), ids[doc[first]].tobytes(), counts.tobytes())
+            rows[doc[first]].tobytes(), b"" if ids is None else ids[doc[first]].tobytes(), counts.tobytes())
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -57,7 +59,7 @@ def _unpacked(table: pa.Table, width: type) -> tuple[np.ndarray, ...]:
         places = np.frombuffer(r["places"], np.uint16 if len(r["places"]) == 2 * n else np.uint32).astype(np.uint32)
         hashes = np.frombuffer(r["hashes"], width) if len(r["hashes"]) else np.zeros(n, width)
         out.append((hashes, places, np.unpackbits(np.frombuffer(r["flags"], np.uint8), count=n).astype(bool),
-                    np.repeat(np.frombuffer(r["rows"], np.int64), counts), np.repeat(np.frombuffer(r["ids"], np.int64), counts)))
+                    np.repeat(np.frombuffer(r["rows"], np.int64), counts), np.repeat(np.frombuffer(r["ids"], np.int64) if r["ids"] else np.zeros(len(counts), np.int64), counts)))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -68,7 +70,7 @@ def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def _send(p: Words, at: np.ndarray, hashes: np.ndarray, flags: np.ndarray, known: np.ndarray, sent: np.ndarray, rows: np.ndarray, ids: np.ndarray, ranges: int, width: type) -> pa.RecordBatch | None:
+def _send(p: Words, at: np.ndarray, hashes: np.ndarray, flags: np.ndarray, known: np.ndarray, sent: np.ndarray, rows: np.ndarray, ids: np.ndarray | None, ranges: int, width: type) -> pa.RecordBatch | None:
     """Entries known to this task go to the range of their document, the others to that of their hash."""
     owner, out = p.owner(), []
     for mask, is_known in ((known, True), (sent, False)):
@@ -89,9 +91,9 @@ def _probes(window: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_rows, all_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for p in word_pieces(batch.column(2), NOT_SPACE, False, UNIT_BYTES):
-                rows, ids = all_rows[p.first : p.last], all_ids[p.first : p.last]
+            all_rows = batch.column(0).to_numpy(zero_copy_only=False)
+            for p in word_pieces(batch.column(1), NOT_SPACE, False, UNIT_BYTES):
+                rows = all_rows[p.first : p.last]
                 hashes, owner = hash_windows(p.hashes, half), p.owner()
                 at = np.flatnonzero(p.inside(half)[: len(hashes)] & (np.diff(p.bounds) >= window)[owner[: len(hashes)]])
                 if not len(at):
@@ -105,7 +107,7 @@ def _probes(window: int, ranges: int):
                 flags[order] = any_aligned[group]
                 shared[order] = (sorted_doc[first] != sorted_doc[np.append(first[1:], len(at)) - 1])[group]
                 leads[order] = sorted_doc == sorted_doc[first][group]
-                out = _send(p, at, hashes, flags, shared & flags, leads, rows, ids, ranges, np.uint32)
+                out = _send(p, at, hashes, flags, shared & flags, leads, rows, None, ranges, np.uint32)
                 if out is not None:
                     yield out
 
@@ -131,11 +133,32 @@ def _anchors(table: pa.Table) -> pa.Table:
     return pa.table({"row": pa.array(np.concatenate(rows)), "place": pa.array(np.concatenate(places).astype(np.int32))})
 
 
+class Seen:
+    """Smallest id of each window that a task has met; it forgets all of them when they grow too many."""
+
+    def __init__(self):
+        self.known, self.ids = HashTable(), np.zeros(0, np.int64)
+
+    def least(self, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Smallest ids before these, which are then remembered; ``hashes`` are distinct."""
+        if len(self.ids) > REMEMBERED:
+            self.__init__()
+        at = self.known.find(hashes)
+        new = np.flatnonzero(at < 0)
+        out = ids.copy()
+        out[at >= 0] = self.ids[at[at >= 0]]
+        self.ids[at[at >= 0]] = np.minimum(out, ids)[at >= 0]
+        self.known.add(hashes[new], np.arange(len(self.ids), len(self.ids) + len(new), dtype=np.int32))
+        self.ids = np.concatenate([self.ids, ids[new]])
+        return out
+
+
 def _windows(window: int, ranges: int):
     """The windows around anchors; in this task already settled where a smaller id has the same words."""
     half = window // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen()
         for batch in batches:
             all_rows, all_ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             anchors = batch.column(3)
@@ -154,49 +177,59 @@ def _windows(window: int, ranges: int):
                     continue
                 hashes, doc = hash_windows(p.hashes, window)[at], p.owner()[at]
                 order, first, group = _groups(hashes)
-                later = np.zeros(len(at), bool)
-                later[order] = ids[doc[order]] > np.minimum.reduceat(ids[doc[order]], first)[group]
-                out = _send(p, at, hashes, later, later, ~later, rows, ids, ranges, np.uint64)
+                least = np.minimum.reduceat(ids[doc[order]], first)
+                least = np.minimum(least, seen.least(hashes[order][first], least))
+                later, sent = np.zeros(len(at), bool), np.zeros(len(at), bool)
+                later[order] = ids[doc[order]] > least[group]
+                sent[order] = ids[doc[order]] == least[group]
+                out = _send(p, at, hashes, later, later, sent, rows, ids, ranges, np.uint64)
                 if out is not None:
                     yield out
 
     return run
 
 
-def _repeats(table: pa.Table) -> pa.Table:
-    """(row, starts) of windows whose words also start in a document with a smaller id."""
-    known = table.filter(table.column("known"))
-    table = table.filter(pa.compute.invert(table.column("known")))
-    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-    if known.num_rows:
-        _, place, _, row, _ = _unpacked(known, np.uint64)
-        rows.append(row)
-        places.append(place)
-    if table.num_rows:
-        hashes, place, _, row, ids = _unpacked(table, np.uint64)
-        order, first, group = _groups(hashes)
-        row, place, ids = row[order], place[order], ids[order]
-        later = ids > np.minimum.reduceat(ids, first)[group]
-        rows.append(row[later])
-        places.append(place[later])
-    row, place = np.concatenate(rows), np.concatenate(places)
-    order = np.argsort(row, kind="stable")
-    row, place = row[order], place[order]
-    first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, int)
-    return pa.table({"row": pa.array(row[first]), "starts": pa.array([x.tobytes() for x in np.split(place, first[1:])] if len(row) else [], pa.binary())})
+def _repeats(groups: int):
+    """Windows whose words also start in a document with a smaller id, packed by ``groups`` groups of documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        known = table.filter(table.column("known"))
+        table = table.filter(pa.compute.invert(table.column("known")))
+        rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        if known.num_rows:
+            _, place, _, row, _ = _unpacked(known, np.uint64)
+            rows.append(row)
+            places.append(place)
+        if table.num_rows:
+            hashes, place, _, row, ids = _unpacked(table, np.uint64)
+            order, first, group = _groups(hashes)
+            row, place, ids = row[order], place[order], ids[order]
+            later = ids > np.minimum.reduceat(ids, first)[group]
+            rows.append(row[later])
+            places.append(place[later])
+        row, place = np.concatenate(rows), np.concatenate(places)
+        order = np.lexsort((row, row % groups))
+        row, place, group = row[order], place[order], (row % groups)[order]
+        cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(row) else np.zeros(0, int)
+        bounds = list(zip(cuts, np.append(cuts[1:], len(row))))
+        return pa.table({"docs": pa.array(group[cuts].astype(np.int32)), "rows": pa.array([row[a:b].tobytes() for a, b in bounds], pa.binary()),
+                         "starts": pa.array([place[a:b].tobytes() for a, b in bounds], pa.binary())})
+
+    return run
 
 
 def _spans(window: int):
     """Maximal repeats of each document as start, end, start, end ... in words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for parts in batch.column(1).to_pylist():
-                starts = np.unique(np.frombuffer(b"".join(parts), np.uint32)).astype(np.int64)
-                new = np.flatnonzero(np.append(True, starts[1:] > starts[:-1] + window))
-                spans.append(np.column_stack([starts[new], starts[np.append(new[1:], len(starts)) - 1] + window]).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.int64()))], ["row", "spans"])
+    def run(table: pa.Table) -> pa.Table:
+        row, start = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()]) for c, kind in (("rows", np.int64), ("starts", np.uint32)))
+        order = np.lexsort((start, row))
+        row, start = row[order], start[order].astype(np.int64)
+        new = np.append(True, (row[1:] != row[:-1]) | (start[1:] > start[:-1] + window))
+        first = np.flatnonzero(new)
+        spans = np.column_stack([start[first], start[np.append(first[1:], len(row)) - 1] + window])
+        docs = np.flatnonzero(np.append(True, row[first][1:] != row[first][:-1]))
+        return pa.table({"row": pa.array(row[first][docs]), "spans": pa.array([x.ravel().tolist() for x in np.split(spans, docs[1:])], pa.list_(pa.int64()))})
 
     return run
 
@@ -234,12 +267,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     usable = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("row", "doc_id", "text")
     size = usable.select(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))
-    anchors = usable.mapInArrow(_probes(window, ranges), PACKED).groupBy("part").applyInArrow(_anchors, "row long, place int")
+    anchors = usable.select("row", "text").mapInArrow(_probes(window, ranges), PACKED).groupBy("part").applyInArrow(_anchors, "row long, place int")
     anchors = stored(anchors.groupBy("row").agg(F.collect_set("place").alias("places")), "anchors")
     around = usable.join(checked(anchors), "row").select("row", "doc_id", "text", "places")
-    repeats = around.mapInArrow(_windows(window, ranges), PACKED).groupBy("part").applyInArrow(_repeats, "row long, starts binary")
-    repeats = repeats.groupBy("row").agg(F.collect_list("starts").alias("starts"))
-    return stored(repeats.mapInArrow(_spans(window), "row long, spans array<long>"), "repeats")
+    repeats = around.mapInArrow(_windows(window, ranges), PACKED).groupBy("part").applyInArrow(_repeats(ranges), "docs int, rows binary, starts binary")
+    return stored(repeats.groupBy("docs").applyInArrow(_spans(window), "row long, spans array<long>"), "repeats")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -37,7 +37,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
+            size = -(-n // (1 << 18)) << 18
             for name, base in (("up", self.base), ("down", self.inverse)):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1
@@ -63,7 +63,8 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """Hash of each byte span of ``data``; equal bytes give equal hashes wherever they stand."""
     up, down = _BYTES.upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    np.multiply(up[:-1], data.astype(np.uint16) + np.uint16(1), out=sums[1:])
+    np.cumsum(sums, out=sums)
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
@@ -73,7 +74,8 @@ def hash_windows(words: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     up, down = _WORDS.upto(len(words) + 1)
     sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[:-1], out=sums[1:])
+    np.multiply(words, up[:-1], out=sums[1:])
+    np.cumsum(sums, out=sums)
     return mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1], size)
 
 
