@@ -169,7 +169,8 @@ def test_layout_errors():
 
 def test_neighbour_bound():
     assert neighbour_bound(1000, 100, 10000) == 400
-    assert neighbour_bound(1000, 100) == 100
+    assert neighbour_bound(1000, 100) == 400
+    assert neighbour_bound(1000, 100, 100) == 100
     assert neighbour_bound(10, 1000) == 1
 
 
@@ -178,3 +179,34 @@ def test_radius_preference(spark):
     assert [r[0] for r in df.select(target_radius(df.columns)).collect()] == [20.0, 10.0, 2.0]
     assert spark.range(1).select(target_radius(["name"])).first()[0] is None
     assert math.isclose(0.5 * math.sqrt(16.0), 2.0)
+
+
+@pytest.mark.parametrize("text", ["+init=EPSG:3411", "+init=epsg:3411", "EPSG:3411"])
+def test_projection_codes(text):
+    assert geo.Projection.parse(text) == geo.Projection("stere", geo.HUGHES_1980, -45.0, 90.0, 70.0)
+
+
+def test_projection_settings(spark):
+    p = geo.Projection.parse("+proj=stere +a=6378273 +b=6356889.44891 +lat_0=90 +lat_ts=70 +lon_0=-45 +x_0=1000 +y_0=-500 +units=m +no_defs")
+    assert p.ellipsoid == (6378273.0, 6356889.44891) and (p.x_0, p.y_0) == (1000.0, -500.0)
+    plain = geo.Projection("stere", geo.HUGHES_1980, -45.0, 90.0, 70.0)
+    x, y = F.lit(800_000.0), F.lit(-300_000.0)
+    shifted, own = geo.inverse(p, x + 1000, y - 500), geo.inverse(plain, x, y)
+    row = spark.range(1).select(*[c.alias(n) for n, c in zip("abcd", (*shifted, *own))]).first()
+    assert row.a == pytest.approx(row.c, abs=1e-7) and row.b == pytest.approx(row.d, abs=1e-7)
+    assert geo.Projection.parse("+proj=cea +ellps=GRS80 +lat_ts=30").ellipsoid == geo.ELLIPSOIDS["GRS80"]
+    for bad in ("+proj=cea +towgs84=1,2,3", "+proj=cea +ellps=moon", "+proj=cea +units=km", "+proj=utm +zone=3", "+proj=stere +k_0=0.9 +lat_0=90"):
+        with pytest.raises(ValueError):
+            geo.Projection.parse(bad)
+
+
+def test_checksum_in_chunks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from tidegrid.sources import files
+
+    monkeypatch.setattr(files, "CHUNK_BYTES", 7)
+    for i, n in enumerate((1, 5, 100, 1000)):
+        (tmp_path / f"f{i}.bin").write_bytes(bytes(range(256)) * 4 if n == 1000 else b"x" * n)
+    got = {r.filename: (r.size, r.checksum) for r in files.checksums(spark, str(tmp_path), "*.bin", whole_bytes=50).collect()}
+    assert got == {p.name: (p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()) for p in tmp_path.glob("*.bin")}

@@ -132,10 +132,39 @@ def test_full_grid_and_stats(spark, small, rows):
         ("a", 1, True, ""), ("b", 0, False, " -- empty record -- ")]
 
 
-def test_mapping_is_stored_once(spark, tmp_path):
-    t, s = frames(spark, [(0, 0.0, 0.0, 1000.0)], [(0, 0.0, 0.0)])
-    key, path = ("D", "g", "nh", 1.0), str(tmp_path / "m")
-    first = mapping.ensure_mapping(spark, path, key, t, s, 1000.0).collect()
-    other = s.withColumn("src_id", F.lit(99).cast("bigint"))
-    assert mapping.ensure_mapping(spark, path, key, t, other, 1000.0).collect() == first
-    assert mapping.ensure_mapping(spark, path, ("D", "g", "nh", 2.0), t, other, 1000.0).first().src_id == 99
+def test_mapping_store(spark, tmp_path):
+    """Reuse needs the same grids and parameters; other keys stay, also without this package's settings."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        t, s = frames(spark, [(0, 0.0, 0.0, 1000.0)], [(0, 0.0, 0.0), (1, 0.0, 0.001)])
+        key, path = ("D", "g", "nh", 1.0), str(tmp_path / "m")
+        ids = lambda key, t, s, *a, **k: sorted(r.src_id for r in mapping.ensure_mapping(spark, path, key, t, s, *a, **k).collect())
+        assert ids(key, t, s, 1000.0) == [0, 1]
+        files = sorted((tmp_path / "m").rglob("*.parquet"))
+        assert ids(key, t, s, 1000.0) == [0, 1] and sorted((tmp_path / "m").rglob("*.parquet")) == files
+        other = s.withColumn("src_id", F.col("src_id") + 99)
+        assert ids(("D", "g", "nh", 2.0), t, other, 1000.0) == [99, 100]
+        assert sorted((tmp_path / "m/ds=D/grid=g/hemi=nh/t_version=1.0").rglob("*.parquet")) == files
+        assert ids(key, t, s, 1000.0, max_neighbours=1) == [0]
+        assert ids(key, t, other, 1000.0) == [99, 100]
+        assert ids(("E", "g", "", 1.0), t.filter("cell_id > 0"), s, 1000.0) == []
+        marks = {tuple(p.parent.name for p in (tmp_path / "m").rglob("_SUCCESS"))}
+        assert ids(("E", "g", "", 1.0), t.filter("cell_id > 0"), s, 1000.0) == [] and marks == {tuple(p.parent.name for p in (tmp_path / "m").rglob("_SUCCESS"))}
+        assert mapping.invalidate_mappings(spark, path, ds="D") == 1
+        assert sorted(p.name for p in (tmp_path / "m").glob("ds=*/*")) == ["grid=g"]
+        assert ids(key, t, s, 1000.0) == [0, 1]
+        assert mapping.invalidate_mappings(spark, path) == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+@pytest.mark.parametrize("where", ["beside", "around", "far"])
+def test_candidates_beside_a_dense_place(spark, where):
+    """The join makes a small multiple of k rows per target, wherever the crowd is."""
+    rnd = random.Random(3)
+    sources = [(i, 10.0 + rnd.uniform(0, 2e-3), 45.0 + rnd.uniform(0, 2e-3)) for i in range(6000)]
+    lon = {"beside": 9.999, "around": 10.001, "far": 10.7}[where]
+    targets = [(i, lon + rnd.uniform(-5e-4, 5e-4), 45.001 + rnd.uniform(-5e-4, 5e-4), 200_000.0) for i in range(40)]
+    t, s = frames(spark, targets, sources)
+    assert mapping.candidate_pairs(t, s, F.col("radius_m"), 10).count() <= 40 * 10 * 25
+    check(spark, targets, sources, 1.0, 10)

@@ -56,6 +56,26 @@ def chord(a: tuple, b: tuple) -> Column:
     return F.round(F.sqrt(dx * dx + dy * dy + dz * dz), 3)
 
 
+# Keys of projection strings that are read or say nothing more; ellipsoids by name (a, b).
+_KNOWN_KEYS = set("proj lon_0 lat_0 lat_ts x_0 y_0 a b R ellps datum units k k_0 no_defs wktext type".split())
+ELLIPSOIDS = {
+    "WGS84": WGS84, "GRS80": (6378137.0, 6356752.314140356), "WGS72": (6378135.0, 6356750.520016094),
+    "clrk66": (6378206.4, 6356583.8), "bessel": (6377397.155, 6356078.962818189), "sphere": (6370997.0, 6370997.0),
+}
+
+
+def _ellipsoid(args: dict[str, str]) -> tuple[float, float]:
+    """Axes given themselves, or those of a named ellipsoid or datum; WGS84 if none is."""
+    if "R" in args:
+        return float(args["R"]), float(args["R"])
+    if "a" in args:
+        return float(args["a"]), float(args.get("b", args["a"]))
+    name = args.get("ellps") or args.get("datum") or "WGS84"
+    if name not in ELLIPSOIDS:
+        raise ValueError(f"unknown ellipsoid {name}")
+    return ELLIPSOIDS[name]
+
+
 @dataclass(frozen=True)
 class Projection:
     """``kind`` is longlat, stere, laea or cea; angles in degrees."""
@@ -65,25 +85,29 @@ class Projection:
     lon_0: float = 0.0
     lat_0: float = 0.0
     lat_ts: float = 0.0
+    x_0: float = 0.0
+    y_0: float = 0.0
 
     @classmethod
     def parse(cls, text: str) -> "Projection":
-        """Read a projection string as used in dataset configurations."""
+        """Read a projection string as used in dataset configurations; what is not understood is refused."""
+        code = text.strip().removeprefix("+init=").upper()
         # The two polar stereographic grid codes.
-        if text == "EPSG:3411":
+        if code == "EPSG:3411":
             return cls("stere", HUGHES_1980, lon_0=-45.0, lat_0=90.0, lat_ts=70.0)
-        if text == "EPSG:3412":
+        if code == "EPSG:3412":
             return cls("stere", HUGHES_1980, lon_0=0.0, lat_0=-90.0, lat_ts=-70.0)
-        args = dict(re.findall(r"\+(\w+)=([^\s]+)", text))
+        args = dict(re.findall(r"\+(\w+)(?:=(\S*))?", text))
+        unknown = set(args) - _KNOWN_KEYS
+        if unknown or args.get("units", "m") != "m" or any(float(args.get(k, 1)) != 1 for k in ("k", "k_0")):
+            raise ValueError(f"unsupported settings in projection {text}: {sorted(unknown) or 'units or scale'}")
         kind = args.get("proj", "")
         if kind not in ("longlat", "laea", "cea", "stere"):
             raise ValueError(f"unsupported projection {text}")
         if kind == "laea" and abs(float(args.get("lat_0", 0))) != 90.0:
             raise ValueError("only polar azimuthal grids are supported")
-        return cls(
-            kind, WGS84, float(args.get("lon_0", 0)), float(args.get("lat_0", 0)),
-            float(args.get("lat_ts", 0)),
-        )
+        number = lambda key: float(args.get(key, 0))
+        return cls(kind, _ellipsoid(args), number("lon_0"), number("lat_0"), number("lat_ts"), number("x_0"), number("y_0"))
 
 
 def _ecc(ellipsoid: tuple[float, float]) -> float:
@@ -126,8 +150,9 @@ def inverse(proj: Projection, x: Column | str, y: Column | str) -> tuple[Column,
     x, y = _c(x), _c(y)
     if proj.kind == "longlat":
         return x, y
+    x, y = x - proj.x_0, y - proj.y_0
     a, _ = proj.ellipsoid
-    e = _ecc(proj.ellipsoid)
+    e = max(_ecc(proj.ellipsoid), 1e-9)  # a sphere is the limit of the formulas
     q_pole = _authalic_q(math.pi / 2, e)
     north = 1.0 if proj.lat_0 >= 0 else -1.0
     if proj.kind == "stere":

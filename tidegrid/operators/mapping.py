@@ -1,47 +1,43 @@
-"""Source-to-target mapping: an exact radius join with a k-nearest limit and a nearest fallback.
+"""Source-to-target mapping: an exact radius join with an optional k-nearest limit and a nearest fallback.
 
 Space is cut into cubes whose edges are powers of two metres. A target is looked up only at the
 level whose edge just covers its own search radius, so a few wide targets do not widen everybody's
 search, and the join is an equi join on (level, cube).
 
-With a neighbour limit k, a target's radius is first shrunk where sources are dense: if its own
-cube at some level holds at least k sources, the k nearest lie within that cube's diagonal. The
-candidates of a target are then bounded by a multiple of k however many sources crowd one place,
-and no result is lost.
+With a neighbour limit k, the cubes around a target are narrowed before any source is joined. A step
+knows the number of sources of each cube and its nearest and farthest distance from the target, takes
+as bound the distance within which k sources are certain, drops the cubes beyond it and splits
+the crowded rest. Sources are joined last, when every cube left holds few. So the candidates of a
+target stay a multiple of k however many sources crowd a place near it, and no result is lost.
+Without a limit all pairs in the radius are the result; crowded cubes are split by a hash of the source.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geo import chord, valid_position, with_xyz
+from tidegrid.session import shared_dir
+from tidegrid.sizing import materialize
 
-# Cube edges from 8 m to 16 777 km: the coarsest exceeds the sphere's diameter.
-MIN_LEVEL = 3
+# Cube edges from a millimetre to 16 777 km: the coarsest exceeds the sphere's diameter.
+MIN_LEVEL = -10
 MAX_LEVEL = 24
-_SHIFT = 1 << 20
-_DIAGONAL = math.sqrt(3.0) * (1 + 1e-9)
-
-
-def _edge(level: Column) -> Column:
-    return F.pow(F.lit(2.0), level)
+# Levels a crowded cube is split by at once: into 64 cubes, of which only those with sources remain.
+SPLIT_LEVELS = 2
+# Sources of a cube that one key of the join holds without a limit.
+SOURCES_PER_KEY = 4096
+_AXES = ("x", "y", "z")
+_CUBE = ["level", "bx", "by", "bz"]
+_SLACK_M = 0.001  # distances are rounded to the millimetre
 
 
 def _axis(coord: Column, level: Column) -> Column:
-    return F.floor(coord / _edge(level)).cast("bigint")
-
-
-def _pack(bx: Column, by: Column, bz: Column) -> Column:
-    """Three cube numbers in one BIGINT (21 bits each)."""
-    return ((bx + _SHIFT) * (2 * _SHIFT) + (by + _SHIFT)) * (2 * _SHIFT) + (bz + _SHIFT)
-
-
-def _cube(level: Column) -> Column:
-    return _pack(_axis(F.col("x"), level), _axis(F.col("y"), level), _axis(F.col("z"), level))
+    return F.floor(coord / F.pow(F.lit(2.0), level)).cast("bigint")
 
 
 def _level_for(radius: Column) -> Column:
@@ -61,31 +57,91 @@ def _limit_copies(sources: DataFrame, k: int) -> DataFrame:
     return sources.withColumn("copy", F.row_number().over(w)).filter(F.col("copy") <= k).drop("copy")
 
 
-def _shrink(targets: DataFrame, sources: DataFrame, k: int) -> DataFrame:
-    """Lower each target's radius to the tightest cube around it known to hold k sources.
+def _levels(cubes: DataFrame) -> list[int]:
+    """Levels in use, at most ``MAX_LEVEL - MIN_LEVEL + 1``."""
+    return sorted(r.level for r in cubes.select("level").distinct().collect())
+
+
+def _placed(sources: DataFrame, levels: list[int]) -> DataFrame:
+    """Sources with their cube at each of the levels."""
+    level = F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))
+    return sources.withColumn("level", level).withColumns({f"b{c}": _axis(F.col(c), F.col("level")) for c in _AXES})
 
-    Targets carry their columns through the lookup, so one aggregate by cell finishes the step.
-    """
-    levels = F.sequence(F.lit(MIN_LEVEL), F.lit(MAX_LEVEL))
-    crowded = (
-        sources.select("x", "y", "z", F.explode(levels).alias("level"))
-        .select("level", _cube(F.col("level")).alias("cube"))
-        .groupBy("level", "cube").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= k)
-    )
-    # only levels whose diagonal is within the radius; NULL where there is none
-    top = F.floor(F.log2(F.greatest(F.col("r") / _DIAGONAL, F.lit(1.0)))).cast("int")
-    tried = F.when(top >= MIN_LEVEL, F.sequence(F.lit(MIN_LEVEL), F.least(top, F.lit(MAX_LEVEL))))
-    columns = targets.columns
-    found = (
-        targets.withColumn("level", F.explode_outer(tried))
-        .withColumn("cube", _cube(F.col("level")))
-        .join(crowded, ["level", "cube"], "left")
-        .groupBy(*columns).agg(F.min(F.when(F.col("n").isNotNull(), F.col("level"))).alias("tight"))
-    )
-    return found.withColumn(
-        "r", F.coalesce(F.least(F.col("r"), _edge(F.col("tight")) * _DIAGONAL), F.col("r"))
-    ).drop("tight")
+
+def _counted(cubes: DataFrame, sources: DataFrame, levels: list[int]) -> DataFrame:
+    """Keep the cubes that hold sources, with their number ``n``; ``levels`` are those of the cubes."""
+    return cubes.join(_placed(sources, levels).groupBy(*_CUBE).agg(F.count(F.lit(1)).alias("n")), _CUBE)
+
+
+def _cubes_around(targets: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The 27 cubes that cover each target's radius."""
+    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    t = targets.withColumn("level", _level_for(F.col("r")))
+    for c in _AXES:
+        t = t.withColumn(f"d{c}", F.explode(around))
+    return t.select(
+        "cell_id", *carry, "r", *(F.col(c).alias(f"t{c}") for c in _AXES), "level",
+        *((_axis(F.col(c), F.col("level")) + F.col(f"d{c}")).alias(f"b{c}") for c in _AXES))
+
+
+def _bounded(cubes: DataFrame, k: int | None) -> DataFrame:
+    """Drop cubes out of reach; with a limit, reach ends where the k nearest are certain to be found."""
+    edge = F.pow(F.lit(2.0), F.col("level"))
+    low = {c: F.col(f"b{c}") * edge - F.col(f"t{c}") for c in _AXES}
+    near = F.sqrt(sum((F.pow(F.greatest(low[c], -low[c] - edge, F.lit(0.0)), F.lit(2.0)) for c in _AXES), F.lit(0.0)))
+    far = F.sqrt(sum((F.pow(F.greatest(F.abs(low[c]), F.abs(low[c] + edge)), F.lit(2.0)) for c in _AXES), F.lit(0.0)))
+    cubes = cubes.withColumn("near", near)
+    if k is None:
+        return cubes.filter(F.col("near") <= F.col("r") + _SLACK_M).drop("near")
+    cell = Window.partitionBy("cell_id")
+    sure = F.sum("n").over(cell.orderBy("far", *_CUBE).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cubes = cubes.withColumn("far", far).withColumn("sure", sure)
+    bound = F.min(F.when(F.col("sure") >= k, F.col("far") + _SLACK_M)).over(cell)
+    cubes = cubes.withColumn("r", F.least("r", F.coalesce(bound, "r")))
+    return cubes.filter(F.col("near") <= F.col("r") + _SLACK_M).drop("near", "far", "sure")
+
+
+def _narrowed(cubes: DataFrame, sources: DataFrame, k: int) -> DataFrame:
+    """Split crowded cubes and tighten the bound until every cube left holds few sources."""
+    few = max(k, 8)
+    store = lambda df: materialize(df, shared_dir(df.sparkSession, "cubes"))
+    cubes = store(_bounded(_counted(cubes, sources, _levels(cubes)), k))
+    crowded = (F.col("n") > few) & (F.col("level") > MIN_LEVEL)
+    while levels := _levels(cubes.filter(crowded)):
+        down = F.least(F.lit(SPLIT_LEVELS), F.col("level") - MIN_LEVEL)
+        parts = cubes.filter(crowded).drop("n").withColumn("down", down).withColumn("times", F.expr("shiftleft(1, down)"))
+        for c in _AXES:
+            step = F.explode(F.sequence(F.lit(0), F.col("times") - 1))
+            parts = parts.withColumn("step", step).withColumn(f"b{c}", F.col(f"b{c}") * F.col("times") + F.col("step"))
+        parts = parts.withColumn("level", (F.col("level") - F.col("down")).cast("int")).select(*[c for c in cubes.columns if c != "n"])
+        # cubes out of reach go before they are counted
+        parts = _counted(_bounded(parts, None), sources, sorted({max(x - SPLIT_LEVELS, MIN_LEVEL) for x in levels}))
+        cubes = store(_bounded(cubes.filter(~crowded).unionByName(parts), k))
+    return cubes
+
+
+def candidate_pairs(
+    targets: DataFrame, sources: DataFrame, radius: Column, k: int | None, carry: Sequence[str] = (),
+) -> DataFrame:
+    """Pairs (cell_id, src_id, dist_m, r) of targets and sources of nearby cubes, before distances are tested."""
+    t = _positions(targets.withColumn("r", radius.cast("double")), "cell_id", "r", *carry).filter(F.col("r") >= 0)
+    s = _positions(sources, "src_id")
+    around = _cubes_around(t, carry)
+    if k is not None:
+        s = _limit_copies(s, k)
+        cubes = _narrowed(around, s, k).withColumn("part", F.lit(0))
+    else:
+        cubes = _bounded(_counted(around, s, _levels(around)), None)
+        cubes = cubes.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / SOURCES_PER_KEY).cast("int"))))
+    placed = _placed(s, _levels(cubes))
+    sizes = cubes.select(*_CUBE, "n").distinct()
+    if k is None:
+        parts = F.floor(F.col("n") / SOURCES_PER_KEY) + 1
+        placed = placed.join(sizes, _CUBE).withColumn("part", F.pmod(F.xxhash64("src_id"), parts).cast("int"))
+    else:
+        placed = placed.withColumn("part", F.lit(0))
+    pairs = cubes.drop("n").join(placed, [*_CUBE, "part"])
+    return pairs.select("cell_id", "src_id", chord(("tx", "ty", "tz"), ("x", "y", "z")).alias("dist_m"), "r", *carry)
 
 
 def nearest_within(
@@ -99,43 +155,13 @@ def nearest_within(
     """
     if k is not None and k < 1:
         raise ValueError("the neighbour limit must be at least 1")
-    t = _positions(targets.withColumn("r", radius.cast("double")), "cell_id", "r", *carry).filter(F.col("r") >= 0)
-    s = _positions(sources, "src_id")
-    if k is not None:
-        s = _limit_copies(s, k)
-        t = _shrink(t, s, k)
-    t = t.withColumn("level", _level_for(F.col("r")))
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    lv = F.col("level")
-    lookups = (
-        t.withColumn("dx", F.explode(around)).withColumn("dy", F.explode(around))
-        .withColumn("dz", F.explode(around))
-        .select(
-            "cell_id", *carry, "level", "r", F.col("x").alias("tx"), F.col("y").alias("ty"),
-            F.col("z").alias("tz"),
-            _pack(_axis(F.col("x"), lv) + F.col("dx"), _axis(F.col("y"), lv) + F.col("dy"),
-                  _axis(F.col("z"), lv) + F.col("dz")).alias("cube"),
-        )
-    )
-    # at most MAX_LEVEL - MIN_LEVEL + 1 rows, whatever the input
-    used = t.select("level").distinct()
-    placed = (
-        s.withColumn("level", F.explode(F.sequence(F.lit(MIN_LEVEL), F.lit(MAX_LEVEL))))
-        .join(F.broadcast(used), "level", "left_semi")
-        .withColumn("cube", _cube(F.col("level")))
-    )
-    pairs = (
-        lookups.join(placed, ["level", "cube"])
-        .withColumn("dist_m", chord(("tx", "ty", "tz"), ("x", "y", "z")))
-        .filter(F.col("dist_m") <= F.col("r"))
-        .select("cell_id", "src_id", "dist_m", *carry)
-    )
+    pairs = candidate_pairs(targets, sources, radius, k, carry).filter(F.col("dist_m") <= F.col("r")).drop("r")
     w = Window.partitionBy("cell_id").orderBy("dist_m", "src_id")
     ranked = pairs.withColumn("rank", F.row_number().over(w))
     return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
 
-def radius_pairs(targets: DataFrame, sources: DataFrame, max_neighbours: int | None = 100,
+def radius_pairs(targets: DataFrame, sources: DataFrame, max_neighbours: int | None = None,
                  search_radius_m: float | None = None) -> DataFrame:
     """Sources within each target's own radius, closest first.
 
@@ -162,17 +188,22 @@ def source_counts(targets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def build_mapping(targets: DataFrame, sources: DataFrame, max_spacing_m: float,
-                  max_neighbours: int | None = 100, search_radius_m: float | None = None) -> DataFrame:
+                  max_neighbours: int | None = None, search_radius_m: float | None = None) -> DataFrame:
     """The mapping table: radius pairs, and the nearest source of targets that have none.
 
     ``kind`` is ``radius`` or ``nearest``. A target never has both, so applying the mapping needs
-    one join and one aggregate, fallback included. Both kinds come from one search as far as the
-    larger of the two distances: the closest source is the fallback exactly when it lies outside
-    the target's own radius.
+    one join and one aggregate, fallback included. All sources in the radius count unless
+    ``max_neighbours`` is given; then both kinds come from one search as far as the larger of the two
+    distances, as the closest source is the fallback exactly when it lies outside the target's radius.
     """
     own = F.col("radius_m")
     if search_radius_m is not None:
         own = F.least(own, F.lit(float(int(search_radius_m))))
+    if max_neighbours is None:
+        inside = nearest_within(targets, sources, own, None).withColumn("kind", F.lit("radius"))
+        inside = materialize(inside, shared_dir(inside.sparkSession, "radius"))
+        rest = targets.join(inside.select("cell_id").distinct(), "cell_id", "left_anti")
+        return inside.unionByName(nearest_pairs(rest, sources, max_spacing_m).withColumn("kind", F.lit("nearest")))
     reach = F.lit(float(int(max_spacing_m)))
     pairs = nearest_within(
         targets.withColumn("own", own), sources, F.greatest(F.col("own"), reach), max_neighbours, carry=("own",))
@@ -182,6 +213,7 @@ def build_mapping(targets: DataFrame, sources: DataFrame, max_spacing_m: float,
 
 
 MAPPING_PARTITIONS = ["ds", "grid", "hemi", "t_version"]
+_STORED = "cell_id BIGINT, src_id BIGINT, dist_m DOUBLE, rank INT, kind STRING"
 
 
 def missing_mappings(requested: DataFrame, stored: DataFrame) -> DataFrame:
@@ -189,49 +221,71 @@ def missing_mappings(requested: DataFrame, stored: DataFrame) -> DataFrame:
     return requested.join(stored.select(*MAPPING_PARTITIONS).distinct(), MAPPING_PARTITIONS, "left_anti")
 
 
-def store_mapping(mapping: DataFrame, path: str, ds: str, grid: str, hemi: str, t_version: float) -> None:
-    """Write one mapping under its key; the ids are sorted so regridding reads tight row groups."""
-    (
-        mapping.withColumns({
-            "ds": F.lit(ds), "grid": F.lit(grid), "hemi": F.lit(hemi or "all"),
-            "t_version": F.lit(str(t_version)),
-        })
-        .repartition("src_id").sortWithinPartitions("src_id")
-        .write.mode("overwrite").partitionBy(*MAPPING_PARTITIONS).parquet(path)
-    )
+def fingerprint(targets: DataFrame, sources: DataFrame, max_spacing_m: float,
+                max_neighbours: int | None = None, search_radius_m: float | None = None) -> str:
+    """Hash of everything a mapping depends on: both grids and the search parameters."""
+    whole = lambda df, *columns: df.select(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns))).first()
+    parts = (max_spacing_m, max_neighbours, search_radius_m, *whole(targets, "cell_id", "lon", "lat", "radius_m"),
+             *whole(sources, "src_id", "lon", "lat"))
+    return hashlib.md5(repr(parts).encode()).hexdigest()
 
 
-def read_mapping(spark: SparkSession, path: str, ds: str, grid: str, hemi: str, t_version: float) -> DataFrame:
-    """One stored mapping; the key columns prune folders."""
-    return (
-        spark.read.schema(
-            "cell_id BIGINT, src_id BIGINT, dist_m DOUBLE, rank INT, kind STRING, ds STRING,"
-            " grid STRING, hemi STRING, t_version STRING")
-        .parquet(path)
-        .filter((F.col("ds") == ds) & (F.col("grid") == grid) & (F.col("hemi") == (hemi or "all"))
-                & (F.col("t_version") == str(t_version)))
-        .select("cell_id", "src_id", "dist_m", "rank", "kind")
-    )
+def _folder(path: str, ds: str, grid: str, hemi: str, t_version: float) -> str:
+    return f"{path}/ds={ds}/grid={grid}/hemi={hemi or 'all'}/t_version={t_version}"
 
 
-def mapping_exists(spark: SparkSession, path: str, ds: str, grid: str, hemi: str, t_version: float) -> bool:
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(
-        f"{path}/ds={ds}/grid={grid}/hemi={hemi or 'all'}/t_version={t_version}"
-    )
-    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder))
+def _filesystem(spark: SparkSession, folder: str):
+    """(file system, path) of a folder, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def store_mapping(mapping: DataFrame, path: str, ds: str, grid: str, hemi: str, t_version: float, mark: str) -> None:
+    """Write one mapping below its own key and fingerprint; mappings of other keys are not touched.
+
+    Ids are sorted so that regridding reads tight row groups. Older fingerprints of the key go once the
+    new mapping is complete.
+    """
+    spark, key = mapping.sparkSession, _folder(path, ds, grid, hemi, t_version)
+    folder = f"{key}/fingerprint={mark}"
+    mapping.select("cell_id", "src_id", "dist_m", "rank", "kind").repartition("src_id").sortWithinPartitions("src_id").write.mode("overwrite").parquet(folder)
+    fs, root = _filesystem(spark, key)
+    for status in fs.listStatus(root):
+        if status.getPath().getName() != f"fingerprint={mark}":
+            fs.delete(status.getPath(), True)
+
+
+def read_mapping(spark: SparkSession, path: str, ds: str, grid: str, hemi: str, t_version: float, mark: str) -> DataFrame:
+    """One stored mapping."""
+    return spark.read.schema(_STORED).parquet(f"{_folder(path, ds, grid, hemi, t_version)}/fingerprint={mark}")
+
+
+def mapping_exists(spark: SparkSession, path: str, ds: str, grid: str, hemi: str, t_version: float, mark: str) -> bool:
+    """Whether the mapping was written to its end; an empty one counts."""
+    fs, done = _filesystem(spark, f"{_folder(path, ds, grid, hemi, t_version)}/fingerprint={mark}/_SUCCESS")
+    return bool(fs.exists(done))
 
 
 def ensure_mapping(spark: SparkSession, path: str, key: tuple[str, str, str, float], targets: DataFrame,
                    sources: DataFrame, max_spacing_m: float, **kwargs) -> DataFrame:
-    """Reuse a stored mapping or build and store it."""
-    if not mapping_exists(spark, path, *key):
-        store_mapping(build_mapping(targets, sources, max_spacing_m, **kwargs), path, *key)
-    return read_mapping(spark, path, *key)
+    """Reuse the mapping stored for this key, these grids and parameters, or build and store it."""
+    mark = fingerprint(targets, sources, max_spacing_m, **kwargs)
+    if not mapping_exists(spark, path, *key, mark):
+        store_mapping(build_mapping(targets, sources, max_spacing_m, **kwargs), path, *key, mark)
+    return read_mapping(spark, path, *key, mark)
+
+
+def invalidate_mappings(spark: SparkSession, path: str, ds: str | None = None, grid: str | None = None) -> int:
+    """Delete the stored mappings of a dataset, a grid, or all; returns how many grid folders went."""
+    fs, pattern = _filesystem(spark, f"{path}/ds={ds or '*'}/grid={grid or '*'}")
+    found = fs.globStatus(pattern) or []
+    for status in found:
+        fs.delete(status.getPath(), True)
+    return len(found)
 
 
 def without_mappings(stored: DataFrame, ds: str | None = None, grid: str | None = None) -> DataFrame:
-    """Stored mappings after invalidation: all of them, or those of one dataset or grid, are gone."""
+    """A list of stored mappings after invalidation: all of them, or those of one dataset or grid, are gone."""
     gone = F.lit(True)
     if ds is not None:
         gone = gone & (F.col("ds") == ds)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime settings: safe to set on a session somebody else created.
@@ -19,7 +22,10 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session; its Python workers can import this package."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

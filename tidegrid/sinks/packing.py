@@ -18,8 +18,6 @@ from tidegrid.functions.units import BINARY_FILL
 
 BLOCK_CELLS = 65_536
 BYTES_PER_CELL = 4
-# Records above this many cells are kept as blocks; joined they would outgrow a binary value.
-JOINABLE_CELLS = 64_000_000
 
 
 def pack_records(values: DataFrame, keys: Sequence[str], position: Column, n_cells: int,
@@ -48,12 +46,3 @@ def pack_records(values: DataFrame, keys: Sequence[str], position: Column, n_cel
         *keys, position.cast("bigint").alias("__pos"), F.col(value).cast("float").alias("__v")
     ).withColumn("block", F.floor(F.col("__pos") / block_cells))
     return rows.groupBy(*keys, "block").applyInPandas(pack, schema)
-
-
-def join_blocks(blocks: DataFrame, keys: Sequence[str], n_cells: int) -> DataFrame:
-    """Whole records as one binary column, for grids small enough to hold in a value."""
-    if n_cells > JOINABLE_CELLS:
-        raise ValueError(f"{n_cells} cells do not fit one value; use the blocks with their offsets")
-    parts = F.array_sort(F.collect_list(F.struct("block", "data")))
-    joined = F.aggregate(parts, F.lit(b"").cast("binary"), lambda acc, p: F.concat(acc, p["data"]))
-    return blocks.groupBy(*keys).agg(joined.alias("data"))

@@ -63,18 +63,18 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df
 
 
-def grid_stats(sources: DataFrame, targets: DataFrame, data_res: float, cap: int = 100) -> DataFrame:
-    """One row: spacing bounds of the source grid, largest target radius, neighbour bound."""
+def grid_stats(sources: DataFrame, targets: DataFrame, data_res: float, cap: int | None = None) -> DataFrame:
+    """One row: spacing bounds of the source grid, largest target radius, neighbour bound (limited only by a given ``cap``)."""
     widest = targets.agg(F.max("radius_m")).scalar()
     needed = F.floor(F.pow(F.col("max_radius_m") * 2 / F.col("min_spacing_m"), F.lit(2.0)))
     return sources.agg(
         (F.cos(F.radians(F.max(F.abs("lat")))) * data_res * METRES_PER_DEGREE).alias("min_spacing_m")
     ).select(
         "min_spacing_m", F.lit(data_res * METRES_PER_DEGREE).alias("max_spacing_m"), widest.alias("max_radius_m")
-    ).withColumn("neighbours", F.greatest(F.lit(1), F.least(F.lit(cap), needed)).cast("int"))
+    ).withColumn("neighbours", F.greatest(F.lit(1), needed if cap is None else F.least(F.lit(cap), needed)).cast("int"))
 
 
-def neighbour_bound(max_radius_m: float, min_spacing_m: float, cap: int | None = 100) -> int:
-    """Most source cells a target can need, limited by ``cap`` and at least 1."""
+def neighbour_bound(max_radius_m: float, min_spacing_m: float, cap: int | None = None) -> int:
+    """Most source cells a target can need, at least 1; limited only if ``cap`` is given."""
     needed = int((max_radius_m * 2 / min_spacing_m) ** 2)
     return max(1, needed if cap is None else min(cap, needed))

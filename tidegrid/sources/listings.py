@@ -18,10 +18,8 @@ JSON_ENTRY = (
     "STRUCT<id: STRING, collection_concept_id: STRING, updated: STRING,"
     " links: ARRAY<STRUCT<rel: STRING, href: STRING>>>"
 )
-_XML_ENTRY = "_urlPath: STRING, date: ARRAY<STRUCT<_VALUE: STRING, _type: STRING>>"
-XML_CATALOG = f"dataset ARRAY<STRUCT<dataset: ARRAY<STRUCT<{_XML_ENTRY}, dataset: ARRAY<STRUCT<{_XML_ENTRY}>>>>>>"
-# Time text in the listings.
-JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Time text in the listings; updates have one to six digits of a second's fraction.
+JSON_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}Z$"
 LINK_TIME = "dd-MMM-yyyy HH:mm"
 XML_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 TABLE_TIME = "yyyy-MM-dd HH:mm"
@@ -35,6 +33,13 @@ def _join_url(base: Column, leaf: Column) -> Column:
     )
 
 
+def _entities(text: Column) -> Column:
+    """The characters behind the entities that addresses hold."""
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return text
+
+
 def entries_json(pages: DataFrame, provider: str, body: str = "body") -> DataFrame:
     """Catalogue search results: the first data link that names the provider, per entry."""
     entry = F.explode(F.from_json(F.col(body), f"ARRAY<{JSON_ENTRY}>")).alias("entry")
@@ -44,7 +49,8 @@ def entries_json(pages: DataFrame, provider: str, body: str = "body") -> DataFra
         lambda link: (link["rel"] == DATA_RELATION) & link["href"].contains(provider),
     )
     url = F.get(links, F.lit(0))["href"]
-    time = F.try_to_timestamp(F.col("entry.updated"), F.lit(JSON_TIME))
+    updated = F.col("entry.updated")
+    time = F.when(updated.rlike(JSON_TIME), F.try_to_timestamp(updated))
     return rows.select(
         *[c for c in rows.columns if c != "entry"],
         F.col("entry.id").alias("id"),
@@ -59,17 +65,25 @@ def entries_json(pages: DataFrame, provider: str, body: str = "body") -> DataFra
 def entries_links(
     pages: DataFrame, body: str = "body", url: str = "url", skip_first: int = 1,
 ) -> DataFrame:
-    """Directory page: every anchor after the first, with the time text that follows it."""
-    anchor = r'<a [^>]*href="([^"]*)"[^>]*>[^<]*</a>'
-    with_tail = anchor + r"([^<]*)"
-    listed = F.arrays_zip(
-        F.regexp_extract_all(F.col(body), F.lit(with_tail), 1).alias("href"),
-        F.regexp_extract_all(F.col(body), F.lit(with_tail), 2).alias("tail"),
-    )
+    """Directory page: every anchor after the first, with the time text that follows it.
+
+    The page is cut where anchors begin, so markup inside an anchor, capitals, any quotes (or none) and
+    anchors without an end do not matter. Anchors without an address count for ``skip_first`` and go.
+    """
+    seen = F.regexp_replace(F.col(body), r"(?s)<!--.*?-->", "")
+    parts = F.filter(F.split(seen, r"(?i)<a(?=[\s>])"), lambda part, i: i > 0)
+    address = r"""(?is)^(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+    def link(part: Column) -> Column:
+        found = F.concat(*[F.regexp_extract(part, address, i) for i in (1, 2, 3)])
+        return F.struct(
+            F.when(part.rlike(address), _entities(F.trim(found))).alias("href"),
+            F.regexp_extract(part, r"(?is)</a\s*>([^<]*)", 1).alias("tail"))
+
     rows = pages.select(
         *[c for c in pages.columns if c != body],
-        F.posexplode(listed).alias("position", "link"),
-    ).filter(F.col("position") >= skip_first)
+        F.posexplode(F.transform(parts, link)).alias("position", "link"),
+    ).filter((F.col("position") >= skip_first) & F.col("link.href").isNotNull())
     stamp = F.regexp_extract(F.col("link.tail"), r"(\d{1,2}-[A-Za-z]{3}-\d{4} +\d{2}:\d{2})", 1)
     return rows.select(
         *[c for c in pages.columns if c not in (body, url)],
@@ -103,11 +117,12 @@ def catalog_refs(pages: DataFrame, start: str, end: str, body: str = "body") ->
 
 
 def months_in_range(refs: DataFrame, start: str, end: str, year: str = "year", title: str = "title") -> DataFrame:
-    """Month folders inside the range; folders of a non-numeric year or title are kept whole."""
+    """Month folders inside the range of years and months; folders of a non-numeric year or title are kept whole."""
     y, m = F.col(year).try_cast("int"), F.col(title).try_cast("int")
     first = F.when(y == bound_year(start), F.lit(_month(start))).otherwise(F.lit(1))
     last = F.when(y == bound_year(end), F.lit(_month(end, 12))).otherwise(F.lit(12))
-    return refs.filter(y.isNull() | m.isNull() | m.between(first, last))
+    in_years = y.isNull() | y.between(bound_year(start), bound_year(end))
+    return refs.filter(in_years & (y.isNull() | m.isNull() | m.between(first, last)))
 
 
 def _month(text: str, now: int = 12) -> int:
@@ -118,26 +133,32 @@ def _month(text: str, now: int = 12) -> int:
 
 
 def entries_xml(pages: DataFrame, file_server: str, body: str = "body") -> DataFrame:
-    """Catalogue page: ``dataset`` elements with an address, one or two levels below another one.
+    """Catalogue page: ``dataset`` elements with an address, at any depth below another one.
 
-    A page is parsed once; address and date come from the same element, so one without a date keeps
-    its own missing time.
+    The page is cut at the tags of datasets. An element's own content ends where the next dataset begins
+    or ends, so address and date come from the same element and one without a date keeps its own
+    missing time. The depth is the number of datasets begun and not ended before.
     """
-    doc = F.from_xml(F.col(body), XML_CATALOG, {"ignoreNamespace": "true", "rowTag": "catalog"})
-    inner = lambda d: F.coalesce(d["dataset"], F.array())
-    plain = lambda e: F.struct(e["_urlPath"].alias("path"), F.get(e["date"], F.lit(0))["_VALUE"].alias("date"))
-    second = F.coalesce(F.col("top.dataset"), F.array())
-    third = F.flatten(F.transform(second, inner))
-    entries = F.concat(F.transform(second, plain), F.transform(third, plain))
+    seen = F.regexp_replace(F.col(body), r"(?s)<!--.*?-->", "")
+    cut = F.regexp_replace(seen, r"<(/?)(?:[\w.-]+:)?dataset(?=[\s/>])", "\u0001$1")
+    parts = F.filter(F.split(cut, "\u0001"), lambda part, i: i > 0)
+    tag = r"""(?s)^(?:[^>"']|"[^"]*"|'[^']*')*"""
+    closes = lambda part: part.startswith("/")
+    alone = lambda part: part.rlike(tag + "/>") & ~closes(part)
+    step = lambda part: F.when(closes(part), -1).when(alone(part), 0).otherwise(1)
+    address = r"""(?s)^(?:[^>"']|"[^"]*"|'[^']*')*?\surlPath\s*=\s*(?:"([^"]*)"|'([^']*)')"""
     keep = [c for c in pages.columns if c not in (body, "url")]
-    return (
-        # exploding the outer elements first keeps the parse from being repeated per use
-        pages.select(*keep, F.explode(doc["dataset"]).alias("top"))
-        .select(*keep, F.explode(F.filter(entries, lambda e: e["path"].isNotNull())).alias("d"))
-        .select(
-            *keep, _join_url(F.lit(file_server), F.col("d.path")).alias("url"),
-            F.try_to_timestamp(F.trim(F.col("d.date")), F.lit(XML_TIME)).alias("mod_time"))
-    )
+    begun = F.aggregate(
+        parts, F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth:int,part:string>>").alias("found")),
+        lambda acc, part: F.struct(
+            (acc["depth"] + step(part)).alias("depth"),
+            F.when(closes(part) | ~part.rlike(address), acc["found"]).otherwise(
+                F.concat(acc["found"], F.array(F.struct(acc["depth"].alias("depth"), part.alias("part"))))).alias("found")),
+        lambda acc: acc["found"])
+    path = F.concat(*[F.regexp_extract("d.part", address, i) for i in (1, 2)])
+    date = F.regexp_extract("d.part", r"(?s)<(?:[\w.-]+:)?date(?:\s[^>]*)?>([^<]*)<", 1)
+    return pages.select(*keep, F.explode(begun).alias("d")).filter("d.depth > 0").select(
+        *keep, _join_url(F.lit(file_server), _entities(path)).alias("url"), F.try_to_timestamp(F.trim(date), F.lit(XML_TIME)).alias("mod_time"))
 
 
 def entries_table(pages: DataFrame, body: str = "body", url: str = "url") -> DataFrame:

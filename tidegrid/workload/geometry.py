@@ -13,7 +13,7 @@ from tidegrid.sinks.packing import pack_records
 from tidegrid.sources import cells as src_cells
 from tidegrid.sources import grids
 from tidegrid.workload.registry import Views, query
-from tidegrid.workload.sqltext import sql
+from tidegrid.workload.sqltext import R, sql
 
 
 @query("lon_wrap", sql("", """
@@ -138,7 +138,7 @@ def _forward(p: geo.Projection, lon, lat):
     FROM (SELECT max(abs(lat)) AS m FROM b_src), (SELECT max(radius_m) AS r FROM b_tgt)"""))
 def grid_stats(v: Views):
     """Source spacing bounds, largest radius, neighbour bound."""
-    return grids.grid_stats(v.src, v.tgt, 5.0).withColumn("min_spacing_m", F.round("min_spacing_m", 4))
+    return grids.grid_stats(v.src, v.tgt, 5.0, cap=100).withColumn("min_spacing_m", F.round("min_spacing_m", 4))
 
 
 @query("radius_coalesce", sql("", """
@@ -170,8 +170,8 @@ def grid_merge_coords(v: Views):
 
 @query("map_radius", sql("m_radius", "SELECT cell_id, src_id, rank FROM m_radius WHERE rank <= 100"))
 def map_radius(v: Views):
-    """Sources within each target's radius, at most 100, closest first."""
-    return mapping.radius_pairs(v.tgt, v.src).select("cell_id", "src_id", "rank")
+    """Sources within each target's radius, at most 100 on request, closest first."""
+    return mapping.radius_pairs(v.tgt, v.src, max_neighbours=100).select("cell_id", "src_id", "rank")
 
 
 @query("map_topk", sql("m_radius", "SELECT cell_id, src_id, rank FROM m_radius WHERE rank <= 3"))
@@ -186,6 +186,20 @@ def map_unlimited(v: Views):
     return mapping.radius_pairs(v.tgt, v.src, max_neighbours=None).select("cell_id", "src_id", "rank")
 
 
+@query("map_dense", sql("b_src b_tgt", f"""
+    WITH s AS (SELECT src_id, 10.0 + (src_id % 97) * 1e-4 AS lon, 45.0 + (src_id % 89) * 1e-4 AS lat FROM b_src),
+    t AS (SELECT cell_id, 10.0 + (cell_id % 13 - 6) * 3e-3 AS lon, 45.0 + (cell_id % 7 - 3) * 3e-3 AS lat FROM b_tgt),
+    d AS (SELECT cell_id, src_id, round({R} * sqrt(pow(cos(radians(s.lat)) * cos(radians(s.lon)) - cos(radians(t.lat)) * cos(radians(t.lon)), 2)
+      + pow(cos(radians(s.lat)) * sin(radians(s.lon)) - cos(radians(t.lat)) * sin(radians(t.lon)), 2) + pow(sin(radians(s.lat)) - sin(radians(t.lat)), 2)), 3) AS dist_m FROM s, t)
+    SELECT cell_id, CAST(row_number() OVER (PARTITION BY cell_id ORDER BY dist_m) AS INTEGER) AS rank, CAST(round(dist_m * 1000) AS BIGINT) // 100 AS dist_dm FROM d QUALIFY rank <= 10"""))
+def map_dense(v: Views):
+    """The ten closest distances of targets in and beside a place where all sources crowd."""
+    s = v.src.select("src_id", (10.0 + (F.col("src_id") % 97) * 1e-4).alias("lon"), (45.0 + (F.col("src_id") % 89) * 1e-4).alias("lat"))
+    t = v.tgt.select("cell_id", (10.0 + (F.col("cell_id") % 13 - 6) * 3e-3).alias("lon"), (45.0 + (F.col("cell_id") % 7 - 3) * 3e-3).alias("lat"))
+    near = mapping.nearest_within(t, s, F.lit(100_000.0), 10)
+    return near.select("cell_id", "rank", F.floor(F.round(F.col("dist_m") * 1000) / 100).alias("dist_dm"))
+
+
 @query("map_nearest", sql("m_nearest", "SELECT cell_id, src_id FROM m_nearest"))
 def map_nearest(v: Views):
     """The closest source within the source spacing."""

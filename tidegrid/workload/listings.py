@@ -25,7 +25,7 @@ def _orders(v: Views):
     FROM (SELECT page_id, hrefs, unnest(range(2, len(hrefs) + 1)) AS i
           FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>[^<]*</a>([^<]*)', 1) AS hrefs FROM pages))"""))
 def listing_links(v: Views):
-    """Anchors of whole pages after the first."""
+    """Anchors of whole pages after the first (these pages have plain anchors only; see listing_links_large)."""
     pages = v.table("pages").select("page_id", "url", F.col("html").alias("body"))
     return listings.entries_links(pages).select("page_id", "position", "href")
 
@@ -49,6 +49,61 @@ def listing_links_dated(v: Views):
     return rows.select("o_orderkey", "position", "url", ts_text("mod_time").alias("mod_time"))
 
 
+def _pages_by(v: Views, begin: str, entry, end: str):
+    """Pages of several hundred entries: the orders of one customer segment and day of the month, in order of their keys."""
+    rows = v.orders.join(v.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("e"))))
+    return rows.groupBy("c_mktsegment").agg(entries.alias("entries")).select(
+        "c_mktsegment", F.lit("https://host/list/").alias("url"),
+        F.concat(F.lit(begin), F.array_join(F.transform("entries", lambda x: x["e"]), ""), F.lit(end)).alias("body"))
+
+
+_BY_SEGMENT = "orders JOIN customer ON c_custkey = o_custkey"
+
+
+@query("listing_links_large", sql("", f"""
+    SELECT c_mktsegment, CAST(row_number() OVER (PARTITION BY c_mktsegment ORDER BY o_orderkey) AS INTEGER) AS position,
+           'https://host/list/a&b/G' || o_orderkey || '.nc' AS url, strftime(o_orderdate, '%Y-%m-%d') || ' 03:04:00' AS mod_time
+    FROM {_BY_SEGMENT}"""))
+def listing_links_large(v: Views):
+    """Long pages with nested markup, capitals and every kind of quotes."""
+    day, k = F.date_format("o_orderdate", "dd-MMM-yyyy"), F.col("o_orderkey") % 4
+    name = F.concat(F.lit("a&amp;b/G"), _key(), F.lit(".nc"))
+    tag = F.when(k == 0, F.concat(F.lit('<A title="x > y" HREF="'), name, F.lit('"><B>file</B> <i>x</i></A>')))
+    tag = tag.when(k == 1, F.concat(F.lit("<a\nhref = '"), name, F.lit("' class=c>file</a >")))
+    tag = tag.when(k == 2, F.concat(F.lit("<a href="), name, F.lit(">file <img src='p.gif'></a>")))
+    tag = tag.otherwise(F.concat(F.lit('<a data-href="no" href="'), name, F.lit('">file</a>')))
+    pages = _pages_by(v, '<abbr>no</abbr><!-- <a href="no">no</a> --><a href="../">Up</a>', F.concat(tag, F.lit("  "), day, F.lit(" 03:04  1K\n")), "")
+    return listings.entries_links(pages).select("c_mktsegment", "position", "url", ts_text("mod_time").alias("mod_time"))
+
+
+@query("listing_xml_large", sql("", f"""
+    SELECT c_mktsegment, 'https://s/d&e/G' || o_orderkey || '.nc' AS url,
+           CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 07:08:09' END AS mod_time FROM {_BY_SEGMENT}"""))
+def listing_xml_large(v: Views):
+    """Long catalogues, entries one to four levels below the outermost one, some without a date."""
+    k, depth = F.col("o_orderkey") % 5, (F.col("o_orderkey") % 4).cast("int")
+    date = F.when(k != 0, F.concat(F.lit("<date type='modified'> "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T07:08:09Z </date>"))).otherwise("")
+    item = F.concat(F.lit("<t:dataset name='a>b' urlPath=\""), F.lit("d&amp;e/G"), _key(), F.lit('.nc">'), date, F.lit("</t:dataset>"))
+    nest = F.concat(F.repeat(F.lit("<dataset name='n'><date>2001-01-01T00:00:00Z</date>"), depth), item, F.repeat(F.lit("</dataset>"), depth))
+    pages = _pages_by(v, "<catalog xmlns:t='u'><dataset urlPath='outermost'><date>2001-01-01T00:00:00Z</date><dataset name='empty'/>", nest, "</dataset></catalog>")
+    return listings.entries_xml(pages, "https://s/").select("c_mktsegment", "url", ts_text("mod_time").alias("mod_time"))
+
+
+@query("listing_json_large", sql("", f"""
+    SELECT c_mktsegment, 'G' || o_orderkey AS id,
+           strftime(o_orderdate, '%Y-%m-%d') || ' 04:05:06.' || rpad(substr('123456', 1, CAST(1 + o_orderkey % 6 AS INTEGER)), 6, '0') AS mod_time FROM {_BY_SEGMENT}"""))
+def listing_json_large(v: Views):
+    """Long result pages; update times with one to six digits of a second's fraction."""
+    digits = F.substring(F.lit("123456"), F.lit(1), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    entry = F.to_json(F.struct(
+        F.concat(F.lit("G"), _key()).alias("id"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T04:05:06."), digits, F.lit("Z")).alias("updated"),
+        F.array(F.struct(F.lit(listings.DATA_RELATION).alias("rel"), F.lit("https://provA/x").alias("href"))).alias("links")))
+    pages = _pages_by(v, "[", F.concat(entry, F.lit(",")), '{"id": "last"}]')
+    rows = listings.entries_json(pages, "provA").filter("reject_reason IS NULL")
+    return rows.select("c_mktsegment", "id", F.date_format("mod_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mod_time"))
+
+
 @query("listing_year_folders", sql("", """
     SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
     WHERE year(o_orderdate) BETWEEN 1996 AND 1999"""))
@@ -133,8 +188,7 @@ def listing_month_folders(v: Views):
     refs = v.orders.select(
         "o_orderkey", F.year("o_orderdate").cast("string").alias("year"), F.date_format("o_orderdate", "MM").alias("title"))
     start, end = "19960301T00:00:00Z", "19991031T00:00:00Z"
-    in_years = refs.filter(F.col("year").cast("int").between(1996, 1999))
-    return listings.months_in_range(in_years, start, end).select("o_orderkey")
+    return listings.months_in_range(refs, start, end).select("o_orderkey")
 
 
 @query("listing_table_rows", sql("", """

@@ -43,7 +43,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT cell_id, src_id, dist_m FROM b_dist WHERE dist_m <= 560000
         QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY dist_m, src_id) = 1"""),
     "m_all": (("m_radius", "m_nearest"), """
-        SELECT cell_id, src_id, dist_m, 'radius' AS kind FROM m_radius WHERE rank <= 100
+        SELECT cell_id, src_id, dist_m, 'radius' AS kind FROM m_radius
         UNION ALL
         SELECT cell_id, src_id, dist_m, 'nearest' FROM m_nearest
         WHERE cell_id NOT IN (SELECT cell_id FROM m_radius)"""),
@@ -82,7 +82,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT ds, grid, field, CAST(year(date) AS INTEGER) AS year, max(date) AS last,
                      count(*) FILTER (success) * 100 >= count(*) * 82 AS success
               FROM b_tx GROUP BY ALL)
-        WHERE year <= 1999"""),
+        WHERE grid <> 'N' OR year % 3 <> 0"""),
     "b_cfg": ((), """
         SELECT 'DS' || n_nationkey AS ds,
                CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'V' || n_regionkey END AS variable,

@@ -144,12 +144,14 @@ def monthly_mean_strict_dropped(v: Views):
 
 
 @query("monthly_mean_events", sql("b_series", """
-    SELECT field, cell_id, round(avg(value), 8) AS value, count(value) AS n_valid FROM b_series GROUP BY ALL"""))
+    WITH c AS (SELECT DISTINCT field, year(date) AS y, cell_id FROM b_series),
+    s AS (SELECT field, year(date) AS y, month(date) AS m, cell_id, round(avg(value), 8) AS value FROM b_series GROUP BY ALL)
+    SELECT field, CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, cell_id, value
+    FROM c CROSS JOIN (SELECT unnest(range(1, 13)) AS m) LEFT JOIN s USING (field, y, m, cell_id)"""))
 def monthly_mean_events(v: Views):
-    """Monthly means of the merged records, January only."""
-    out = ops.monthly_mean(v.series, ["field"], skipna=True).filter(F.col("month") == 1)
-    n = v.series.groupBy("field", "cell_id").agg(F.count("value").alias("n_valid"))
-    return out.join(n, ["field", "cell_id"]).select("field", "cell_id", F.round("value", 8).alias("value"), "n_valid")
+    """Monthly means of the merged records, all twelve months."""
+    out = ops.monthly_mean(v.series, ["field"], skipna=True)
+    return out.select("field", "year", "month", "cell_id", F.round("value", 8).alias("value"))
 
 
 @query("year_minmax", sql("", f"""
