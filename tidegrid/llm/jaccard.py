@@ -9,10 +9,11 @@
    differ are at most the elements in which the sets differ.
 4. Pairs that pass are settled by intersecting the sorted arrays.
 
-Tiles of many copies would give quadratically many pairs. So each tile first proposes only links to its
-leader, the class that shares most tiles. Then components are taken, and a second round compares, in
-blocks of bounded size, only classes of a tile that are still in different components. Every pair of a
-tile is so either compared or already connected: components are exact.
+Tiles of many copies would give quadratically many pairs. So a tile has a leader, the class with the
+largest tiles, and first each class is compared with only one leader, the one with which it shares most
+tiles. Then components are taken, and a second round compares, in blocks of bounded size, only classes
+of a tile that are still in different components. Every pair of a tile is so either compared or
+already connected: components are exact.
 """
 
 from __future__ import annotations
@@ -85,13 +86,26 @@ class Bands:
         return self.cuts[band]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s, SALTS[2]), dtype=np.uint64)])
+        """One hash per band and part. Two linked sets of a band have one in common.
+
+        That two parts are both empty says little, so an empty part is joined with the part after it,
+        as it is and with each element left out: if linked sets agree on empty parts only, at least one
+        of those is followed by a part with a single difference, or by another one of them.
+        """
+        mixed = mix(s, SALTS[2])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
         out = []
         for band in self.tiles(len(s)):
             cuts = self.parts(band)
             ends = np.concatenate([[0], np.searchsorted(s, cuts), [len(s)]])
-            part = np.arange(len(cuts) + 1, dtype=np.uint64) + np.uint64(band << 40)
-            out.append(mix(mix(sums[ends[1:]] - sums[ends[:-1]]) ^ mix(part, SALTS[3])))
+            part = mix(np.arange(len(cuts) + 1, dtype=np.uint64) + np.uint64(band << 40), SALTS[3])
+            content = sums[ends[1:]] - sums[ends[:-1]]
+            empty = ends[1:] == ends[:-1]
+            out.append(mix(mix(content[~empty]) ^ part[~empty]))
+            for j in np.flatnonzero(empty):
+                after = (j + 1) % len(part)
+                variants = content[after] - np.append(mixed[ends[after] : ends[after + 1]], np.uint64(0))
+                out.append(mix(mix(variants, SALTS[1]) ^ part[j]))
         return np.concatenate(out)
 
 
@@ -174,8 +188,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     differ = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
     both = F.col("na") + F.col("nb")
     passed = pairs.join(x, "a").join(y, "b").filter((100 + percent) * (both - differ) >= 2 * percent * both).select("a", "b")
-    rows = passed.join(sets.select(F.col("f").alias("a"), F.col("elements").alias("x")), "a").join(
-        sets.select(F.col("f").alias("b"), F.col("elements").alias("y")), "b").select("a", "b", "x", "y")
+    passed = checked(stored(passed, "passed"))  # small beside the sets, which then need not move
+    sides = [sets.join(passed.withColumn("f", F.col(side)), "f").select("a", "b", F.col("elements").alias(name)) for side, name in (("a", "x"), ("b", "y"))]
+    rows = sides[0].join(sides[1], ["a", "b"]).select("a", "b", "x", "y")
     return stored(rows.mapInArrow(_intersect(percent), "a long, b long"), "links")
 
 
@@ -254,16 +269,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
 
     wanted = stored(classes.join(tiles.select("f").distinct(), "f", "left_semi").select(F.col("first_row").alias("row")), "members")
     sets = stored(docs.join(checked(wanted), "row", "left_semi").select("text").mapInArrow(
-        _sets(k), f"f long, n long, {', '.join(f'{b} long' for b in BITS)}, elements binary").dropDuplicates(["f"]), "sets")
+        _sets(k), f"f long, n long, {', '.join(f'{b} long' for b in BITS)}, elements binary"), "sets")
+    if not sets.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():  # rows with one id and text
+        sets = stored(sets.dropDuplicates(["f"]), "sets")
 
     weights = tiles.groupBy("f").agg(F.sum("m").alias("w"))
-    weighed = tiles.join(weights, "f")
-    leaders = weighed.groupBy("sig").agg(F.max_by("f", F.struct("w", "f")).alias("leader"))
-    star = tiles.join(leaders, "sig").filter("f != leader").select(F.least("f", "leader").alias("a"), F.greatest("f", "leader").alias("b"))
-    star = stored(star.distinct(), "star")
+    leaders = tiles.join(weights, "f").groupBy("sig").agg(F.max_by("f", F.struct("w", "f")).alias("leader"))
+    shared = tiles.join(leaders, "sig").filter("f != leader").groupBy("f", "leader").agg(F.count(F.lit(1)).alias("c"))
+    star = shared.groupBy("f").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+    star = stored(star.select(F.least("f", "leader").alias("a"), F.greatest("f", "leader").alias("b")).distinct(), "star")
     links = verified(star, sets, percent)
     labels = stored(components(links), "labels")
-    rest = unresolved_pairs(tiles.filter("m > 2").select("sig", "f"), labels, sets, percent)
+    rest = unresolved_pairs(tiles.select("sig", "f"), labels, sets, percent)
     more = verified(rest.join(star, ["a", "b"], "left_anti"), sets, percent)
     if not more.isEmpty():
         labels = stored(components(links.union(more)), "labels")
