@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 from conftest_llm import VOCABULARY, prose  # noqa: E402
 
-from tidegrid.llm.scratch import ready  # noqa: E402
+from tidegrid.session import configure  # noqa: E402
 
 CLASHING = ["row", "f", "g", "n", "sig", "part", "size", "target", "shard", "quota", "h", "spans", "places", "starts", "label", "root", "vector", "turns", "words"]
 
@@ -16,7 +16,7 @@ CLASHING = ["row", "f", "g", "n", "sig", "part", "size", "target", "shard", "quo
 @pytest.fixture
 def corpus(spark):
     """Make documents from (doc_id, text, lang, source) rows, with columns named like the operators' own."""
-    ready(spark)
+    configure(spark)
 
     def make(rows, extra=True):
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidegrid.llm import chat, htmltext, neighbours
-from tidegrid.llm.scratch import ready
+from tidegrid.session import configure
 
 PIECES = st.lists(st.sampled_from(["\\", "\\e", "\\a", "</s>", "<s>", "[TURN]", "[/TURN]", "[INST]", "\n", "é", "x", "\\\\b", "<", "["]), max_size=8).map("".join)
 
@@ -20,7 +20,7 @@ PIECES = st.lists(st.sampled_from(["\\", "\\e", "\\a", "</s>", "<s>", "[TURN]",
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.sampled_from(["user", "assistant", "system", "a\nb[/TURN]"]), PIECES), max_size=40))
 def test_chat_round_trip(spark, rows):
-    ready(spark)
+    configure(spark)
     rows = [*rows, (9, 0, None, None), (9, None, "user", "</s>"), (None, 1, "assistant", "x"), (9, 0, None, None)]
     turns = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "conv_id long, turn long, role string, text string, turns string, segments string")
     formatted = chat.format_conversations(turns)
@@ -40,7 +40,7 @@ def test_chat_round_trip(spark, rows):
 
 
 def test_chat_order_and_empty(spark):
-    ready(spark)
+    configure(spark)
     orders = {1: "ua", 2: "sua", 3: "a", 4: "uu", 5: "uaua", 6: "u", 7: "us", 8: "uata", 9: "ux"}
     names = {"u": "user", "a": "assistant", "s": "system", "t": "tool", "x": None}
     rows = [(c, i, names[x], "t") for c, o in orders.items() for i, x in enumerate(o)]
@@ -83,7 +83,7 @@ def test_every_word_comes_out(parts):
 
 
 def test_pages(spark):
-    ready(spark)
+    configure(spark)
     deep = "<div>" * 20_000 + "deep" + "<table><tr><td>" * 500 + "in"
     rows = [(1, "<p>a", "c"), (1, "<p>a", "c"), (None, None, "c"), (2, "", "c"), (3, deep, "c"), (4, "<p>" + "word " * 200_000, "c")]
     got = Counter((r.page_id, r.text) for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect())
@@ -92,7 +92,7 @@ def test_pages(spark):
 
 
 def vectors(spark, rows):
-    ready(spark)
+    configure(spark)
     return spark.createDataFrame([(*r, "clash", 1) for r in rows], "vec_id long, embedding array<float>, vector string, r int")
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm import chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
-from tidegrid.llm.scratch import ready, table
-from tidegrid.session import shared_dir
+from tidegrid.llm.scratch import table
+from tidegrid.session import configure, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,7 +23,7 @@ def query(name: str, text: str | None = None):
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(ready(spark), sf_dir)
+            return fn(configure(spark), sf_dir)
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
