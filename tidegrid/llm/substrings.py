@@ -26,6 +26,7 @@ from tidegrid.llm.scratch import checked, stored
 from tidegrid.llm.textops import NOT_SPACE, Words, hash_windows, word_pieces
 
 WINDOW = 50
+WHOLE = 1 << 40  # end of the span of an exact copy, beyond any document
 UNIT_BYTES = 4 << 20  # of text that a task settles at once
 RANGE_BYTES = 8 << 20  # of text for each hash range, rather more than a million probes
 REMEMBERED = 1 << 20  # windows that a task knows from its earlier units
@@ -234,44 +235,63 @@ def _spans(window: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(window: int):
     """The words outside the spans, joined by one space."""
-    for batch in batches:
-        n_words, n_removed, kept = [], [], []
-        spans = batch.column(2).to_pylist()
-        for p in word_pieces(batch.column(1), NOT_SPACE, False):
-            keep = np.ones(len(p.hashes), bool)
-            for d in range(p.last - p.first):
-                for lo, hi in zip(*[iter(spans[p.first + d] or ())] * 2):
-                    keep[p.bounds[d] + lo : p.bounds[d] + hi] = False
-            starts, ends = p.starts[keep], p.ends[keep]
-            left = np.concatenate([[0], np.cumsum(keep)])[p.bounds]
-            lengths = ends - starts + 1  # with the space that follows
-            stops = np.cumsum(lengths)
-            where = np.repeat(starts - stops + lengths, lengths) + np.arange(int(stops[-1]) if len(stops) else 0)
-            out = p.data[np.minimum(where, max(len(p.data) - 1, 0))] if len(where) else np.zeros(0, np.uint8)
-            out[stops - 1] = 0x20
-            at = np.concatenate([[0], stops])[left]
-            raw = out.tobytes()
-            kept.extend(raw[lo : max(lo, hi - 1)].decode() for lo, hi in zip(at[:-1], at[1:]))
-            total = np.diff(p.bounds)
-            n_words.extend(total.tolist())
-            n_removed.extend((total - np.diff(left)).tolist())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_words, n_removed, kept = [], [], []
+            spans = batch.column(2).to_pylist()
+            for p in word_pieces(batch.column(1), NOT_SPACE, False):
+                keep = np.ones(len(p.hashes), bool)
+                for d in range(p.last - p.first):
+                    own = p.bounds[d + 1] - p.bounds[d]
+                    for lo, hi in zip(*[iter(spans[p.first + d] or ())] * 2):
+                        if hi <= own or own >= window:
+                            keep[p.bounds[d] + lo : p.bounds[d] + min(hi, own)] = False
+                starts, ends = p.starts[keep], p.ends[keep]
+                left = np.concatenate([[0], np.cumsum(keep)])[p.bounds]
+                lengths = ends - starts + 1  # with the space that follows
+                stops = np.cumsum(lengths)
+                where = np.repeat(starts - stops + lengths, lengths) + np.arange(int(stops[-1]) if len(stops) else 0)
+                out = p.data[np.minimum(where, max(len(p.data) - 1, 0))] if len(where) else np.zeros(0, np.uint8)
+                out[stops - 1] = 0x20
+                at = np.concatenate([[0], stops])[left]
+                raw = out.tobytes()
+                kept.extend(raw[lo : max(lo, hi - 1)].decode() for lo, hi in zip(at[:-1], at[1:]))
+                total = np.diff(p.bounds)
+                n_words.extend(total.tolist())
+                n_removed.extend((total - np.diff(left)).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept"])
+
+    return run
+
+
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """Rows whose whole text a smaller id has: their windows all repeat, and none of them is needed as a reference."""
+    marks = docs.select("row", "doc_id", F.md5("text").alias("mark"))
+    first = marks.groupBy("mark").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("mark", "first")
+    return stored(marks.join(checked(first), "mark").filter("doc_id > first").select("row").distinct(), "copies")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(row, spans) of the documents (row, doc_id, text) that hold repeats; see ``remove_repeats``."""
+    """(row, spans) of the documents (row, doc_id, text) that hold repeats; see ``remove_repeats``.
+
+    The span of an exact copy ends at ``WHOLE``; it counts if the document has a window at all.
+    """
     usable = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("row", "doc_id", "text")
+    copies = exact_copies(usable)
+    usable = usable.join(checked(copies), "row", "left_anti")
     size = usable.select(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))
     anchors = usable.select("row", "text").mapInArrow(_probes(window, ranges), PACKED).groupBy("part").applyInArrow(_anchors, "row long, place int")
     anchors = stored(anchors.groupBy("row").agg(F.collect_set("place").alias("places")), "anchors")
     around = usable.join(checked(anchors), "row").select("row", "doc_id", "text", "places")
     repeats = around.mapInArrow(_windows(window, ranges), PACKED).groupBy("part").applyInArrow(_repeats(ranges), "docs int, rows binary, starts binary")
-    return stored(repeats.groupBy("docs").applyInArrow(_spans(window), "row long, spans array<long>"), "repeats")
+    repeats = repeats.groupBy("docs").applyInArrow(_spans(window), "row long, spans array<long>")
+    return stored(repeats.unionByName(copies.select("row", F.array(F.lit(0), F.lit(WHOLE)).cast("array<bigint>").alias("spans"))), "repeats")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -286,4 +306,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(docs, window)
     return docs.join(checked(spans), "row", "left").select("doc_id", "text", "spans").mapInArrow(
-        _cut, "doc_id long, n_words long, n_removed long, kept string")
+        _cut(window), "doc_id long, n_words long, n_removed long, kept string")
