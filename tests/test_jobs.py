@@ -10,7 +10,7 @@ from tidegrid.plans import aggregate, harvest, transform
 from tidegrid.schemas import DatasetConfig, GRANULE
 from tidegrid.sinks.packing import pack_records
 from tidegrid.sinks.provenance import members, provenance_lines, write_provenance
-from tidegrid.sinks.store import StateStore
+from tidegrid.sinks.store import CommitConflict, StateStore
 from tidegrid.sizing import bounded_broadcast, plan_bytes, spread_join
 from tidegrid.sources import listings
 from tidegrid.sources.grids import generate
@@ -182,6 +182,68 @@ def test_harvest_to_products(spark, tmp_path, rows):
     assert spark.read.text(str(tmp_path / "prov")).count() == 2 + 8
 
 
+def test_jobs_leave_other_datasets_alone(spark, tmp_path, rows):
+    """Two datasets in one store; each job touches the rows and stamps of its own."""
+    store = StateStore(spark, str(tmp_path / "state"))
+    listing = lambda ds: spark.createDataFrame([(f"https://x/{ds}_nh_20200101.nc", D(2020, 2, 1)), (f"https://y/{ds}_nh_20200101.nc", D(2020, 2, 2))], "url string, mod_time timestamp")
+    own = {ds: DatasetConfig.of({
+        "ds_name": ds, "start": "20200101T00:00:00Z", "end": "20201231T00:00:00Z", "t_version": 1.0, "a_version": v,
+        "hemi_pattern": {"north": "_nh", "south": "_sh"}, "skipna_in_mean": True, "fields": [{"name": "h", "units": "m"}]}) for ds, v in (("A", "1.0"), ("B", "9.9"))}
+    later = F.lit("2023-05-05").cast("timestamp")
+    for ds, when in (("A", now()), ("B", later)):
+        plan = harvest.plan(listing(ds), own[ds], store.read("granule"))
+        assert rows(plan, "url") == [(f"https://y/{ds}_nh_20200101.nc",)]  # the latest of two listings
+        files = plan.select("filename", F.lit("/d").alias("path"), F.lit(500).cast("bigint").alias("size"), F.lit("2020-03-01").cast("timestamp").alias("mtime"), F.md5("filename").alias("checksum"))
+        tries = plan.select("ds", "filename", "date", "url", "mod_time", F.lit(True).alias("success"), F.lit("").alias("message"), F.lit(1).alias("duration"))
+        harvest.record(store, tries, files, when)
+    stamps = {r.ds: r.last_checked for r in store.read("dataset").collect()}
+    assert stamps["A"] != stamps["B"]
+
+    targets = spark.createDataFrame([("A", "g", "h"), ("B", "g", "h")], "ds string, grid string, field string")
+    none = spark.createDataFrame([], "ds string, filename string, grid string, field string, output_mtime timestamp, output_version double")
+    sources = spark.createDataFrame([("/d", D(2020, 3, 1))], "path string, mtime timestamp")
+    for ds, when in (("A", now()), ("B", later)):
+        transform.begin(store, transform.plan(store, own[ds], targets, sources, none), when, str(tmp_path / f"work-{ds}"))
+        results = store.read("transformation").filter("in_progress").select(
+            "id", F.lit(True).alias("success"), F.lit("o").alias("output_name"), F.lit("/o").alias("output_path"), F.lit("c").alias("checksum"), F.lit("").alias("message"))
+        transform.finish(store, results, when, F.lit(1.0))
+    stamps = {r.ds: r.last_transformation for r in store.read("dataset").collect()}
+    assert stamps["A"] != stamps["B"] and None not in stamps.values()
+
+    cells = spark.createDataFrame([("g", 0)], "grid string, cell_id bigint")
+    record = lambda ds: spark.createDataFrame([(ds, "g", "h", f"{ds}_nh_20200101.nc", date(2020, 1, 1), "nh", 0, 1.5)], "ds string, grid string, field string, filename string, date date, hemi string, cell_id bigint, value double")
+    versions = spark.createDataFrame([("A", "1.0"), ("B", "9.9")], "ds string, a_version string")
+    for ds, when in (("B", later), ("A", F.lit("2024-01-01").cast("timestamp"))):
+        aggregate.run(store, record(ds), cells, aggregate.plan(store, targets, versions), own[ds], str(tmp_path / ds), str(tmp_path / f"{ds}m"), str(tmp_path / f"staging-{ds}"), when)
+        assert rows(store.read("aggregation").filter(F.col("ds") == ds), "notes") == [("",)]
+        if ds == "B":
+            assert store.read("aggregation").filter("ds = 'A'").count() == 0
+    assert rows(store.read("dataset"), "ds", "aggregation_version") == [("A", "1.0"), ("B", "9.9")]
+
+
+def test_commits_do_not_replace_each_other(spark, tmp_path, rows):
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.upsert("granule", spark.createDataFrame([granule("a", size=1), granule("a", size=2)], GRANULE))
+    assert rows(store.read("granule"), "filename", "size") == [("a", 2)]
+    base = store.latest("granule")
+    store.upsert("granule", spark.createDataFrame([granule("b", size=1)], GRANULE))
+    with pytest.raises(CommitConflict):
+        store.commit("granule", store.read("granule"), base)
+    (tmp_path / "state/granule/_claim-00000003").touch()  # another committer at work
+    with pytest.raises(CommitConflict):
+        store.upsert("granule", spark.createDataFrame([granule("c", size=1)], GRANULE))
+    store.release("granule")
+    assert store.upsert("granule", spark.createDataFrame([granule("c", size=1)], GRANULE)) == 3
+
+
+def test_queued_files_are_no_successes(spark):
+    counts = {"a": [True, None], "b": [None], "c": [True, False, None], "d": [True], "e": [False]}
+    df = spark.createDataFrame([(ds, s) for ds, v in counts.items() for s in v], "ds string, success boolean")
+    got = {r.ds: (r.n_granules, r.status) for r in state.harvest_status(df).collect()}
+    assert got["a"] == (2, "1 granules queued") and got["b"] == (1, "1 granules queued") and got["c"] == (3, "1 harvested granules failed, 1 granules queued")
+    assert got["d"] == (1, "All granules successfully harvested") and "queued" not in got["e"][1]
+
+
 def test_stream_replay_is_idempotent(spark, tmp_path, rows):
     path, store = str(tmp_path / "in"), StateStore(spark, str(tmp_path / "state"))
     first = spark.createDataFrame([("D", "u/a", "a", D(2020, 1, 1), D(2019, 1, 1), ""), ("D", "u/b", "b", D(2020, 1, 1), D(2019, 1, 2), "")], "ds string, url string, filename string, mod_time timestamp, date timestamp, hemi string")

@@ -126,7 +126,9 @@ def test_unknown_operation(spark, small):
 def test_full_grid_and_stats(spark, small, rows):
     obs = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 3.0), ("b", 2, None)], "rec string, src_id bigint, value double")
     cells = spark.createDataFrame([(i,) for i in range(5)], "cell_id bigint")
-    out = regrid.on_full_grid(regrid.regrid(obs, small, ["rec"]), cells, obs.select("rec").distinct(), ["rec"])
+    out = regrid.on_full_grid(regrid.regrid(obs, small, ["rec"]), cells.withColumn("grid", F.lit("g")), obs.select("rec", F.lit("g").alias("grid")).distinct(), ["rec"])
+    with pytest.raises(ValueError):
+        regrid.on_full_grid(out, cells, obs, ["rec"], cell_on=())
     assert out.count() == 10 and out.filter("value is not null").count() == 1
     assert rows(regrid.record_stats(out, ["rec"]), "rec", "n_valid", "has_data", "notes") == [
         ("a", 1, True, ""), ("b", 0, False, " -- empty record -- ")]

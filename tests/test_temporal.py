@@ -78,7 +78,7 @@ def test_densify_and_drop(spark, rows):
     s = spark.createDataFrame([("f", date(2020, 1, 1), 1, 2.0), ("f", date(2020, 1, 2), 1, None)], "field string, date date, cell_id bigint, value double")
     gaps = spark.createDataFrame([("f", date(2020, 1, 3))], "field string, date date")
     cells = spark.createDataFrame([(1,), (2,)], "cell_id bigint")
-    full = ops.densify(s, gaps, cells, ["field"])
+    full = ops.densify(s, gaps.withColumn("grid", F.lit("g")), cells.withColumn("grid", F.lit("g")), ["field"])
     assert rows(full, "date", "cell_id", "value", "time") == [
         (date(2020, 1, 1), 1, 2.0, datetime(2020, 1, 1, 12)), (date(2020, 1, 2), 1, None, datetime(2020, 1, 2, 12)),
         (date(2020, 1, 3), 1, None, datetime(2020, 1, 3, 12)), (date(2020, 1, 3), 2, None, datetime(2020, 1, 3, 12))]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.masks import UnknownFunction
-from tidegrid.sizing import BROADCAST_LIMIT_BYTES, PAIRING_SALTS, spread_join
+from tidegrid.sizing import BROADCAST_LIMIT_BYTES, shuffle_width, spread_join
 
 Reducer = Callable[[str, list[str]], Column]
 
@@ -67,19 +67,15 @@ def regrid(
 
 
 def on_full_grid(regridded: DataFrame, cells: DataFrame, records: DataFrame, keys: Sequence[str],
-                 value: str = "value", cell_on: Sequence[str] = ()) -> DataFrame:
+                 value: str = "value", cell_on: Sequence[str] = ("grid",)) -> DataFrame:
     """Every target cell of every record, missing where nothing was mapped.
 
-    ``records`` has one row per record; ``cell_on`` (usually the grid) ties records to their cells.
-    With no ``cell_on`` there is one grid: its cells are paired with every record through a constant
-    key. The record list is spread, so a grid with many records is not expanded by one task.
+    ``records`` has one row per record; ``cell_on`` (usually the grid) ties records to their cells. The
+    cells are spread over the shuffle's tasks, so no task expands a whole grid.
     """
-    on = list(cell_on) or ["__grid"]
-    left = cells if cell_on else cells.withColumn("__grid", F.lit(0))
-    right = records if cell_on else records.withColumn("__grid", F.lit(0))
-    spine = spread_join(left, right, on, salt_from=["cell_id"], salts=PAIRING_SALTS)
     if not cell_on:
-        spine = spine.drop("__grid")
+        raise ValueError("name the columns that tie records to the cells of their grid")
+    spine = spread_join(cells, records, list(cell_on), salt_from=["cell_id"], salts=shuffle_width(cells))
     return spine.join(regridded, [*keys, "cell_id"], "left").select(*spine.columns, value)
 
 

@@ -19,9 +19,14 @@ def upsert(current: DataFrame, updates: DataFrame, key: Sequence[str],
     """Merge updates by key: named columns take the update's value, others keep theirs, new keys come in.
 
     A column present in ``updates`` and listed in ``set_columns`` is written even when the new value
-    is NULL; other update columns only fill in for new keys.
+    is NULL; other update columns only fill in for new keys. Of several updates with one key the largest
+    row by its values, in column order, counts.
     """
     key = list(key)
+    if news := [c for c in updates.columns if c not in key]:
+        updates = updates.groupBy(*key).agg(F.max(F.struct(*news)).alias("__news")).select(*key, "__news.*")
+    else:
+        updates = updates.distinct()
     written = set(updates.columns if set_columns is None else set_columns) - set(key)
     cur = current.select(*key, F.lit(True).alias("__c"), *[F.col(c).alias("c_" + c) for c in current.columns if c not in key])
     upd = updates.select(*key, F.lit(True).alias("__u"), *[F.col(c).alias("u_" + c) for c in updates.columns if c not in key])
@@ -85,6 +90,7 @@ def unprocessable_rows(plan: DataFrame, completed: Column) -> DataFrame:
         "id", *TX_KEY, "date", "hemi", F.coalesce("path", F.lit("")).alias("source_path"),
         F.lit(False).alias("in_progress"), F.lit(False).alias("success"),
         completed.alias("started"), completed.alias("completed"), F.col("problem").alias("message"),
+        *([F.col("checksum").alias("origin_checksum")] if "checksum" in plan.columns else []),
     )
 
 
@@ -184,28 +190,35 @@ def _status(ok: Column, bad: Column, none: str, no_success: str, failed: str, fi
 
 def _counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(
-        F.count_if(F.col("success")).alias("n_success"), F.count_if(~F.col("success")).alias("n_failed"))
+        F.count_if(F.col("success")).alias("n_success"), F.count_if(~F.col("success")).alias("n_failed"),
+        F.count_if(F.col("success").isNull()).alias("n_queued"))
 
 
-def harvest_status(granules: DataFrame, keys: Sequence[str] = ("ds",)) -> DataFrame:
+def _harvest_status(ok: Column, bad: Column, queued: Column) -> Column:
+    """Status of a harvest; files that wait for their download are no successes."""
     nothing = "No usable granules harvested (either all failed or no data collected)"
+    known = _status(ok, bad, nothing, nothing, " harvested granules failed", "All granules successfully harvested")
+    waiting = F.concat(queued.cast("string"), F.lit(" granules queued"))
+    return F.when(queued == 0, known).when((ok == 0) & (bad == 0), waiting).when(bad == 0, waiting).otherwise(F.concat_ws(", ", known, waiting))
+
+
+def harvest_status(granules: DataFrame, keys: Sequence[str] = ("ds",)) -> DataFrame:
     return _counts(granules, keys).withColumns({
-        "n_granules": F.col("n_success") + F.col("n_failed"),
-        "status": _status(F.col("n_success"), F.col("n_failed"), nothing, nothing,
-                          " harvested granules failed", "All granules successfully harvested"),
-    })
+        "n_granules": F.col("n_success") + F.col("n_failed") + F.col("n_queued"),
+        "status": _harvest_status(F.col("n_success"), F.col("n_failed"), F.col("n_queued")),
+    }).drop("n_queued")
 
 
 def transformation_status(tx: DataFrame, keys: Sequence[str] = ("ds",)) -> DataFrame:
     return _counts(tx, keys).withColumn("status", _status(
         F.col("n_success"), F.col("n_failed"), "No transformations performed",
-        "No successful transformations", " transformations failed", "All transformations successful"))
+        "No successful transformations", " transformations failed", "All transformations successful")).drop("n_queued")
 
 
 def aggregation_status(agg: DataFrame, keys: Sequence[str] = ("ds",)) -> DataFrame:
     return _counts(agg, keys).withColumn("status", _status(
         F.col("n_success"), F.col("n_failed"), "No aggregations performed",
-        "No successful aggregations", " aggregations failed", "All aggregations successful"))
+        "No successful aggregations", " aggregations failed", "All aggregations successful")).drop("n_queued")
 
 
 def for_all(status: DataFrame, datasets: DataFrame, text_when_absent: str) -> DataFrame:
@@ -231,15 +244,13 @@ def dataset_dates(granules: DataFrame, keys: Sequence[str] = ("ds",)) -> DataFra
 def dataset_rows(granules: DataFrame, checked: Column) -> DataFrame:
     """Dataset-table updates after a harvest: status, counts and dates in one aggregate."""
     ok = F.col("success")
-    n_ok, n_bad = F.count_if(ok), F.count_if(~ok)
-    nothing = "No usable granules harvested (either all failed or no data collected)"
+    n_ok, n_bad, n_queued = F.count_if(ok), F.count_if(~ok), F.count_if(ok.isNull())
     return granules.groupBy("ds").agg(
-        (n_ok + n_bad).alias("n_granules"), n_ok.alias("n_success"), n_bad.alias("n_failed"),
+        (n_ok + n_bad + n_queued).alias("n_granules"), n_ok.alias("n_success"), n_bad.alias("n_failed"),
         F.min(F.when(ok, F.col("date"))).alias("start_date"),
         F.max(F.when(ok, F.col("date"))).alias("end_date"),
         F.max("download_time").alias("last_download"),
-        _status(n_ok, n_bad, nothing, nothing, " harvested granules failed",
-                "All granules successfully harvested").alias("harvest_status"),
+        _harvest_status(n_ok, n_bad, n_queued).alias("harvest_status"),
     ).withColumn("last_checked", checked)
 
 

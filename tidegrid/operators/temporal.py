@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.timebounds import month_window, time_window
-from tidegrid.sizing import PAIRING_SALTS, spread_join
+from tidegrid.sizing import shuffle_width, spread_join
 
 # Fixed value: a monthly record stands for a month when it is this close to the first.
 MONTH_TOLERANCE_DAYS = 7
@@ -74,17 +74,16 @@ def date_difference(wanted: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def densify(series: DataFrame, gaps: DataFrame, cells: DataFrame, keys: Sequence[str],
-            cell_on: Sequence[str] = (), period: str = "AVG_DAY", value: str = "value") -> DataFrame:
+            cell_on: Sequence[str] = ("grid",), period: str = "AVG_DAY", value: str = "value") -> DataFrame:
     """Append an all-missing record, with its window, for every gap date.
 
     ``gaps`` has keys and ``date``; ``cells`` has ``cell_id`` and the ``cell_on`` columns. The gap
     list is paired with the grid's cells by a spread join, so no task expands a whole grid.
     """
-    on = list(cell_on) or ["__grid"]
-    left = cells if cell_on else cells.withColumn("__grid", F.lit(0))
-    right = gaps if cell_on else gaps.withColumn("__grid", F.lit(0))
+    if not cell_on:
+        raise ValueError("name the columns that tie gaps to the cells of their grid")
     fill = (
-        spread_join(left, right, on, salt_from=["cell_id"], salts=PAIRING_SALTS)
+        spread_join(cells, gaps, list(cell_on), salt_from=["cell_id"], salts=shuffle_width(cells))
         .select(*keys, F.col("date"), "cell_id")
         .withColumn(value, F.lit(None).cast("double"))
     )

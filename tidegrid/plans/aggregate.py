@@ -83,8 +83,8 @@ def plan(store: StateStore, targets: DataFrame, versions: DataFrame) -> DataFram
 
 def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame, config: DatasetConfig,
         daily_path: str, monthly_path: str, staging: str, now: Column) -> None:
-    """Aggregate the planned years, write the products, record the outcome."""
-    todo = materialize(todo, f"{staging}/todo")
+    """Aggregate the dataset's planned years, write the products, record the outcome; other datasets stay as they are."""
+    todo = materialize(todo.filter(F.col("ds") == config.ds), f"{staging}/todo")
     wanted = spread_join(records.withColumn("year", F.year("date")), todo, list(planning.AGG_KEY),
                          salt_from=["cell_id"], how="left_semi").drop("year")
     tx = store.read("transformation").filter(F.col("ds") == config.ds)
@@ -97,7 +97,7 @@ def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame
             F.lit("Empty year (no data present in grid), not saving to disk.")).alias("notes"),
     )
     store.upsert("aggregation", planning.with_ids(rows, store.read("aggregation"), planning.AGG_KEY).drop("reused"))
-    status = state.aggregation_status(store.read("aggregation")).select(
+    status = state.aggregation_status(store.read("aggregation").filter(F.col("ds") == config.ds)).select(
         "ds", F.col("status").alias("aggregation_status"), F.lit(config.a_version).alias("aggregation_version"),
         now.alias("last_aggregation"))
     store.upsert("dataset", status)

@@ -23,7 +23,9 @@ def plan(listing: DataFrame, config: DatasetConfig, known: DataFrame, compare: s
         picked = harvest.select(rows, config.strategy)
         # keep the strategy's date, take everything else from the listing
         rows = rows.drop("date").join(picked.select("ds", "url", F.col("date").cast("timestamp").alias("date")), ["ds", "url"])
-    return planning.needs_harvest(rows, known, compare=compare)
+    # a file listed twice is fetched once, from the latest publication
+    latest = harvest.latest_per_key(rows, ["ds", "filename"], ["mod_time", "url"])
+    return planning.needs_harvest(latest, known, compare=compare)
 
 
 def plan_slices(steps: DataFrame, config: DatasetConfig, known: DataFrame, compare: str = "timestamp") -> DataFrame:
@@ -39,6 +41,7 @@ def plan_slices(steps: DataFrame, config: DatasetConfig, known: DataFrame, compa
 
 
 def record(store: StateStore, attempts: DataFrame, files: DataFrame, now: Column) -> None:
-    """Write harvest attempts to the granule table and refresh the dataset table."""
+    """Write harvest attempts to the granule table and refresh the rows of their datasets."""
     store.upsert("granule", state.granule_results(attempts, store.read("granule"), files, now))
-    store.upsert("dataset", state.dataset_rows(store.read("granule"), now))
+    tried = attempts.select("ds").distinct()
+    store.upsert("dataset", state.dataset_rows(store.read("granule").join(tried, "ds", "left_semi"), now))

@@ -92,15 +92,18 @@ def begin(store: StateStore, planned: DataFrame, now: Column, staging: str) -> D
         .unionByName(state.unprocessable_rows(todo, now), allowMissingColumns=True)
         .unionByName(state.in_progress_rows(ready, now), allowMissingColumns=True)
     )
-    touched = ["in_progress", "success", "started", "message", "origin_checksum"]
+    touched = ["in_progress", "success", "started", "completed", "message", "origin_checksum"]
     store.upsert("transformation", rows, set_columns=touched)
     return ready
 
 
 def finish(store: StateStore, results: DataFrame, now: Column, version: Column) -> None:
-    """Record returned results in one snapshot and refresh the dataset's status."""
+    """Record returned results in one snapshot and refresh the status of the datasets they belong to."""
     updates, _ = state.result_updates(results, now, version)
-    store.commit("transformation", state.record_results(store.read("transformation"), updates))
-    status = state.transformation_status(store.read("transformation")).select(
+    base = store.latest("transformation")
+    store.commit("transformation", state.record_results(store.read("transformation"), updates), base)
+    tx = store.read("transformation")
+    touched = tx.join(updates.select("id").distinct(), "id", "left_semi").select("ds").distinct()
+    status = state.transformation_status(tx.join(touched, "ds", "left_semi")).select(
         "ds", F.col("status").alias("transformation_status"), now.alias("last_transformation"))
     store.upsert("dataset", status)

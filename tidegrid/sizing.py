@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-DEFAULT_SALTS = 16
-# For pairing a grid with a list of records, whose key takes very few values.
-PAIRING_SALTS = 256
+# Bytes of the large side that one sub-key of a salted join should hold.
+BYTES_PER_SALT = 64 * 1024 * 1024
 _SALT = "__salt"
 
 
@@ -43,20 +42,31 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffle_width(df: DataFrame) -> int:
+    """Tasks of a shuffle in this session, which follow the size of the cluster."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def salts_for(df: DataFrame) -> int:
+    """Sub-keys that spread one hot key of ``df``: by its size, at most one per task of a shuffle."""
+    size, widest = plan_bytes(df), shuffle_width(df)
+    return widest if size is None else max(1, min(widest, -(-size // BYTES_PER_SALT)))
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
     on: Sequence[str],
     salt_from: Sequence[str],
     how: str = "inner",
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
     limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Equi join that stays even when one value of ``on`` holds much of ``big``.
 
     ``small`` is broadcast if its size is checked to fit. Otherwise rows of ``big`` are spread over
     ``salts`` sub-keys by a hash of ``salt_from`` and ``small`` is repeated once per sub-key, so a
-    hot key is shared by ``salts`` tasks. Works for inner, left, left_semi and left_anti joins.
+    hot key is shared by ``salts`` tasks, by default as many as the size of ``big`` asks for. Works for inner, left, left_semi and left_anti joins.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
@@ -64,6 +74,7 @@ def spread_join(
     size = plan_bytes(small)
     if size is not None and size <= limit:
         return big.join(F.broadcast(small), keys, how)
+    salts = salts_for(big) if salts is None else salts
     left = big.withColumn(_SALT, F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int"))
     right = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, _SALT], how).drop(_SALT)

@@ -300,8 +300,9 @@ def regrid_shuffled(v: Views):
     LEFT JOIN (SELECT field, cell_id, value FROM b_obs JOIN m_all USING (src_id)) r USING (field, cell_id) GROUP BY f.field, t.cell_id"""))
 def regrid_full_grid(v: Views):
     """Every target cell of every record."""
-    records = v.obs.select("field").distinct()
-    out = regrid.on_full_grid(regrid.regrid(v.obs, v.mapping, ["field"], "nanmean"), v.tgt.select("cell_id"), records, ["field"])
+    grid = F.lit("suppliers").alias("grid")
+    records = v.obs.select("field").distinct().select("field", grid)
+    out = regrid.on_full_grid(regrid.regrid(v.obs, v.mapping, ["field"], "nanmean"), v.tgt.select("cell_id", grid), records, ["field"])
     return out.select("field", "cell_id", F.round("value", 8).alias("value"))
 
 

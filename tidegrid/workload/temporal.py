@@ -77,7 +77,8 @@ def densify_days(v: Views):
     dates = v.series.select("field", "date").distinct()
     cells = v.series.select("cell_id").distinct()
     gaps = ops.missing_days(dates, ["field"]).drop("year")
-    full = ops.densify(v.series, gaps, cells, ["field"])
+    grid = F.lit("users").alias("grid")
+    full = ops.densify(v.series, gaps.select("*", grid), cells.select("*", grid), ["field"])
     return full.groupBy("field", F.date_format("date", "yyyy-MM").alias("ym"), "cell_id").agg(
         F.count(F.lit(1)).alias("n_days"), F.count("value").alias("n_valid"), ts_text(F.max("time")).alias("last_center"))
 
