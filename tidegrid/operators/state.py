@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import text
@@ -254,6 +254,13 @@ def dataset_rows(granules: DataFrame, checked: Column) -> DataFrame:
     ).withColumn("last_checked", checked)
 
 
+def batch_errors(results: DataFrame) -> DataFrame:
+    """The errors of a batch: each message of a dataset with its number, the most frequent first (``rank``)."""
+    errors = results.filter(~F.col("success")).groupBy("ds", F.coalesce("message", F.lit("")).alias("message")).agg(F.count(F.lit(1)).alias("n"))
+    by_number = Window.partitionBy("ds").orderBy(F.desc("n"), "message")
+    return errors.withColumn("rank", F.row_number().over(by_number))
+
+
 def batch_summary(results: DataFrame) -> DataFrame:
     """Batch totals: results, errors and error share."""
     return results.groupBy("ds").agg(

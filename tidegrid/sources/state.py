@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.schemas import DOCUMENT_FIELDS, TABLES
+from tidegrid.session import shared_dir
+from tidegrid.sizing import materialize, shuffle_width
 
 
 def scan(df: DataFrame, where: Iterable[Column] = (), columns: Iterable[str] | None = None,
@@ -21,6 +23,23 @@ def scan(df: DataFrame, where: Iterable[Column] = (), columns: Iterable[str] | N
     return df if limit is None else df.limit(limit)
 
 
+def numbered(df: DataFrame, order: Iterable[str]) -> DataFrame:
+    """All rows in order with their ``position`` from 1: a full ordered scan whose order can be checked.
+
+    Rows are dealt by ranges of the order and counted per range; only the counts, one per range, meet in
+    one task. Rows with equal order keys stand together in no stated order.
+    """
+    order = list(order)
+    dealt = df.repartitionByRange(shuffle_width(df), *order).sortWithinPartitions(*order).withColumns({
+        "__range": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
+    dealt = materialize(dealt, shared_dir(df.sparkSession, "ordered"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).select(
+        "__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    rows = dealt.join(F.broadcast(starts), "__range")  # one row per task of the shuffle
+    return rows.select((F.col("__start") + F.col("__place") + 1).alias("position"), *df.columns)
+
+
 def read_state(spark: SparkSession, path: str, table: str, **kwargs) -> DataFrame:
     """A state table's current rows with its declared schema."""
     return scan(spark.read.schema(TABLES[table]).parquet(path), **kwargs)

@@ -43,6 +43,13 @@ def state_page(v: Views):
     return src.scan(v.granule.orderBy("id"), columns=["id", "filename"], limit=1000)
 
 
+@query("state_ordered", sql("b_tx", """
+    SELECT row_number() OVER (ORDER BY id) AS position, id FROM b_tx"""))
+def state_ordered(v: Views):
+    """Every row in id order, with its position."""
+    return src.numbered(v.tx.select("id"), ["id"])
+
+
 @query("column_defaults", sql("b_granule", f"""
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN {TS.format('date')} END AS date, size, success, 'unknown' AS note FROM b_granule"""))
 def column_defaults(v: Views):
@@ -319,6 +326,14 @@ def batch_summary(v: Views):
     return ops.batch_summary(v.tx)
 
 
+@query("batch_errors", sql("b_tx", """
+    SELECT ds, message, n, CAST(row_number() OVER (PARTITION BY ds ORDER BY n DESC, message) AS INTEGER) AS rank
+    FROM (SELECT ds, message, count(*) AS n FROM b_tx WHERE NOT success GROUP BY ALL)"""))
+def batch_errors(v: Views):
+    """Error messages of each batch, the most frequent first."""
+    return ops.batch_errors(v.tx)
+
+
 def _members(v: Views):
     tx = v.tx.withColumn("source_path", F.concat(F.lit("/s/"), "filename"))
     granules = v.granule.select("ds", F.concat(F.lit("/s/"), "short").alias("path"), "checksum", "size")
