@@ -221,6 +221,42 @@ def test_jobs_leave_other_datasets_alone(spark, tmp_path, rows):
     assert rows(store.read("dataset"), "ds", "aggregation_version") == [("A", "1.0"), ("B", "9.9")]
 
 
+def test_transform_job(spark, tmp_path, rows):
+    """One call takes a plan to written records and recorded results; other files' records stay."""
+    config = DatasetConfig.of({
+        "ds_name": "D", "start": "20200101T00:00:00Z", "end": "20201231T00:00:00Z", "t_version": 1.0, "a_version": "1.0", "data_res": 0.5,
+        "transpose": True, "preprocessing": "ATL20_V004_monthly", "hemi_pattern": {"north": "_nh", "south": "_sh"},
+        "fields": [{"name": "h", "units": "m", "pre_transformations": ["negatives"]}, {"name": "gone", "units": "1"}]})
+    store = StateStore(spark, str(tmp_path / "state"))
+    names = ["a_nh_20200101.nc", "b_nh_20200102.nc", "c_sh_20200103.nc"]
+    store.upsert("granule", spark.createDataFrame(
+        [granule(n, id=n, path="/d", size=500, success=True, checksum=n, date=D(2020, 1, i + 1)) for i, n in enumerate(names)], GRANULE))
+    targets = spark.createDataFrame([("D", "g", "h"), ("D", "g", "gone")], "ds string, grid string, field string")
+    grids = spark.createDataFrame([("g", i, lon, 0.0, 20_000.0) for i, lon in enumerate((0.05, 10.0, 90.0))], "grid string, cell_id bigint, lon double, lat double, radius_m double")
+    sources = spark.createDataFrame([(h, i, lon, 0.0) for h in ("nh", "sh") for i, lon in enumerate((0.0, 0.1, 10.0, 10.1))], "hemi string, src_id bigint, lon double, lat double")
+    # array positions by columns of a 2 x 2 grid: (row, col) is number col * 2 + row
+    values = {(0, 0): 1.0, (1, 0): 3.0, (0, 1): -5.0, (1, 1): None}
+    cells = lambda files: spark.createDataFrame([(n, r, c, (v,)) for n in files for (r, c), v in values.items()], "filename string, row bigint, col bigint, monthly struct<h: double>")
+    sources_files = spark.createDataFrame([("/d", D(2020, 3, 1))], "path string, mtime timestamp")
+    none = spark.createDataFrame([], "ds string, filename string, grid string, field string, output_mtime timestamp, output_version double")
+    records = str(tmp_path / "records")
+    for step, files in enumerate((names[:1], names[:2])):
+        (path := tmp_path / f"cells{step}").mkdir()
+        cells(files).write.mode("overwrite").parquet(str(path))
+        ready = transform.begin(store, transform.plan(store, config, targets, sources_files, none), now(), str(tmp_path / f"plan{step}"))
+        transform.run(store, config, ready, str(path), sources, grids, str(tmp_path / "maps"), records, str(tmp_path / f"work{step}"), now(), shape=(2, 2))
+        tx = store.read("transformation")
+        assert rows(tx, "filename", "field", "success", "message") == sorted(
+            (n, f, n in files, ("" if f == "h" else "Field 'gone' missing from source data") if n in files else "no cells of this granule in the input")
+            for n in names for f in ("h", "gone"))
+        assert tx.filter("in_progress").count() == 0
+        got = spark.read.parquet(records)
+        assert rows(got.filter("field = 'h'"), "filename", "cell_id", "value") == [
+            (n, i, v) for n in files for i, v in ((0, 2.0), (1, None), (2, None))]
+        assert got.filter("field = 'gone'").count() == 3 * len(files) and got.filter("field = 'gone' AND value IS NOT NULL").count() == 0
+    assert rows(store.read("dataset"), "transformation_status") == [("2 transformations failed",)]
+
+
 def test_commits_do_not_replace_each_other(spark, tmp_path, rows):
     store = StateStore(spark, str(tmp_path / "state"))
     store.upsert("granule", spark.createDataFrame([granule("a", size=1), granule("a", size=2)], GRANULE))

@@ -234,7 +234,7 @@ def _folder(path: str, ds: str, grid: str, hemi: str, t_version: float) -> str:
     return f"{path}/ds={ds}/grid={grid}/hemi={hemi or 'all'}/t_version={t_version}"
 
 
-def _filesystem(spark: SparkSession, folder: str):
+def filesystem(spark: SparkSession, folder: str):
     """(file system, path) of a folder, in whatever store it is."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
@@ -249,7 +249,7 @@ def store_mapping(mapping: DataFrame, path: str, ds: str, grid: str, hemi: str,
     spark, key = mapping.sparkSession, _folder(path, ds, grid, hemi, t_version)
     folder = f"{key}/fingerprint={mark}"
     mapping.select("cell_id", "src_id", "dist_m", "rank", "kind").repartition("src_id").sortWithinPartitions("src_id").write.mode("overwrite").parquet(folder)
-    fs, root = _filesystem(spark, key)
+    fs, root = filesystem(spark, key)
     for status in fs.listStatus(root):
         if status.getPath().getName() != f"fingerprint={mark}":
             fs.delete(status.getPath(), True)
@@ -262,7 +262,7 @@ def read_mapping(spark: SparkSession, path: str, ds: str, grid: str, hemi: str,
 
 def mapping_exists(spark: SparkSession, path: str, ds: str, grid: str, hemi: str, t_version: float, mark: str) -> bool:
     """Whether the mapping was written to its end; an empty one counts."""
-    fs, done = _filesystem(spark, f"{_folder(path, ds, grid, hemi, t_version)}/fingerprint={mark}/_SUCCESS")
+    fs, done = filesystem(spark, f"{_folder(path, ds, grid, hemi, t_version)}/fingerprint={mark}/_SUCCESS")
     return bool(fs.exists(done))
 
 
@@ -277,7 +277,7 @@ def ensure_mapping(spark: SparkSession, path: str, key: tuple[str, str, str, flo
 
 def invalidate_mappings(spark: SparkSession, path: str, ds: str | None = None, grid: str | None = None) -> int:
     """Delete the stored mappings of a dataset, a grid, or all; returns how many grid folders went."""
-    fs, pattern = _filesystem(spark, f"{path}/ds={ds or '*'}/grid={grid or '*'}")
+    fs, pattern = filesystem(spark, f"{path}/ds={ds or '*'}/grid={grid or '*'}")
     found = fs.globStatus(pattern) or []
     for status in found:
         fs.delete(status.getPath(), True)

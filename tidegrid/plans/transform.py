@@ -8,15 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.masks import apply_masks
-from tidegrid.functions.text import hemi_tag
+from tidegrid.functions.geo import METRES_PER_DEGREE
+from tidegrid.functions.layout import source_index
+from tidegrid.functions.text import hemi_tag, transformed_name
 from tidegrid.functions.timebounds import record_window
 from tidegrid.functions.units import apply_post
 from tidegrid.operators import planning, state
-from tidegrid.operators.regrid import regrid
+from tidegrid.operators.mapping import ensure_mapping, filesystem
+from tidegrid.operators.regrid import on_full_grid, record_stats, regrid
 from tidegrid.schemas import DatasetConfig, FieldConfig
+from tidegrid.sinks.products import write_regridded
 from tidegrid.sinks.store import StateStore
+from tidegrid.sizing import bounded_broadcast as checked_broadcast
 from tidegrid.sizing import materialize
-from tidegrid.sources.cells import to_long, with_fields
+from tidegrid.sources.cells import read_cells, to_long, with_fields
 
 RECORD_KEYS = ("ds", "filename", "date", "hemi")
 
@@ -97,6 +102,83 @@ def begin(store: StateStore, planned: DataFrame, now: Column, staging: str) -> D
     return ready
 
 
+def source_cells_of(obs: DataFrame, config: DatasetConfig, shape: tuple[int, int] | None) -> DataFrame:
+    """Give every observation its source cell number; an array position is numbered as ``transpose`` says."""
+    if "src_id" in obs.columns:
+        return obs
+    if shape is None:
+        raise ValueError("cells by row and col need the shape of the source grid")
+    return obs.withColumn("src_id", source_index("row", "col", *shape, transpose=config.transpose))
+
+
+def write_records(records: DataFrame, path: str, staging: str) -> None:
+    """Write regridded records next to those of other files.
+
+    A file's earlier records are replaced. Only the folders that get new records are rewritten, from a
+    stored copy of their other rows.
+    """
+    spark, parts = records.sparkSession, ["ds", "grid", "field", "year"]
+    records = materialize(records.withColumn("year", F.year("date")), f"{staging}/records")
+    fs, folder = filesystem(spark, path)
+    if fs.exists(folder):
+        touched = records.select(*parts).distinct()
+        old = spark.read.schema(records.schema).parquet(path).join(touched, parts, "left_semi")
+        old = old.join(records.select("ds", "grid", "field", "filename").distinct(), ["ds", "grid", "field", "filename"], "left_anti")
+        records = records.unionByName(materialize(old, f"{staging}/kept"))
+    write_regridded(records, path)
+
+
+def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path: str, sources: DataFrame, grids: DataFrame,
+        mapping_path: str, records_path: str, staging: str, now: Column, shape: tuple[int, int] | None = None) -> DataFrame:
+    """Regrid the planned combinations, write the records and return and record one result for each.
+
+    ``ready`` is what ``begin`` returned. ``cells_path`` holds the granules' cells (filename and either
+    src_id or row and col, next to the variables), ``sources`` the source cells (src_id, lon, lat and, for
+    a dataset by hemisphere, hemi), ``grids`` the target cells with grid and grid_type. Records cover the
+    whole grid. A combination without cells in the input fails; a missing field is an empty record with a
+    warning.
+    """
+    spark = store.spark
+    ready = materialize(ready, f"{staging}/ready")
+    names = [f.name for f in config.fields]
+    obs = source_cells_of(read_cells(spark, cells_path, config.preprocessing, names), config, shape)
+    todo = ready.select("ds", "filename", "date", F.coalesce("hemi", F.lit("")).alias("hemi")).distinct()
+    obs = obs.drop("ds", "date", "hemi").join(checked_broadcast(todo), "filename")
+    present = obs.select("filename").distinct()
+    spacing = float(config.data_res or 1.0) * METRES_PER_DEGREE
+    out = None
+    for grid in [r.grid for r in ready.select("grid").distinct().orderBy("grid").collect()]:
+        target = grids.filter(F.col("grid") == grid)
+        for hemi in [r.hemi for r in todo.select("hemi").distinct().orderBy("hemi").collect()]:
+            own = sources.filter(F.col("hemi") == hemi) if hemi and "hemi" in sources.columns else sources
+            mapping = ensure_mapping(spark, mapping_path, (config.ds, grid, hemi, config.t_version), target, own, spacing)
+            values = regrid_dataset(obs.filter(F.col("hemi") == hemi), mapping, config, grid)
+            out = values if out is None else out.unionByName(values)
+    if out is None:
+        return ready.select("id", *planning.TX_KEY).withColumn("success", F.lit(True))
+    wanted = ready.select("ds", "filename", "grid", "field").distinct()
+    values = materialize(out.join(checked_broadcast(wanted), ["ds", "filename", "grid", "field"], "left_semi"), f"{staging}/values")
+    windows = ["time_start", "time", "time_end", "units"]
+    heads = ["ds", "filename", "grid", "field"]
+    per_record = values.groupBy(*heads).agg(*[F.first(c).alias(c) for c in windows])
+    records = ready.join(present, "filename", "left_semi").select(*heads, "date", F.coalesce("hemi", F.lit("")).alias("hemi")).join(per_record, heads, "left")
+    full = on_full_grid(values.select(*heads, "cell_id", "value"), grids.select("grid", "cell_id"), records, heads)
+    write_records(full, records_path, staging)
+
+    stats = record_stats(spark.read.parquet(records_path), heads)
+    absent = [n for n in names if n not in obs.columns]
+    done = ready.join(present, "filename", "left_semi").join(stats, heads).select(
+        *heads, F.lit(True).alias("success"),
+        F.when(F.col("field").isin(absent), F.concat(F.lit("Field '"), "field", F.lit("' missing from source data"))).otherwise("").alias("message"))
+    results = state.failure_fanout(ready.select("id", *planning.TX_KEY), done, default="no cells of this granule in the input")
+    folder = F.concat(F.lit(records_path.rstrip("/") + "/ds="), "ds", F.lit("/grid="), "grid", F.lit("/field="), "field")
+    results = materialize(results.withColumns({
+        "output_name": transformed_name("grid", "field", "filename"), "output_path": folder,
+        "checksum": F.lit(None).cast("string")}), f"{staging}/results")
+    finish(store, results, now, F.lit(config.t_version))
+    return results
+
+
 def finish(store: StateStore, results: DataFrame, now: Column, version: Column) -> None:
     """Record returned results in one snapshot and refresh the status of the datasets they belong to."""
     updates, _ = state.result_updates(results, now, version)

@@ -34,9 +34,10 @@ def apply_pre(df: DataFrame, name: str | None, fields: Sequence[str]) -> DataFra
 # Function names and group names below are fixed values of the dataset configurations.
 @register_pre("ATL20_V004_monthly")
 def monthly_group(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Root coordinates plus the chosen variables of the ``monthly`` group."""
+    """Root coordinates plus the chosen variables of the ``monthly`` group that it has."""
     keep = [c for c in df.columns if c not in ("monthly", *fields)]
-    return df.select(*keep, *[F.col(f"monthly.{f}").alias(f) for f in fields])
+    have = df.schema["monthly"].dataType.names
+    return df.select(*keep, *[F.col(f"monthly.{f}").alias(f) for f in fields if f in have])
 
 
 @register_pre("nsidc_seaice_nt_extraction")
