@@ -33,10 +33,9 @@ from tidegrid.llm.textops import NOT_SPACE, hash_windows, mix, word_pieces
 # Salts of the two set hashes, of the parts and of the bitmaps.
 SALTS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FADE682D1)
 BAND_RATIO = 1.5
-LONGS = 16  # of a bitmap
-BITS = [f"b{i}" for i in range(LONGS)]
+LEAST_BITS = 1024  # of a bitmap; a larger set has two bits for each element at least
 TILE_ROWS = 1024
-GROUP_ROWS = 50_000
+GROUP_BYTES = 16 << 20  # of bitmaps and ids that are compared in one call
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -111,8 +110,19 @@ class Bands:
 
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Parity bitmap: a bit is the number of its elements modulo 2, so equal elements cancel out."""
-    at = (mix(s, SALTS[3]) >> np.uint64(64 - 10)).astype(np.int64)
-    return np.packbits(np.bincount(at, minlength=64 * LONGS) & 1, bitorder="little").astype(np.uint8).view(np.uint64)
+    width = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length())
+    at = (mix(s, SALTS[3]) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=width) & 1, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, longs: int) -> np.ndarray:
+    """A bitmap as it would be with fewer bits: parities of places that fall together add up."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, longs), axis=0)
+
+
+def may_link(n: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` elements together may link if they differ in ``differ`` elements at least."""
+    return (100 + percent) * (n - differ) >= 2 * percent * n
 
 
 def _sketch(k: int):
@@ -148,19 +158,39 @@ def _signatures(k: int, percent: int):
     return run
 
 
-def _sets(k: int):
+def _bitmaps(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f, n, bits, sets = [], [], [], []
-            for s in shingle_sets(batch.column(0), k):
-                f.append(fingerprint(s)[0])
-                n.append(len(s))
-                bits.append(bitmap(s))
-                sets.append(s.tobytes())
-            bits = np.array(bits, np.uint64).reshape(-1, LONGS)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(f), pa.array(n, pa.int64()), *(_signed(np.ascontiguousarray(bits[:, i])) for i in range(LONGS)), pa.array(sets, pa.binary())],
-                ["f", "n", *BITS, "elements"])
+            rows = [(fingerprint(s)[0], len(s), bitmap(s).tobytes()) for s in shingle_sets(batch.column(0), k) if len(s)]
+            f, n, bits = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([_signed(f), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], ["f", "n", "bits"])
+
+    return run
+
+
+def _elements(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(fingerprint(s)[0], s.tobytes()) for s in shingle_sets(batch.column(0), k) if len(s)]
+            f, elements = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([_signed(f), pa.array(elements, pa.binary())], ["f", "elements"])
+
+    return run
+
+
+def _bounded(percent: int):
+    """Pairs that the bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            differ = np.zeros(len(n), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                longs = min(len(x), len(y))
+                differ[i] = np.bitwise_count(folded(x, longs) ^ folded(y, longs)).sum(dtype=np.int64)
+            keep = pa.array(may_link(n, differ, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     return run
 
@@ -181,14 +211,16 @@ def _intersect(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link: first by the bitmaps' bound, then by intersection."""
-    x = sets.select(F.col("f").alias("a"), F.col("n").alias("na"), *(F.col(b).alias(f"x{b}") for b in BITS))
-    y = sets.select(F.col("f").alias("b"), F.col("n").alias("nb"), *(F.col(b).alias(f"y{b}") for b in BITS))
-    differ = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
-    both = F.col("na") + F.col("nb")
-    passed = pairs.join(x, "a").join(y, "b").filter((100 + percent) * (both - differ) >= 2 * percent * both).select("a", "b")
-    passed = checked(stored(passed, "passed"))  # small beside the sets, which then need not move
+def verified(pairs: DataFrame, bitmaps: DataFrame, elements, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link: first by the bitmaps' bound, then by intersection.
+
+    ``elements`` gives (f, elements) for a table of members f; only sets of pairs that pass are made.
+    """
+    x = bitmaps.select(F.col("f").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xb"))
+    y = bitmaps.select(F.col("f").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("yb"))
+    near = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xb", "yb").mapInArrow(_bounded(percent), "a long, b long")
+    passed = checked(stored(near, "passed"))  # small beside the sets, which then need not move
+    sets = elements(passed.select(F.explode(F.array("a", "b")).alias("f")).distinct())
     sides = [sets.join(passed.withColumn("f", F.col(side)), "f").select("a", "b", F.col("elements").alias(name)) for side, name in (("a", "x"), ("b", "y"))]
     rows = sides[0].join(sides[1], ["a", "b"]).select("a", "b", "x", "y")
     return stored(rows.mapInArrow(_intersect(percent), "a long, b long"), "links")
@@ -202,17 +234,18 @@ def _compare(percent: int):
         key = rows[["sig", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
         f, n, label, part = (rows[c].to_numpy() for c in ("f", "n", "label", "part"))
-        bits = rows[BITS].to_numpy(np.int64).view(np.uint64)
+        bitmaps = [np.frombuffer(x, np.uint64) for x in rows["bits"]]
         left, right = [], []
         for lo, hi in zip(starts, np.append(starts[1:], len(rows))):
             same = part[lo] == part[hi - 1]
+            longs = min(len(x) for x in bitmaps[lo:hi])
+            bits = np.stack([folded(x, longs) for x in bitmaps[lo:hi]])
             middle = hi if same else lo + int(np.searchsorted(part[lo:hi], part[hi - 1]))
             for u in range(lo, middle):
                 v = np.arange(u + 1 if same else middle, hi)
                 v = v[label[v] != label[u]]
-                differ = np.bitwise_count(bits[v] ^ bits[u]).sum(axis=1, dtype=np.int64)
-                both = n[v] + n[u]
-                v = v[(100 + percent) * (both - differ) >= 2 * percent * both]
+                differ = np.bitwise_count(bits[v - lo] ^ bits[u - lo]).sum(axis=1, dtype=np.int64)
+                v = v[may_link(n[v] + n[u], differ, percent)]
                 left.append(np.full(len(v), f[u]))
                 right.append(f[v])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
@@ -221,7 +254,7 @@ def _compare(percent: int):
     return run
 
 
-def unresolved_pairs(tiles: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def unresolved_pairs(tiles: DataFrame, labels: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """Pairs of tiles' members with different labels that the bitmaps do not rule out.
 
     Tiles are cut into blocks of ``TILE_ROWS`` by label; pairs of blocks of one single label are skipped.
@@ -234,12 +267,19 @@ def unresolved_pairs(tiles: DataFrame, labels: DataFrame, sets: DataFrame, perce
     second = parts.select("sig", F.col("part").alias("j"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     blocks = parts.withColumnRenamed("part", "i").join(second, "sig").filter("i <= j AND NOT (lo = hi AND lo2 = hi2 AND lo = lo2)").select("sig", "i", "j")
     sides = blocks.withColumn("part", F.explode(F.array_distinct(F.array("i", "j"))))
-    members = rows.join(sides, ["sig", "part"]).join(sets.select("f", "n", *BITS), "f")
-    groups = max(1, rows.count() // GROUP_ROWS)
+    members = rows.join(sides, ["sig", "part"]).join(bitmaps, "f")
+    size = rows.join(bitmaps, "f").select(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
+    groups = max(1, -(-size // GROUP_BYTES))
     members = members.withColumn("group", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(groups)))
     return members.groupBy("group").applyInPandas(_compare(percent), "a long, b long").distinct()
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """One row per member; only tables with repeated rows of one id and text have more."""
+    repeated = rows.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(["f"])
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -268,20 +308,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     tiles = stored(tiles.join(unlike, "sig", "left_semi").select("sig", "f", "m"), "tiles")
 
     wanted = stored(classes.join(tiles.select("f").distinct(), "f", "left_semi").select(F.col("first_row").alias("row")), "members")
-    sets = stored(docs.join(checked(wanted), "row", "left_semi").select("text").mapInArrow(
-        _sets(k), f"f long, n long, {', '.join(f'{b} long' for b in BITS)}, elements binary"), "sets")
-    if not sets.groupBy("f").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():  # rows with one id and text
-        sets = stored(sets.dropDuplicates(["f"]), "sets")
+    texts = docs.join(checked(wanted), "row", "left_semi").select("text")
+    bitmaps = _once(stored(texts.mapInArrow(_bitmaps(k), "f long, n long, bits binary"), "bitmaps"))
+
+    def elements(members: DataFrame) -> DataFrame:
+        rows = stored(classes.join(members, "f", "left_semi").select(F.col("first_row").alias("row")), "members")
+        own = docs.join(checked(rows), "row", "left_semi").select("text").mapInArrow(_elements(k), "f long, elements binary")
+        return _once(stored(own, "elements"))
 
     weights = tiles.groupBy("f").agg(F.sum("m").alias("w"))
     leaders = tiles.join(weights, "f").groupBy("sig").agg(F.max_by("f", F.struct("w", "f")).alias("leader"))
     shared = tiles.join(leaders, "sig").filter("f != leader").groupBy("f", "leader").agg(F.count(F.lit(1)).alias("c"))
     star = shared.groupBy("f").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
     star = stored(star.select(F.least("f", "leader").alias("a"), F.greatest("f", "leader").alias("b")).distinct(), "star")
-    links = verified(star, sets, percent)
+    links = verified(star, bitmaps, elements, percent)
     labels = stored(components(links), "labels")
-    rest = unresolved_pairs(tiles.select("sig", "f"), labels, sets, percent)
-    more = verified(rest.join(star, ["a", "b"], "left_anti"), sets, percent)
+    rest = unresolved_pairs(tiles.select("sig", "f"), labels, bitmaps, percent)
+    more = verified(rest.join(star, ["a", "b"], "left_anti"), bitmaps, elements, percent)
     if not more.isEmpty():
         labels = stored(components(links.union(more)), "labels")
 
