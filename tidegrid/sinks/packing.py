@@ -6,7 +6,7 @@ whatever the grid's size. Blocks carry their byte offset in the record.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -46,3 +46,19 @@ def pack_records(values: DataFrame, keys: Sequence[str], position: Column, n_cel
         *keys, position.cast("bigint").alias("__pos"), F.col(value).cast("float").alias("__v")
     ).withColumn("block", F.floor(F.col("__pos") / block_cells))
     return rows.groupBy(*keys, "block").applyInPandas(pack, schema)
+
+
+def unpack_blocks(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, position, value) of every cell of packed blocks; fill values stay as they are."""
+    keys = list(keys)
+    schema = T.StructType([blocks.schema[k] for k in keys] + [
+        T.StructField("position", T.LongType()), T.StructField("value", T.DoubleType())])
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                values = np.frombuffer(row.data, dtype=">f4").astype(np.float64)
+                out = {k: [getattr(row, k)] * len(values) for k in keys}
+                yield pd.DataFrame({**out, "position": row.offset // BYTES_PER_CELL + np.arange(len(values)), "value": values})
+
+    return blocks.select(*keys, "offset", "data").mapInPandas(unpack, schema)

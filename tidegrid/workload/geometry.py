@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions import geo, layout
 from tidegrid.operators import mapping, regrid
 from tidegrid.session import shared_dir
-from tidegrid.sinks.packing import pack_records
+from tidegrid.sinks.packing import pack_records, unpack_blocks
 from tidegrid.sources import cells as src_cells
 from tidegrid.sources import grids
 from tidegrid.workload.registry import Views, query
@@ -348,12 +348,16 @@ def pack_record(v: Views):
     return blocks.select("event_type", "block", "offset", F.octet_length("data").alias("n_bytes"))
 
 
-@query("pack_record_bytes")
+@query("pack_record_bytes", sql("b_val", """
+    WITH n AS (SELECT count(*) AS cells FROM events), b AS (SELECT DISTINCT event_type, event_id // 4096 AS block FROM b_val),
+    p AS (SELECT event_type, CAST(unnest(range(block * 4096, least((block + 1) * 4096, cells))) AS BIGINT) AS position FROM b, n)
+    SELECT p.event_type, position, CAST(coalesce(CAST(value AS FLOAT), -9999) AS DOUBLE) AS value
+    FROM p LEFT JOIN b_val v ON v.event_type = p.event_type AND v.event_id = p.position"""))
 def pack_record_bytes(v: Views):
-    """The packed bytes themselves (no byte packing in SQL; unit tests check them)."""
+    """The values read back from the packed bytes of every block, fill values included."""
     n_cells = v.events.count()
     rows = v.value_events.select("event_type", "event_id", "value")
     blocks = pack_records(rows, ["event_type"], F.col("event_id"), n_cells, block_cells=4096)
-    return blocks.select("event_type", "block", F.md5("data").alias("digest"))
+    return unpack_blocks(blocks, ["event_type"])
 
 
