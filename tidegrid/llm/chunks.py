@@ -16,13 +16,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from tidegrid.llm.textops import buffers, hash_spans, pieces
+from tidegrid.llm.textops import buffers, hash_spans, kept, pieces, release
 
 _byte = np.arange(256)
 # Lead bytes C2, E1, E2 and E3 also begin white space outside ASCII, so no cut is made before them.
 _VISIBLE = (_byte > 0x20) & (_byte != 0x7F) & ~np.isin(_byte, (0xC2, 0xE1, 0xE2, 0xE3))
-CACHE_ENTRIES = 1 << 21
-POOL_IDS = 1 << 24
+CACHE_ENTRIES = 1 << 20
+POOL_IDS = 1 << 22
 
 
 class HashTable:
@@ -108,6 +108,7 @@ def chunked(column: pa.Array, whole: tuple[bytes, ...] | None):
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(part))
         yield Chunks(first, last, part, starts, ends, np.searchsorted(starts, bounds), hash_spans(part, starts, ends))
+    release()
 
 
 class Encoder:
@@ -185,11 +186,6 @@ class Encoder:
         return self.pool[where], lengths
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def worker_encoder(path: str, ids: bool) -> Encoder:
     """The encoder of this worker process, kept from task to task."""
-    if (path, ids) not in _ENCODERS:
-        _ENCODERS[path, ids] = Encoder(path, ids)
-    return _ENCODERS[path, ids]
+    return kept(("encoder", path, ids), lambda: Encoder(path, ids))

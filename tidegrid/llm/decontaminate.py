@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.chunks import HashTable
 from tidegrid.llm.scratch import stored
-from tidegrid.llm.textops import LETTER_DIGIT, hash_windows, word_pieces
+from tidegrid.llm.textops import LETTER_DIGIT, hash_windows, kept, word_pieces
 
 WINDOW = 10
 SHINGLE = 3
@@ -107,6 +107,7 @@ def shingle_counts(docs: DataFrame, shingles: np.ndarray, sizes: list[int]) -> d
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("windows", lambda: None)
         sums = np.zeros(len(keys), np.int64)
         for batch in batches:
             for p in word_pieces(batch.column(0), LETTER_DIGIT, True):
@@ -150,6 +151,7 @@ def _pass(index, carried: bool, keep_text: bool):
     """A pass of the documents over one block of items: adds hit spans and items to those so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("windows", lambda: None)
         own = index.value
         for batch in batches:
             n_words, spans, items = [], [], []

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.components import components
 from tidegrid.llm.scratch import checked, stored
-from tidegrid.llm.textops import NOT_SPACE, hash_windows, mix, word_pieces
+from tidegrid.llm.textops import NOT_SPACE, hash_windows, kept, mix, word_pieces
 
 # Salts of the two set hashes, of the parts and of the bitmaps.
 SALTS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FADE682D1)
@@ -40,6 +40,7 @@ GROUP_BYTES = 16 << 20  # of bitmaps and ids that are compared in one call
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text, lower-cased; a text of fewer than k words is one shingle."""
+    kept("shingles", lambda: None)
     for p in word_pieces(column, NOT_SPACE, True):
         windows = hash_windows(p.hashes, k)
         for lo, hi in zip(p.bounds[:-1], p.bounds[1:]):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm.chunks import HashTable
-from tidegrid.llm.textops import hash_spans, mix, word_pieces
+from tidegrid.llm.textops import hash_spans, kept, mix, word_pieces
 
 # The classifier is fitted on at most this many labelled texts (those with the lowest hash), each of at
 # most this many bytes.
@@ -31,7 +31,7 @@ FEATURE_BITS = 16
 SEQUENCE = 128
 EPOCHS, RATE, DECAY = 2, 0.3, 1e-6
 LEXICON_WORDS = 2000  # most frequent words of the sample, per language
-CACHED_TYPES = 1 << 20
+CACHED_TYPES = 1 << 19
 UNDETERMINED = "und"
 
 _byte = np.arange(256)
@@ -292,15 +292,8 @@ class Labeller:
         return out
 
 
-_LABELLERS: dict[int, Labeller] = {}
-
-
 def _worker_labeller(data: bytes) -> Labeller:
-    key = hash(data)
-    if key not in _LABELLERS:
-        _LABELLERS.clear()
-        _LABELLERS[key] = Labeller(pickle.loads(data))
-    return _LABELLERS[key]
+    return kept(("labeller", data), lambda: Labeller(pickle.loads(data)))
 
 
 def identify(docs: DataFrame, model: bytes) -> DataFrame:

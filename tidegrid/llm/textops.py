@@ -6,6 +6,7 @@ taken from one running sum over the buffer, then mixed; so no Python object exis
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,29 @@ LETTER_DIGIT = ((_byte >= 0x30) & (_byte <= 0x39)) | ((_byte >= 0x61) & (_byte <
 LOWER = np.where((_byte >= 0x41) & (_byte <= 0x5A), _byte + 32, _byte).astype(np.uint8)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+_KEPT: list = [None, None]
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system; idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def kept(kind, make):
+    """What a worker keeps from task to task for one kind of work; other work drops it.
+
+    Workers serve one stage after another, so the caches of earlier stages must not pile up.
+    """
+    if _KEPT[0] != kind:
+        _KEPT[:] = [None, None]
+        release()
+        _KEPT[:] = [kind, make()]
+    return _KEPT[1]
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
 
@@ -141,3 +165,4 @@ def word_pieces(column: pa.Array, word_bytes: np.ndarray, lower: bool, limit: in
         ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         hashes = hash_spans(part, starts, ends)
         yield Words(first, last, part, starts, ends, np.searchsorted(starts, bounds), hashes)
+    release()
