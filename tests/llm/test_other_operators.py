@@ -203,3 +203,24 @@ def test_queries_of_the_contract(spark):
     assert pages == {i: htmltext.page_text(h) for i, h in html.items()}
 
 
+def test_mixed_meets_every_target(corpus):
+    """A tiny source, a hot one and long documents: whole documents, but each source's words as the mix wants them."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    from tidegrid.llm import mixture
+
+    rng = np.random.default_rng(3)
+    rows = [(10_000, "w " * 300, "en", "tiny")]
+    for i in range(3000):
+        size = int(rng.integers(1500, 4000)) if i % 40 == 0 else int(rng.integers(1, 400))
+        rows.append((i, f"d{i} " * size, "en", "hot" if i % 3 == 0 else f"s{i % 4}"))
+    rows += [(None, "same words here", "en", "s1")] * 5 + [(20_000, " ", "en", "s2")]
+    docs = corpus(rows, extra=False).withColumn("n_chars", F.length("text"))
+    target = {r.source: r.target for r in mixture.mix(docs.select("doc_id", "source", "text")).collect()}
+    got = corpus_pipeline.mixed(docs.sparkSession, docs, "").collect()
+    taken, times, given = defaultdict(int), Counter((r.doc_id, r.text) for r in got), Counter(r[:2] for r in rows)
+    for r in got:
+        taken[r.source] += len(words(r.text))
+    assert all(n <= 2 * given[k] for k, n in times.items()) and times[20_000, " "] == 1
+    for source, want in target.items():
+        assert taken[source] == pytest.approx(want, rel=0.005), source
+    assert Counter(map(tuple, corpus_pipeline.mixed(docs.sparkSession, docs.repartition(7), "").collect())) == Counter(map(tuple, got))

@@ -6,6 +6,9 @@ target / (2 j + 1), and a source's blocks to its shards by highest quotients of
 shard the documents stand in a seeded order and are cut into blocks; every block is taken as often as
 fits evenly, and the rest is a seeded systematic selection, so that what a document gives follows from
 its position alone and no block becomes a row. Everything is built-in column functions.
+
+``whole_documents`` is the mix in whole documents. What rounding a document gives too much or too little
+is carried on to the next one of its shard, longest first, so it cancels out within a source.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ DOCS_PER_SHARD = 8192
 MAX_SHARDS = 1 << 16
 # The mix has at least this many blocks, and the smallest source with a target at least this many.
 MIN_BLOCKS, MIN_SOURCE_BLOCKS = 20_000, 64
+# Rows of a shard of whole documents; a shard is one array.
+WHOLE_PER_SHARD = 1024
 SEED = "mix-1"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -124,3 +129,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return taken.select(
         "doc_id", "source", "size", "source_size", "target",
         F.when(F.col("words") > 0, every * F.col("size") + extra).otherwise(0).cast("long").alias("taken"))
+
+
+def whole_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = SEED) -> DataFrame:
+    """(row, rows, times): how often the mix takes the ``rows`` equal rows named ``row`` of ``docs`` (row, source, text) together.
+
+    Targets are those of ``mix``. Every row is taken floor(target / source size) times and some once
+    more: within a shard, by falling powers of two of the size and then in a seeded order, a row is given
+    the words due so far as whole documents, rounded up with the chance of the remainder (seeded), and
+    what is then still due goes on to the next one. A shard so ends within about one of its short
+    documents of its share. Rows without words are taken once each. Reruns with one seed agree.
+    """
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    sized = docs.select("row", "source", key.alias("skey"), word_count(F.col("text")).alias("size"))
+    sizes = stored(sized.groupBy("row", "source", "skey", "size").agg(F.count(F.lit(1)).alias("rows")), "whole-sizes")
+    sources = sizes.groupBy("skey").agg(
+        F.first("source").alias("source"), F.sum(F.col("size") * F.col("rows")).alias("size"), F.count(F.lit(1)).alias("docs"))
+    ratio = F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0.0)
+    shards = F.ceil(F.col("docs") / WHOLE_PER_SHARD).cast("long")
+    plan = source_targets(sources, weights, share, cap).select("skey", ratio.alias("ratio"), shards.alias("shards"))
+    plan = stored(plan, "whole-sources")
+
+    draw = lambda salt: F.xxhash64(F.lit(f"{seed}:{salt}"), "row")
+    item = F.struct(
+        (-F.floor(F.log2("size"))).alias("order"), draw("place").alias("place"), "row", "rows", "size",
+        (F.pmod(draw("chance"), F.lit(1 << 32)) / float(1 << 32)).alias("chance"))
+    parts = sizes.filter("size > 0").join(checked(plan), "skey").withColumn("shard", F.pmod(draw("shard"), F.col("shards")))
+    parts = parts.groupBy("skey", "shard", "ratio").agg(F.sort_array(F.collect_list(item)).alias("items"))
+
+    def give(done: Column, x: Column) -> Column:
+        due = done["due"] + (F.col("ratio") - F.floor("ratio")) * x["size"] * x["rows"]
+        more = F.least(F.greatest(F.floor(due / x["size"] + x["chance"]), F.lit(0)), x["rows"]).cast("long")
+        return F.struct((due - more * x["size"]).alias("due"), F.concat(done["more"], F.array(more)).alias("more"))
+
+    nothing = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<bigint>").alias("more"))
+    given = parts.withColumn("more", F.aggregate("items", nothing, give, lambda done: done["more"]))
+    given = given.select("ratio", F.explode(F.arrays_zip("items", "more")).alias("x"))
+    times = F.col("x.items.rows") * F.floor("ratio") + F.col("x.more")
+    given = given.select("x.items.row", "x.items.rows", times.cast("long").alias("times"))
+    return given.union(sizes.filter("size = 0").select("row", "rows", "rows"))
