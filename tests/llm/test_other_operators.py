@@ -224,3 +224,31 @@ def test_mixed_meets_every_target(corpus):
     for source, want in target.items():
         assert taken[source] == pytest.approx(want, rel=0.005), source
     assert Counter(map(tuple, corpus_pipeline.mixed(docs.sparkSession, docs.repartition(7), "").collect())) == Counter(map(tuple, got))
+
+
+def test_stages_decide_by_row(corpus):
+    """A rejected document takes no other one of its id along, null ids included; equal rows of a group leave one."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    rng, names = np.random.default_rng(8), [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    texts = [" ".join(rng.choice(names, 60)) for _ in range(6)]
+    near = texts[0] + " more"
+    spark = corpus([]).sparkSession
+    passage = spark.read.parquet(f"{sf}/benchmark.parquet").filter(F.length("text") > 300).first().text
+
+    def run(stage, rows):
+        docs = corpus([(i, t, "en", "a") for i, t in rows], extra=False).withColumn("n_chars", F.length("text"))
+        return Counter((r.doc_id, r.text) for r in stage(spark, docs, sf).collect())
+
+    rows = [(None, "12 - 34"), (None, texts[0]), (7, "12"), (7, texts[1])]
+    learned = [(i, texts[i % 6]) for i in range(100, 112)]
+    assert run(corpus_pipeline.language, rows + learned) == Counter([(None, texts[0]), (7, texts[1]), *learned])
+    rows = [(None, passage), (None, texts[0]), (7, passage), (7, texts[1])]
+    assert run(corpus_pipeline.decontaminated, rows) == Counter([(None, texts[0]), (7, texts[1])])
+    rows = [(None, near), (None, texts[1]), (3, texts[0]), (5, near), (5, texts[2]), (9, texts[3]), (9, texts[3])]
+    rows += [(None, texts[4]), (None, texts[4]), (2, texts[5]), (2, texts[5]), (4, texts[5] + " more"), (8, ""), (8, "")]
+    assert run(corpus_pipeline.near_duplicates, rows) == Counter(
+        [(None, texts[1]), (3, texts[0]), (5, texts[2]), (9, texts[3]), (None, texts[4]), (2, texts[5]), (8, ""), (8, "")])
+    rows = [(6, texts[0]), (6, near), (1, texts[1])]
+    kept = run(corpus_pipeline.near_duplicates, rows)
+    assert len(kept) == 2 and (1, texts[1]) in kept
