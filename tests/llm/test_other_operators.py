@@ -137,6 +137,29 @@ def test_neighbours_small(spark):
     assert [tuple(r) for r in got] == [(0, 1, 3, 10.0), (0, 2, 1, 1.0), (0, 3, 2, 1.0)]
 
 
+def test_neighbours_of_repeated_queries(spark):
+    """A query row listed again changes nothing for the query; several vectors of one id give each row once, with its best score."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    once = neighbours.nearest(vectors(spark, rows)).filter("query_id IN (0, 20)").orderBy("query_id", "rank").collect()
+    again = neighbours.nearest(vectors(spark, rows + [rows[0]] + [rows[20]] * 2)).filter("query_id IN (0, 20)").orderBy("query_id", "rank").collect()
+    by = lambda found, q: [tuple(r) for r in found if r.query_id == q]
+    # the repeats of one query's row are candidates of the other query each
+    drop = lambda found, other: [r[2] for r in found if r[2] != other]
+    for q, other in ((0, 20), (20, 0)):
+        a, b = drop(by(once, q), other), drop(by(again, q), other)
+        assert len(by(again, q)) == 20 and len(set(b)) == len(b) >= 17 and b == a[: len(b)]
+    two = [(0, (-x[0]).tolist())]
+    got = [tuple(r) for r in neighbours.nearest(vectors(spark, rows + two)).filter("query_id = 0").orderBy("rank").collect()]
+    scores = np.abs(x @ x[0])
+    scores[0] = -np.inf
+    best = np.argsort(-scores)[:20]
+    assert len({r[2] for r in got}) == len(got) == 20
+    assert len({r[2] for r in got} & set(best.tolist())) >= 18
+    assert all(r[3] == pytest.approx(scores[r[2]]) for r in got if r[2] in set(best.tolist()))
+
+
 def test_pipeline_against_brute_force(spark, corpus):
     """Every stage's decisions on its own input, from plain definitions."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")

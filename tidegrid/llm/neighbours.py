@@ -94,6 +94,8 @@ def _matrix(column) -> np.ndarray:
 
 
 def _search(model, k: int):
+    """The ``k`` best rows of a block for each query id of a block; ``asked`` holds an id's different vectors in a row."""
+
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         out = [[], [], []]
         if rows.num_rows and queries.num_rows:
@@ -103,18 +105,25 @@ def _search(model, k: int):
             index, codes = MultiIndex(encode(vectors, mean, projection)), encode(wanted, mean, projection)
             enough = min(len(ids), max(4 * k + 1, int(ENOUGH * len(ids))))
             least, step = projection.shape[1] * 2 // 5, max(1, projection.shape[1] // 42)
-            for q, code, vector in zip(asked.tolist(), codes, wanted):
-                radius = least
-                near = index.within(code, radius)
-                while len(near) < enough:
-                    radius += step
+            order = np.argsort(asked, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(asked[order])) + 1):
+                q, top = asked[own[0]], (np.zeros(0, np.int64), np.zeros(0))
+                others = ids != q
+                wide = min(int(others.sum()), enough)
+                for code, vector in zip(codes[own], wanted[own]):
+                    radius = least
                     near = index.within(code, radius)
-                near = near[ids[near] != q]
-                scores = (vectors[near] * vector).sum(axis=1)
-                best = np.lexsort((ids[near], -scores))[:k]
-                out[0].append(np.full(len(best), q))
-                out[1].append(ids[near][best])
-                out[2].append(scores[best])
+                    while others[near].sum() < wide:  # rows of the query's id do not count
+                        radius += step
+                        near = index.within(code, radius)
+                    near = near[others[near]]
+                    near, scores = np.append(top[0], near), np.append(top[1], (vectors[near] * vector).sum(axis=1))
+                    best = np.lexsort((ids[near], -scores))
+                    best = best[np.sort(np.unique(near[best], return_index=True)[1])][:k]  # a row once, with its best score
+                    top = near[best], scores[best]
+                out[0].append(np.full(len(top[0]), q))
+                out[1].append(ids[top[0]])
+                out[2].append(top[1])
         columns = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table({"query_id": pa.array(columns[0].astype(np.int64)), "vec_id": pa.array(columns[1].astype(np.int64)), "score": pa.array(columns[2].astype(np.float64))})
 
@@ -134,7 +143,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     to the smaller vec_id; rows with the query's id are no candidates. Null ids, vectors that are null,
     zero or hold null or non-finite components, and vectors of another than the most common length take
     no part. If there are fewer than k candidates, all are returned; an empty table gives no rows.
-    Rows with one id are candidates each; as queries they are one, with the nearest to any of them.
+    Rows with one id are candidates each; as queries they are one, with the nearest to any of them: a
+    candidate row counts once, with its best score.
     """
     spark = vectors.sparkSession
     rows = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
@@ -151,7 +161,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     base = rows.withColumns({"r": dealt(row_blocks), "q": every_block(query_blocks)})
-    asked = rows.filter(F.col("vec_id") % every == 0).withColumns({"q": dealt(query_blocks), "r": every_block(row_blocks)})
+    asked = rows.filter(F.col("vec_id") % every == 0).distinct().withColumns({"q": dealt(query_blocks), "r": every_block(row_blocks)})
     found = base.groupBy("r", "q").cogroup(asked.groupBy("r", "q")).applyInArrow(_search(model, k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
