@@ -187,3 +187,16 @@ def test_dataset_attributes(spark):
 
     a = spark.range(1).select(dataset_attributes({"original_dataset_title": "T", "notes": None}, "g", "llc", 1.5).alias("a")).first().a
     assert a == {"original_dataset_title": "T", "interpolated_grid": "g", "interpolated_grid_id": "g", "model_grid_type": "llc", "transformation_version": "1.5"}
+
+
+def test_long_listings_grow_in_pages(spark):
+    """Pages keep some hundred entries at any size; more orders make more pages."""
+    from tidegrid.workload import listings
+    from tidegrid.workload.registry import Views
+
+    pages = {}
+    for sf in ("0.001", "0.01"):
+        found = listings._pages_by(Views(spark, f"/root/testdata/sf{sf}"), "", F.lit("x"), "").select(F.length("body").alias("n")).collect()
+        assert max(r.n for r in found) <= 1500
+        pages[sf] = len(found), sum(r.n for r in found)
+    assert pages["0.01"][0] >= 5 * pages["0.001"][0] and pages["0.01"][1] == 10 * pages["0.001"][1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import text
@@ -49,15 +50,31 @@ def listing_links_dated(v: Views):
     return rows.select("o_orderkey", "position", "url", ts_text("mod_time").alias("mod_time"))
 
 
+# Order keys of a page of the long listings; a page has one entry per order at most.
+PAGE_KEYS = 1500
+
+
 def _pages_by(v: Views, begin: str, entry, end: str):
-    """Pages of several hundred entries: the orders of one customer segment and day of the month, in order of their keys."""
-    rows = v.orders.join(v.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
-    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("e"))))
-    return rows.groupBy("c_mktsegment").agg(entries.alias("entries")).select(
-        "c_mktsegment", F.lit("https://host/list/").alias("url"),
+    """Pages of some hundred entries: the orders of one customer segment and ``PAGE_KEYS`` order keys, in order of their keys."""
+    rows = _by_segment(v).withColumn("e", entry)
+    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", "e")))
+    return rows.groupBy("c_mktsegment", "page").agg(entries.alias("entries")).select(
+        "c_mktsegment", "page", F.lit("https://host/list/").alias("url"),
         F.concat(F.lit(begin), F.array_join(F.transform("entries", lambda x: x["e"]), ""), F.lit(end)).alias("body"))
 
 
+def _by_segment(v: Views):
+    segments = v.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return v.orders.join(segments, "o_custkey").withColumn("page", F.floor(F.col("o_orderkey") / PAGE_KEYS))
+
+
+def _entries_before(v: Views):
+    """(c_mktsegment, page, before): entries on the earlier pages of a segment; a row per page, so the window is small."""
+    earlier = Window.partitionBy("c_mktsegment").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    counts = _by_segment(v).groupBy("c_mktsegment", "page").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("c_mktsegment", "page", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+
+
 _BY_SEGMENT = "orders JOIN customer ON c_custkey = o_custkey"
 
 
@@ -74,7 +91,9 @@ def listing_links_large(v: Views):
     tag = tag.when(k == 2, F.concat(F.lit("<a href="), name, F.lit(">file <img src='p.gif'></a>")))
     tag = tag.otherwise(F.concat(F.lit('<a data-href="no" href="'), name, F.lit('">file</a>')))
     pages = _pages_by(v, '<abbr>no</abbr><!-- <a href="no">no</a> --><a href="../">Up</a>', F.concat(tag, F.lit("  "), day, F.lit(" 03:04  1K\n")), "")
-    return listings.entries_links(pages).select("c_mktsegment", "position", "url", ts_text("mod_time").alias("mod_time"))
+    rows = listings.entries_links(pages).join(_entries_before(v), ["c_mktsegment", "page"])
+    position = (F.col("before") + F.col("position")).cast("int")
+    return rows.select("c_mktsegment", position.alias("position"), "url", ts_text("mod_time").alias("mod_time"))
 
 
 @query("listing_xml_large", sql("", f"""
