@@ -8,6 +8,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest_llm import folded, prose, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidegrid.llm import chunks, decontaminate, jaccard, langid, mixture, substrings, tokencount, tokenfiles
 from tidegrid.session import shared_dir
@@ -27,6 +29,11 @@ def library():
     return tokenizers.Tokenizer.from_file(PATH)
 
 
+@pytest.fixture(scope="module")
+def encoder():
+    return chunks.Encoder(PATH, True)
+
+
 def token_rows(awkward):
     return awkward + [(100 + i, t, "en", "a") for i, t in enumerate(ODD)]
 
@@ -49,6 +56,36 @@ def test_token_counts_of_other_tokenizers(corpus, awkward):
         (r[0], len(tk.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows)
 
 
+ENDS = ["", " ", "  ", "\n", "\n\n", "\n\n\n", " \n", "\n ", " \n\n", "\t", "\r\n", "\u3000", "\u00a0\n", "\n\n "]
+MIDDLES = ["x", "a b", "é", "日本", "1", "'s", ",.", "<|endoftext|>", "<|endof", "text|>", "\u0085", "\U0001F600", "y\n\nz", ""]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(ENDS), st.sampled_from(MIDDLES), st.sampled_from(ENDS)), min_size=1, max_size=12))
+def test_ids_do_not_depend_on_the_next_text(library, encoder, parts):
+    """Whatever stands next in the batch, the ids are those of the library for each text alone."""
+    import pyarrow as pa
+
+    texts = ["".join(p) for p in parts]
+    for batch in [texts, *[[t] for t in texts], texts[::-1]]:
+        got = []
+        for c in chunks.chunked(pa.array(batch), encoder.whole):
+            ids, lengths = encoder.expand(encoder.entries(c))
+            ends = np.concatenate([[0], np.cumsum(lengths)])[c.bounds]
+            got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in batch]
+
+
+def test_token_counts_at_text_ends(corpus, library):
+    """Texts that end in white space before texts of every kind, in one batch and dealt over several."""
+    texts = [a + e for a in ("x", "a b", "日") for e in ENDS]
+    rows = [(2 * i + j, t, "en", "a") for i, t in enumerate(texts) for j, t in enumerate((t, MIDDLES[i % len(MIDDLES)]))]
+    expected = Counter((i, len(library.encode(t, add_special_tokens=False).ids)) for i, t, _, _ in rows)
+    for parts in (1, 3, 7):
+        found = tokencount.count_tokens(corpus(rows).coalesce(1).repartition(parts, "doc_id"), PATH)
+        assert multiset(found, "doc_id", "n_tokens") == expected
+
+
 def test_cache_is_bounded(library, monkeypatch):
     monkeypatch.setattr(chunks, "CACHE_ENTRIES", 5)
     import pyarrow as pa

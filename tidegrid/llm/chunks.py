@@ -94,6 +94,7 @@ def chunked(column: pa.Array, whole: tuple[bytes, ...] | None):
         if whole is not None and len(part):
             visible = np.zeros(len(part), bool)
             visible[:-1] = _VISIBLE[part[1:]]
+            visible[bounds[1:][bounds[1:] > 0] - 1] = False  # what follows a text's last byte is another text
             cut[:-1] = visible & ((part == 0x20) | (part == 0x0A))
             cut[1:] |= visible & (part == 0x0A)
             raw = part.tobytes()
