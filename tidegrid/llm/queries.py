@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
+from tidegrid.llm import alignment, chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import table
 from tidegrid.session import configure, shared_dir
@@ -15,6 +15,7 @@ from tidegrid.session import configure, shared_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+SECOND_TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
 
@@ -38,10 +39,10 @@ def load():
     return dict(QUERIES), dict(SQL)
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op1_jaccard_components", sql.jaccard(3, 90))
@@ -120,3 +121,12 @@ def op10(spark, sf_dir):
     folder = shared_dir(spark, "token-files")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents", ["doc_id", "text"]), folder, tokenizer_path())
     return tokenfiles.read_token_files(spark, folder)
+
+
+@query("op11_align_tokens")
+def op11(spark, sf_dir):
+    """Groups of two tokenizers' tokens over every document, and the counts of what they link."""
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = alignment.align(docs, tokenizer_path(), tokenizer_path(SECOND_TOKENIZER))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return alignment.score_links(found.withColumn("groups_sha256", digest).drop("groups"))
