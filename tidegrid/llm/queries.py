@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import alignment, chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, substrings, tokencount, tokenfiles
+from tidegrid.llm import alignment, chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, secrets, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import table
 from tidegrid.session import configure, shared_dir
@@ -130,3 +130,12 @@ def op11(spark, sf_dir):
     found = alignment.align(docs, tokenizer_path(), tokenizer_path(SECOND_TOKENIZER))
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
     return alignment.score_links(found.withColumn("groups_sha256", digest).drop("groups"))
+
+
+@query("op12_secret_scan", sql.secret_scan())
+def op12(spark, sf_dir):
+    """Secrets in every document, and the weak candidates that complement each other."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidegrid.llm import secrets
 from tidegrid.llm.chat import ESCAPE, ESCAPED_ESCAPE, LETTERS, Template
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -120,3 +121,40 @@ l AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id),
 k AS (SELECT d.doc_id, w, coalesce(len(gone), 0) AS n, CASE WHEN gone IS NULL THEN w ELSE list_select(w, list_sort(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)))) END AS kept FROM d LEFT JOIN l USING (doc_id))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
 """
+
+
+def secret_scan(reach: int = secrets.REACH) -> str:
+    """Base spans of tidegrid.llm.secrets by splitting, and weak ones by comparing all parts of a document."""
+    patterns = secrets.BASE | secrets.WEAK | {"break": secrets.BREAK}
+
+    def scan(kind: str, pattern: str) -> str:
+        p = _lit(pattern)
+        value = f"regexp_extract_all(text, {p}, {2 if kind == 'assign' else 0})"
+        return f"SELECT r, {_lit(kind)} AS kind, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}, 0) AS found, {value} AS vals FROM d WHERE regexp_matches(text, {p})"
+
+    case = lambda table, column: "CASE " + " ".join(f"WHEN {column} = {_lit(k)} THEN {_lit(str(v))}" for k, v in table.items()) + " END"
+    needs = " OR ".join(
+        f"(w.kind = {_lit(k)} AND " + " AND ".join(f"count(*) FILTER (WHERE o.role = {_lit(x)}) > 0" for x in v) + ")" for k, v in secrets.NEEDS.items())
+    base = ", ".join(_lit(k) for k in secrets.BASE)
+    weak = ", ".join(_lit(k) for k in secrets.WEAK)
+    order = "start, place"
+    listed = lambda where: f"coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY {order}){where}, '')"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = {_lit(k)} AND base) AS n_{k}" for k in secrets.BASE)
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+scans AS ({" UNION ALL ".join(scan(k, p) for k, p in patterns.items())}),
+each AS (SELECT r, kind, i, length(gaps[i]) AS gap, length(found[i]) AS size, length(vals[i]) AS val FROM scans, LATERAL unnest(range(1, len(found) + 1)) AS t(i)),
+sums AS (SELECT *, CAST(sum(gap + size) OVER (PARTITION BY r, kind ORDER BY i) AS BIGINT) AS stop FROM each),
+parts AS (SELECT DISTINCT r, CASE WHEN kind <> 'assign' OR val >= {secrets.MIN_VALUE} THEN kind WHEN val >= {secrets.MIN_PHRASE} THEN 'phrase' END AS kind, stop - size AS start, stop FROM sums),
+roles AS (SELECT *, {case(secrets.ROLES, "kind")} AS role FROM parts WHERE kind IS NOT NULL AND kind <> 'break'),
+breaks AS (SELECT r, start FROM parts WHERE kind = 'break'),
+scoped AS (SELECT p.*, (SELECT count(*) FROM breaks b WHERE b.r = p.r AND b.start < p.start) AS scope FROM roles p),
+added AS (SELECT w.r, w.kind, w.start, w.stop FROM scoped w JOIN scoped o ON o.r = w.r AND o.scope = w.scope AND o.role <> w.role
+  AND (o.start BETWEEN w.stop AND w.stop + {reach} OR o.stop BETWEEN w.start - {reach} AND w.start)
+  WHERE w.kind IN ({weak}) GROUP BY w.r, w.kind, w.start, w.stop HAVING {needs}),
+spans AS (SELECT r, kind, start, stop, true AS base FROM roles WHERE kind IN ({base}) UNION ALL SELECT r, kind, start, stop, false FROM added),
+placed AS (SELECT *, CAST({case({k: i for i, k in enumerate(secrets.KINDS)}, "kind")} AS INTEGER) AS place FROM spans),
+found AS (SELECT r, {counts}, {listed(" FILTER (WHERE base)")} AS base_spans, {listed("")} AS spans FROM placed GROUP BY r)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in secrets.BASE)}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found USING (r)
+"""
