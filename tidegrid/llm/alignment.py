@@ -18,6 +18,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from tidegrid.llm.chunks import _VISIBLE, HashTable
 from tidegrid.llm.scratch import checked, stored
 from tidegrid.llm.textops import buffers, hash_spans, kept, pieces, release
 
-CACHE_ENTRIES = 1 << 18
-CACHE_BYTES = 64 << 20
+CACHE_ENTRIES = 1 << 19
+CACHE_BYTES = 96 << 20
 # Id pairs whose counts are broadcast, the most frequent ones: at most this many rows of three numbers.
 FREQUENT_PAIRS = 1 << 17
 # An id pair as one number: the first id times this, plus the second.
@@ -87,39 +88,37 @@ class Sides:
         whole = text.encode()
         if b"".join(told_a) != whole or b"".join(told_b) != whole:
             return None
-        ends_a, ends_b = _ends(told_a), _ends(told_b)
+        # dictionaries from each byte where a token ends to the number of tokens up to it
+        ends_a = dict(zip(accumulate(map(len, told_a)), range(1, len(told_a) + 1)))
+        ends_b = dict(zip(accumulate(map(len, told_b)), range(1, len(told_b) + 1)))
         out, i, j = [], 0, 0
         for end in sorted(ends_a.keys() & ends_b.keys()):
-            out.append((ids_a[i : ends_a[end]], ids_b[j : ends_b[end]]))
-            i, j = ends_a[end], ends_b[end]
+            k, m = ends_a[end], ends_b[end]
+            out.append((ids_a[i:k], ids_b[j:m]))
+            i, j = k, m
         return out
 
 
-def _ends(told: list[bytes]) -> dict[int, int]:
-    """Number of tokens up to each byte where one ends."""
-    out, at = {}, 0
-    for i, token in enumerate(told, 1):
-        at += len(token)
-        out[at] = i
-    return out
-
-
-def links(groups: list[tuple[list[int], list[int]]]) -> Counter:
+def links(groups: list[tuple[list[int], list[int]]]) -> dict[int, int]:
     """How often each id pair is linked: in a group each token of one side with each of the other."""
-    out: Counter = Counter()
+    out: dict[int, int] = {}
     for a, b in groups:
-        if len(a) == 1 and len(b) == 1:
-            out[a[0] * PAIR + b[0]] += 1
+        if len(a) * len(b) <= 64:
+            for x in a:
+                x *= PAIR
+                for y in b:
+                    out[x + y] = out.get(x + y, 0) + 1
         else:
+            many = Counter(b).items()
             for x, n in Counter(a).items():
-                for y, m in Counter(b).items():
-                    out[x * PAIR + y] += n * m
+                for y, m in many:
+                    out[x * PAIR + y] = out.get(x * PAIR + y, 0) + n * m
     return out
 
 
 def told(groups: list[tuple[list[int], list[int]]]) -> str:
     """The groups as text: ids of a side by commas, the sides by a bar, groups by semicolons."""
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+    return ";".join([f"{a[0]}|{b[0]}" if len(a) == len(b) == 1 else ",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups])
 
 
 class Aligner:
@@ -135,22 +134,25 @@ class Aligner:
         self.at, self.pairs, self.times, self.used = np.zeros((1 << 10) + 1, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
 
     def learn(self, texts: list[str]) -> None:
+        numbers, pairs, times, at = [], [], [], []
         for text, (ids_a, ids_b) in zip(texts, self.sides.encode(texts)):
             groups = self.sides.groups(text, ids_a, ids_b)
-            found = links(groups or [])
-            entry, n = len(self.texts), len(found)
-            if entry == len(self.numbers):
-                self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
-                self.at = np.concatenate([self.at, np.zeros(len(self.at) - 1, np.int64)])
-            while self.used + n > len(self.pairs):
-                self.pairs, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.times))
-            self.numbers[entry] = len(ids_a), len(ids_b), len(groups or []), sum(found.values()), groups is not None
-            self.pairs[self.used : self.used + n] = np.fromiter(found.keys(), np.int64, n)
-            self.times[self.used : self.used + n] = np.fromiter(found.values(), np.int64, n)
-            self.used += n
-            self.at[entry + 1] = self.used
-            self.texts.append(told(groups or []))
+            found = links(groups or ())
+            pairs += found
+            times += found.values()
+            numbers.append((len(ids_a), len(ids_b), len(groups or ()), sum(found.values()), groups is not None))
+            at.append(self.used + len(pairs))
+            self.texts.append(told(groups or ()))
             self.bytes += len(self.texts[-1])
+        first, last, used = len(self.texts) - len(texts), len(self.texts), self.used + len(pairs)
+        while last > len(self.numbers):
+            self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
+            self.at = np.concatenate([self.at, np.zeros(len(self.at) - 1, np.int64)])
+        while used > len(self.pairs):
+            self.pairs, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.times))
+        self.numbers[first:last], self.at[first + 1 : last + 1] = numbers, at
+        self.pairs[self.used : used], self.times[self.used : used] = pairs, times
+        self.used = used
 
     def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Entry of each stretch; unseen ones are aligned first."""
