@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import alignment, chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, secrets, substrings, tokencount, tokenfiles
+from tidegrid.llm import alignment, chat, decontaminate, htmltext, jaccard, langid, mixture, neighbours, ranked, secrets, substrings, tokencount, tokenfiles
 from tidegrid.llm import sqltext as sql
 from tidegrid.llm.scratch import table
 from tidegrid.session import configure, shared_dir
@@ -139,3 +139,9 @@ def op12(spark, sf_dir):
     base = F.filter("spans", lambda s: s["base"])
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query("op13_ranked_search", sql.RANKED)
+def op13(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    return ranked.ranked_search(table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "benchmark", ["item_id", "text"]), k=50)

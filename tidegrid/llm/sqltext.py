@@ -158,3 +158,20 @@ found AS (SELECT r, {counts}, {listed(" FILTER (WHERE base)")} AS base_spans, {l
 SELECT doc_id, {", ".join(f"CAST(coalesce(n_{k}, 0) AS BIGINT) AS n_{k}" for k in secrets.BASE)}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN found USING (r)
 """
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED = f"""
+WITH items AS (SELECT DISTINCT item_id, unnest({_words("text", TERM, True)}) AS term FROM benchmark),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_words("text", TERM, True)} AS w FROM documents),
+sizes AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight FROM df, sizes),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * len(w) * docs) // words AS m FROM d, sizes WHERE len(w) > 0),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
