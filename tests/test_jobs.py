@@ -78,7 +78,7 @@ def test_store_snapshots(spark, tmp_path, rows):
     store.upsert("granule", news, set_columns=["size"])
     assert rows(store.read("granule"), "filename", "size", "message") == [("a", 9, "m"), ("b", 2, None), ("c", 3, None)]
     assert store.versions("granule") == [1, 2]
-    (tmp_path / "state" / "granule" / "v00000003").mkdir()  # a commit that never finished
+    (tmp_path / "state" / "granule" / "cdead" / "_part=D.none").mkdir(parents=True)  # a commit that never finished
     assert store.versions("granule") == [1, 2] and store.read("granule").count() == 3
     store.expire("granule", keep=1)
     assert store.versions("granule") == [2]
@@ -265,7 +265,7 @@ def test_commits_do_not_replace_each_other(spark, tmp_path, rows):
     store.upsert("granule", spark.createDataFrame([granule("b", size=1)], GRANULE))
     with pytest.raises(CommitConflict):
         store.commit("granule", store.read("granule"), base)
-    (tmp_path / "state/granule/_claim-00000003").touch()  # another committer at work
+    (tmp_path / "state/_log/claim-00000003").touch()  # another committer at work
     with pytest.raises(CommitConflict):
         store.upsert("granule", spark.createDataFrame([granule("c", size=1)], GRANULE))
     store.release("granule")
