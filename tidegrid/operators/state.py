@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import text
 from tidegrid.operators.planning import TX_KEY, _true
-from tidegrid.sizing import bounded_broadcast
+from tidegrid.sizing import bounded_broadcast, spread_join
 
 IN_PROGRESS_MESSAGE = "Transformation in progress (or interrupted before completion)"
 
@@ -150,6 +150,22 @@ def purge_version(tx: DataFrame, versions: DataFrame) -> DataFrame:
     )
 
 
+def outdated(rows: DataFrame, ranges: DataFrame, versions: DataFrame | None = None, date: str = "date") -> DataFrame:
+    """Rows to delete: outside their dataset's range (both ends are inside), or of another version than configured.
+
+    ``ranges`` has (ds, start, end), ``versions`` (ds, t_version); datasets without an entry and rows
+    without a date stay. A row without a version is of another one.
+    """
+    r = ranges.select("ds", F.col("start").alias("__start"), F.col("end").alias("__end"))
+    rows = spread_join(rows, r, ["ds"], salt_from=[date], how="left")
+    bad = F.coalesce((F.col(date) < F.col("__start")) | (F.col(date) > F.col("__end")), F.lit(False))
+    if versions is not None:
+        v = versions.select("ds", F.lit(True).alias("__has"), F.col("t_version").alias("__v"))
+        rows = spread_join(rows, v, ["ds"], salt_from=[date], how="left")
+        bad = bad | (_true("__has") & ~F.col("version").eqNullSafe(F.col("__v")))
+    return rows.filter(bad).drop("__start", "__end", "__has", "__v")
+
+
 def purge_missing_files(granules: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:
     """Keep granules whose file exists."""
     return granules.join(files.select(path), path, "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,9 @@ from tidegrid.functions.text import hemi_tag, transformed_name
 from tidegrid.functions.timebounds import record_window
 from tidegrid.functions.units import apply_post
 from tidegrid.operators import planning, state
-from tidegrid.operators.mapping import ensure_mapping, filesystem
+from tidegrid.operators.mapping import ensure_mapping, filesystem, fingerprint
 from tidegrid.operators.regrid import on_full_grid, record_stats, regrid
+from tidegrid.plans.maintenance import mapping_mark
 from tidegrid.schemas import DatasetConfig, FieldConfig
 from tidegrid.sinks.products import write_regridded
 from tidegrid.sinks.store import StateStore
@@ -146,12 +147,14 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     obs = obs.drop("ds", "date", "hemi").join(checked_broadcast(todo), "filename")
     present = obs.select("filename").distinct()
     spacing = float(config.data_res or 1.0) * METRES_PER_DEGREE
-    out = None
+    out, marks = None, {}
     for grid in [r.grid for r in ready.select("grid").distinct().orderBy("grid").collect()]:
         target = grids.filter(F.col("grid") == grid)
         for hemi in [r.hemi for r in todo.select("hemi").distinct().orderBy("hemi").collect()]:
             own = sources.filter(F.col("hemi") == hemi) if hemi and "hemi" in sources.columns else sources
-            mapping = ensure_mapping(spark, mapping_path, (config.ds, grid, hemi, config.t_version), target, own, spacing)
+            key = (config.ds, grid, hemi, config.t_version)
+            mapping = ensure_mapping(spark, mapping_path, key, target, own, spacing)
+            marks[mapping_mark(*key)] = fingerprint(target, own, spacing)
             values = regrid_dataset(obs.filter(F.col("hemi") == hemi), mapping, config, grid)
             out = values if out is None else out.unionByName(values)
     if out is None:
@@ -175,17 +178,20 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     results = materialize(results.withColumns({
         "output_name": transformed_name("grid", "field", "filename"), "output_path": folder,
         "checksum": F.lit(None).cast("string")}), f"{staging}/results")
-    finish(store, results, now, F.lit(config.t_version))
+    finish(store, results, now, F.lit(config.t_version), marks)
     return results
 
 
-def finish(store: StateStore, results: DataFrame, now: Column, version: Column) -> None:
-    """Record returned results in one snapshot and refresh the status of the datasets they belong to."""
+def finish(store: StateStore, results: DataFrame, now: Column, version: Column, marks: Mapping[str, str] | None = None) -> None:
+    """Record returned results, the status of their datasets and the mappings used, all in one commit."""
     updates, _ = state.result_updates(results, now, version)
-    base = store.latest("transformation")
-    store.commit("transformation", state.record_results(store.read("transformation"), updates), base)
-    tx = store.read("transformation")
+    change = store.transaction()
+    change.rewrite("transformation", updates, ["id"], lambda tx: state.record_results(tx, updates))
+    tx = change.read("transformation")
     touched = tx.join(updates.select("id").distinct(), "id", "left_semi").select("ds").distinct()
     status = state.transformation_status(tx.join(touched, "ds", "left_semi")).select(
         "ds", F.col("status").alias("transformation_status"), now.alias("last_transformation"))
-    store.upsert("dataset", status)
+    change.upsert("dataset", status)
+    for name, mark in (marks or {}).items():
+        change.mark(name, mark)
+    change.commit()

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions import text
 from tidegrid.operators import harvest, planning
-from tidegrid.sinks.store import StateStore
+from tidegrid.sinks.store import StateStore, label
 
 # Longest month: a month is only closed once data of the month after the next could be complete.
 MONTH_DAYS = 31
@@ -35,7 +35,8 @@ def follow_listing(listing: DataFrame, store: StateStore, checkpoint: str) -> St
 
     def batch(rows: DataFrame, _: int) -> None:
         latest = harvest.latest_per_key(rows, ["ds", "filename"], ["mod_time", "url"])
-        known = store.read("granule").withColumn("download_time", F.coalesce("download_time", "mod_time"))
+        datasets = [r.ds for r in latest.select("ds").distinct().collect()]  # a row per dataset of the batch
+        known = store.read("granule", datasets=datasets).withColumn("download_time", F.coalesce("download_time", "mod_time"))
         fresh = planning.needs_harvest(latest, known.withColumn(
             "success", F.coalesce(F.col("success"), F.lit(True))))
         queued = fresh.select(
@@ -57,13 +58,18 @@ def follow_transformations(tx: DataFrame, store: StateStore, checkpoint: str) ->
 
     def batch(rows: DataFrame, _: int) -> None:
         latest = harvest.latest_per_key(rows, planning.TX_KEY, ["completed", "id"])
-        store.upsert("transformation", latest)
-        agg = store.read("aggregation")
+        change = store.transaction()
+        change.upsert("transformation", latest)
+        # a row per dataset and year of the batch: only these partitions are planned over
+        years = [r[0] for r in latest.select(label("transformation")).distinct().collect()]
         touched = planning.years_with_tx(latest)
-        stale = planning.agg_plan(store.read("transformation"), agg).join(touched, planning.AGG_KEY, "left_semi")
+        tx_rows = change.read("transformation", years).withColumn("year", F.year("date").cast("int"))
+        tx_rows = tx_rows.join(touched, planning.AGG_KEY, "left_semi").drop("year")
+        stale = planning.agg_plan(tx_rows, change.read("aggregation", years))
         reopened = stale.filter(F.col("reason") == "newer transformation").select(
             *planning.AGG_KEY, F.lit(False).alias("success"), F.lit("reopened").alias("message"))
-        store.upsert("aggregation", reopened, set_columns=["success", "message"])
+        change.upsert("aggregation", reopened, set_columns=["success", "message"])
+        change.commit()
 
     return (
         tx.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

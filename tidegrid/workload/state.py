@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from tidegrid.functions import timebounds
 from tidegrid.operators import state as ops
 from tidegrid.operators import reports
-from tidegrid.schemas import DOCUMENT_FIELDS
+from tidegrid.plans import maintenance
+from tidegrid.schemas import AGGREGATION, DOCUMENT_FIELDS, GRANULE, GRID, TRANSFORMATION
 from tidegrid.session import shared_dir
 from tidegrid.sinks import provenance
 from tidegrid.sinks.store import StateStore
@@ -373,3 +374,52 @@ def provenance_files(v: Views):
 def file_facts(v: Views):
     """Size, time and checksum of the table files (file metadata is not visible to SQL)."""
     return src_files.checksums(v.spark, v.dir, "*.parquet").select("filename", "size", "checksum")
+
+
+_RANGE = ("1996-01-01", "2000-06-30")
+
+
+@query("maintenance_job", sql("b_granule b_tx b_agg b_cfg", f"""
+    WITH known AS (SELECT DISTINCT grid FROM b_tx),
+    g AS (SELECT * FROM b_granule WHERE success AND path <> '' AND (ds = 'DS3' OR date BETWEEN TIMESTAMP '{_RANGE[0]}' AND TIMESTAMP '{_RANGE[1]}')),
+    t0 AS (SELECT b_tx.*, (ds <> 'DS3' AND NOT date BETWEEN TIMESTAMP '{_RANGE[0]}' AND TIMESTAMP '{_RANGE[1]}') OR (ds <> 'DS2' AND version <> t_version) OR grid = 'N' AS gone
+        FROM b_tx LEFT JOIN b_cfg USING (ds)),
+    lost AS (SELECT DISTINCT ds, grid, field, CAST(year(date) AS INTEGER) AS year, TRUE AS reopened FROM t0 WHERE gone AND success),
+    a AS (SELECT b_agg.*, coalesce(reopened, FALSE) AS again FROM b_agg LEFT JOIN lost USING (ds, grid, field, year) WHERE grid <> 'N')
+    SELECT 'granule' AS part, ds AS name, '' AS detail, count(*) AS n FROM g GROUP BY ALL
+    UNION ALL SELECT 'transformation', ds || '/' || grid || '/' || field, '', count(*) FROM t0 WHERE NOT gone GROUP BY ALL
+    UNION ALL SELECT 'aggregation', ds || '/' || grid || '/' || field || '/' || year,
+        CASE WHEN again THEN 'reopened' ELSE message END || '/' || CASE WHEN success AND NOT again THEN 'true' ELSE 'false' END, 1 FROM a
+    UNION ALL SELECT 'grid', grid, CASE WHEN grid = 'N' THEN 'new' ELSE 'old' END || '/' || CASE WHEN grid = 'A' THEN '2000-01-01' ELSE '2002-01-01' END, 1 FROM known
+    UNION ALL SELECT 'mark', 'mapping/A/DS1/all/1.0', 'f', 1"""))
+def maintenance_job(v: Views):
+    """Purges, grid registration, its cascade and mapping marks, committed together.
+
+    Grid A is registered and unchanged, N has another file now, R is new.
+    """
+    store = StateStore(v.spark, shared_dir(v.spark, "state"))
+    grids = v.tx.select("grid").distinct()
+    found = grids.select("grid", F.lit("llc").alias("grid_type"), F.concat(F.lit("/g/"), "grid").alias("path"), F.when(F.col("grid") == "N", "new").otherwise("old").alias("checksum"))
+    load = store.transaction()
+    load.replace("granule", src.with_defaults(v.granule, GRANULE))
+    load.replace("transformation", src.with_defaults(v.tx, TRANSFORMATION))
+    load.replace("aggregation", src.with_defaults(v.agg, AGGREGATION))
+    load.replace("grid", src.with_defaults(found.filter("grid <> 'R'").withColumns({"checksum": F.lit("old"), "id": F.col("grid"), "added": F.lit("2000-01-01").cast("timestamp")}), GRID))
+    load.mark(maintenance.mapping_mark("DS1", "A", "", 1.0), "f")
+    load.mark(maintenance.mapping_mark("DS1", "N", "", 1.0), "f")
+    load.commit()
+    ranges = v.config.filter("ds <> 'DS3'").select("ds", *[F.lit(x).cast("timestamp").alias(n) for n, x in zip(("start", "end"), _RANGE)])
+    maintenance.run(store, ranges, v.config.filter("ds <> 'DS2'"), _files(v), found, _now())
+    path = lambda *c: F.concat_ws("/", *c)
+    count = F.count(F.lit(1)).alias("n")
+    parts = [
+        store.read("granule").groupBy(F.lit("granule").alias("part"), F.col("ds").alias("name"), F.lit("").alias("detail")).agg(count),
+        store.read("transformation").groupBy(F.lit("transformation").alias("part"), path("ds", "grid", "field").alias("name"), F.lit("").alias("detail")).agg(count),
+        store.read("aggregation").select(F.lit("aggregation"), path("ds", "grid", "field", F.col("year").cast("string")), path("message", F.col("success").cast("string")), F.lit(1)),
+        store.read("grid").select(F.lit("grid"), "grid", path("checksum", F.date_format("added", "yyyy-MM-dd")), F.lit(1)),
+        v.spark.createDataFrame([("mark", k, m, 1) for k, m in store.marks().items()], "part string, name string, detail string, n int"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.select("part", "name", "detail", F.col("n").cast("bigint").alias("n"))
