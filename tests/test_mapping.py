@@ -170,3 +170,16 @@ def test_candidates_beside_a_dense_place(spark, where):
     t, s = frames(spark, targets, sources)
     assert mapping.candidate_pairs(t, s, F.col("radius_m"), 10).count() <= 40 * 10 * 25
     check(spark, targets, sources, 1.0, 10)
+
+
+def test_full_grid_block_by_block(spark):
+    """Large and sparse cell numbers, records without values, values on cells that the grid lacks."""
+    ids = [*range(0, 3000, 3), 10**12, 10**12 + 5000]
+    cells = spark.createDataFrame([(g, c) for g in "gh" for c in ids] + [("g", 1)], "grid string, cell_id bigint")
+    records = spark.createDataFrame([(f"r{i}", "gh"[i % 2]) for i in range(7)] + [("lost", "x")], "rec string, grid string")
+    values = [(f"r{i}", c, float(c + i)) for i in range(6) for c in (0, 3 * i, 2997, 10**12, 7)]
+    out = regrid.on_full_grid(spark.createDataFrame(sorted(set(values)), "rec string, cell_id bigint, value double"), cells, records, ["rec"])
+    have = {(r, c): v for r, c, v in values}
+    want = {(f"r{i}", "gh"[i % 2], c, have.get((f"r{i}", c))) for i in range(7) for c in ids + ([1] if i % 2 == 0 else [])}
+    got = [tuple(r) for r in out.select("rec", "grid", "cell_id", "value").collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -89,3 +89,40 @@ def test_empty_years_are_not_saved(spark, rows):
     s = spark.createDataFrame([("f", date(2020, 1, 1), 1, 2.0), ("f", date(2021, 1, 2), 1, None)], "field string, date date, cell_id bigint, value double")
     assert rows(ops.savable(s, ["field"]), "year") == [(2020,)]
     assert rows(ops.year_stats(s, ["field"]), "year", "has_data", "valid_max") == [(2020, True, 2.0), (2021, False, None)]
+
+
+def test_gaps_pass_the_shuffle_as_compact_rows(spark, tmp_path):
+    """What is written equals the densified series; the shuffle before the sink moves present rows and compact ones only."""
+    from tidegrid.sinks.products import write_product
+
+    days = [date(2020, 1, 1), date(2020, 3, 1)]
+    s = spark.createDataFrame([("D", "g", "f", d, c, float(c)) for d in days for c in range(0, 3000, 7)], "ds string, grid string, field string, date date, cell_id bigint, value double")
+    cells = spark.range(3000).select(F.lit("g").alias("grid"), F.col("id").alias("cell_id"))
+    keys = ["ds", "grid", "field"]
+    gaps = ops.missing_days(s.select(*keys, "date").distinct(), keys).drop("year")
+    packed = ops.with_gaps(s, gaps, cells, keys).withColumn("year", ops.gap_year())
+    assert packed.count() <= s.count() + 3 * (366 // ops.GAP_DATES + 1)
+    write_product(packed, str(tmp_path / "p"), finish=lambda rows: ops.fill_gaps(rows, keys))
+    got = spark.read.parquet(str(tmp_path / "p"))
+    assert got.count() == s.count() + 364 * 3000 and got.filter("value IS NOT NULL").count() == s.count()
+    assert got.select("date", "cell_id").distinct().count() == got.count()
+    want = ops.densify(s, gaps, cells, keys)
+    cols = ["date", "cell_id", "value", "time_start", "time", "time_end"]
+    check = lambda df: df.select(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))).first()
+    assert check(got) == check(want)
+
+
+def test_files_are_sorted_by_time_and_cell(spark, tmp_path):
+    """Rows of every file of a product stand in the order of time, then cell."""
+    from tidegrid.sinks.products import write_product
+
+    s = spark.createDataFrame([("D", "g", "f", date(2020, 1, 1 + d), c, 1.0) for d in (5, 2, 9) for c in (4, 1, 2500)], "ds string, grid string, field string, date date, cell_id bigint, value double")
+    cells = spark.createDataFrame([("g", c) for c in (1, 4, 2500)], "grid string, cell_id bigint")
+    keys = ["ds", "grid", "field"]
+    gaps = ops.missing_days(s.select(*keys, "date").distinct(), keys).drop("year")
+    write_product(ops.with_gaps(s, gaps, cells, keys).withColumn("year", ops.gap_year()), str(tmp_path / "p"), finish=lambda rows: ops.fill_gaps(rows, keys))
+    import pyarrow.parquet as pq
+
+    for file in (tmp_path / "p").rglob("*.parquet"):
+        rows_ = list(zip(*[pq.ParquetFile(file).read(columns=[c])[c].to_pylist() for c in ("time", "cell_id")]))
+        assert rows_ == sorted(rows_)

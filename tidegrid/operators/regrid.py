@@ -39,6 +39,10 @@ def reducer(operation: str) -> Reducer:
     return OPERATIONS[operation]
 
 
+# Cell numbers that make one block of a grid when records are filled up.
+BLOCK = 1024
+
+
 def regrid(
     obs: DataFrame,
     mapping: DataFrame,
@@ -70,13 +74,28 @@ def on_full_grid(regridded: DataFrame, cells: DataFrame, records: DataFrame, key
                  value: str = "value", cell_on: Sequence[str] = ("grid",)) -> DataFrame:
     """Every target cell of every record, missing where nothing was mapped.
 
-    ``records`` has one row per record; ``cell_on`` (usually the grid) ties records to their cells. The
-    cells are spread over the shuffle's tasks, so no task expands a whole grid.
+    ``records`` has one row per record; ``cell_on`` (usually the grid) ties records to their cells
+    (``cell_id``). Records and cells meet block by block: a record's values within a block of ``BLOCK``
+    cell numbers are one row, and so are the block's cells, so shuffles move values that are there and
+    the cells that are missing are added after the last one.
     """
     if not cell_on:
         raise ValueError("name the columns that tie records to the cells of their grid")
-    spine = spread_join(cells, records, list(cell_on), salt_from=["cell_id"], salts=shuffle_width(cells))
-    return spine.join(regridded, [*keys, "cell_id"], "left").select(*spine.columns, value)
+    block = F.floor(F.col("cell_id") / BLOCK).alias("__block")
+    blocks = cells.groupBy(*cell_on, block).agg(F.collect_set("cell_id").alias("__cells"))
+    spine = spread_join(records, blocks.select(*cell_on, "__block"), list(cell_on), salt_from=list(keys))
+    # few narrow rows, each of which becomes a block of cells: as many tasks as a shuffle has, whatever their size
+    spine = spine.repartition(shuffle_width(cells), *keys, "__block")
+    held = regridded.select(*keys, block, F.struct("cell_id", value).alias("__row")).groupBy(*keys, "__block").agg(F.collect_list("__row").alias("__rows"))
+    sheets = spine.join(held, [*keys, "__block"], "left")
+    kind = regridded.schema[value].dataType.simpleString()
+    # a hot grid has many sheets, so its blocks are spread by block
+    full = spread_join(sheets, blocks, [*cell_on, "__block"], salt_from=list(keys))
+    ids = F.transform("__rows", lambda r: r["cell_id"])
+    inside = F.when(F.size(F.array_except(ids, "__cells")) == 0, F.col("__rows")).otherwise(F.filter("__rows", lambda r: F.array_contains("__cells", r["cell_id"])))
+    known = F.coalesce(inside, F.expr(f"CAST(array() AS array<struct<cell_id: {regridded.schema['cell_id'].dataType.simpleString()}, {value}: {kind}>>)"))
+    empty = F.transform(F.array_except("__cells", F.transform(known, lambda r: r["cell_id"])), lambda c: F.struct(c.alias("cell_id"), F.lit(None).cast(kind).alias(value)))
+    return full.withColumn("__row", F.explode(F.concat(known, empty))).select(*records.columns, *[c for c in cell_on if c not in records.columns], "__row.cell_id", f"__row.{value}")
 
 
 def record_stats(values: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

@@ -12,6 +12,8 @@ from tidegrid.sizing import shuffle_width, spread_join
 
 # Fixed value: a monthly record stands for a month when it is this close to the first.
 MONTH_TOLERANCE_DAYS = 7
+# Cells and dates that one compact row of a gap stands for.
+GAP_CELLS, GAP_DATES = 1024, 16
 
 
 def hemi_priority(hemi: Column | str = "hemi") -> Column:
@@ -73,26 +75,51 @@ def date_difference(wanted: DataFrame, present: DataFrame) -> DataFrame:
     return wanted.subtract(present)
 
 
-def densify(series: DataFrame, gaps: DataFrame, cells: DataFrame, keys: Sequence[str],
-            cell_on: Sequence[str] = ("grid",), period: str = "AVG_DAY", value: str = "value") -> DataFrame:
-    """Append an all-missing record, with its window, for every gap date.
+def with_gaps(series: DataFrame, gaps: DataFrame, cells: DataFrame, keys: Sequence[str],
+              cell_on: Sequence[str] = ("grid",), value: str = "value") -> DataFrame:
+    """``series`` and, for its gap dates, compact rows that ``fill_gaps`` turns into empty records.
 
-    ``gaps`` has keys and ``date``; ``cells`` has ``cell_id`` and the ``cell_on`` columns. The gap
-    list is paired with the grid's cells by a spread join, so no task expands a whole grid.
+    A compact row stands for up to ``GAP_DATES`` dates of one year on up to ``GAP_CELLS`` cells, so what
+    a shuffle moves are the rows that are present, and half a byte for each one that is not. ``gaps``
+    has keys and ``date``; ``cells`` has ``cell_id`` and the ``cell_on`` columns that tie them to gaps.
     """
     if not cell_on:
         raise ValueError("name the columns that tie gaps to the cells of their grid")
-    fill = (
-        spread_join(cells, gaps, list(cell_on), salt_from=["cell_id"], salts=shuffle_width(cells))
-        .select(*keys, F.col("date"), "cell_id")
-        .withColumn(value, F.lit(None).cast("double"))
-    )
-    present = series.select(*keys, F.col("date").cast("date").alias("date"), "cell_id", value)
-    w = time_window(start="date", period=period)
-    return present.unionByName(fill).withColumn("w", w).select(
+    day = F.col("date").cast("date")
+    blocks = cells.groupBy(*cell_on, F.floor(F.col("cell_id") / GAP_CELLS).alias("__block")).agg(F.sort_array(F.collect_set("cell_id")).alias("gap_cells"))
+    extra = [c for c in cell_on if c not in keys]
+    chunks = gaps.groupBy(*keys, *extra, F.year(day).alias("__year"), F.floor(F.dayofyear(day) / GAP_DATES).alias("__chunk")).agg(
+        F.sort_array(F.collect_set(day)).alias("gap_dates"))
+    spine = spread_join(blocks, chunks, list(cell_on), salt_from=["__block"], salts=shuffle_width(cells))
+    # few narrow rows, each of which becomes many: as many tasks as a shuffle has, whatever their size
+    spine = spine.repartition(shuffle_width(cells), *keys, "__block", "__year", "__chunk")
+    present = series.select(*keys, day.alias("date"), "cell_id", value)
+    return present.unionByName(spine.select(*keys, "gap_dates", "gap_cells"), allowMissingColumns=True)
+
+
+def gap_year() -> Column:
+    """Year of a row of ``with_gaps``."""
+    return F.year(F.coalesce("date", F.col("gap_dates")[0]))
+
+
+def fill_gaps(packed: DataFrame, keys: Sequence[str], period: str = "AVG_DAY", value: str = "value") -> DataFrame:
+    """The rows of ``with_gaps``, compact ones expanded, each with its record's window; other columns stay."""
+    rest = [c for c in packed.columns if c not in (*keys, "date", "cell_id", value, "gap_dates", "gap_cells")]
+    rows = packed.withColumn("__date", F.explode_outer("gap_dates")).withColumn("__cell", F.explode_outer("gap_cells"))
+    rows = rows.withColumns({"date": F.coalesce("date", "__date"), "cell_id": F.coalesce("cell_id", "__cell")})
+    return rows.withColumn("w", time_window(start="date", period=period)).select(
         *keys, "date", "cell_id", value, F.col("w.start").alias("time_start"),
-        F.col("w.center").alias("time"), F.col("w.end").alias("time_end"),
-    )
+        F.col("w.center").alias("time"), F.col("w.end").alias("time_end"), *rest)
+
+
+def densify(series: DataFrame, gaps: DataFrame, cells: DataFrame, keys: Sequence[str],
+            cell_on: Sequence[str] = ("grid",), period: str = "AVG_DAY", value: str = "value") -> DataFrame:
+    """Append an all-missing record, with its window, for every gap date.
+
+    ``gaps`` has keys and ``date``; ``cells`` has ``cell_id`` and the ``cell_on`` columns. A writer that
+    shuffles its rows does so before ``fill_gaps``, see ``sinks.products.write_product``.
+    """
+    return fill_gaps(with_gaps(series, gaps, cells, keys, cell_on, value), keys, period, value)
 
 
 def drop_empty_days(series: DataFrame, keys: Sequence[str], date: str = "date", value: str = "value") -> DataFrame:

@@ -31,16 +31,24 @@ def one_record_per_hemisphere(tx: DataFrame) -> bool:
     return records.filter(F.col("n") > 1).isEmpty()
 
 
+def _period(config: DatasetConfig) -> str:
+    return "AVG_MON" if config.time_scale == "monthly" else "AVG_DAY"
+
+
+def daily_rows(series: DataFrame, cells: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
+               keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """The annual series with compact rows for missing dates; years without data are left out."""
+    rows = temporal.savable(series, keys, stats=stats).drop("year")
+    dates = rows.select(*keys, "date").distinct()
+    gaps = temporal.missing_months(dates, keys) if config.time_scale == "monthly" else temporal.missing_days(dates, keys)
+    packed = temporal.with_gaps(rows, gaps.drop("year"), cells, keys, cell_on=["grid"])
+    return packed.withColumn("year", temporal.gap_year())
+
+
 def daily_product(series: DataFrame, cells: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
                   keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """The annual series with empty records for missing dates; years without data are left out."""
-    rows = temporal.savable(series, keys, stats=stats).drop("year")
-    dates = rows.select(*keys, "date").distinct()
-    monthly = config.time_scale == "monthly"
-    gaps = temporal.missing_months(dates, keys) if monthly else temporal.missing_days(dates, keys)
-    period = "AVG_MON" if monthly else "AVG_DAY"
-    full = temporal.densify(rows, gaps.drop("year"), cells, keys, cell_on=["grid"], period=period)
-    return full.withColumn("year", F.year("date"))
+    return temporal.fill_gaps(daily_rows(series, cells, config, stats, keys), keys, _period(config))
 
 
 def monthly_product(series: DataFrame, config: DatasetConfig, stats: DataFrame | None = None,
@@ -60,7 +68,9 @@ def write_products(series: DataFrame, cells: DataFrame, config: DatasetConfig, d
     series = materialize(series, f"{staging}/series")
     stats = materialize(temporal.year_stats(series, SERIES_KEYS), f"{staging}/stats")
     monthly_only = config.time_scale == "monthly"
-    write_product(daily_product(series, cells, config, stats), monthly_path if monthly_only else daily_path)
+    write_product(
+        daily_rows(series, cells, config, stats), monthly_path if monthly_only else daily_path,
+        finish=lambda rows: temporal.fill_gaps(rows, SERIES_KEYS, _period(config)))
     if config.do_monthly and not monthly_only:
         days = None
         if config.drop_empty_days and not config.skipna:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +11,17 @@ REGRIDDED_PARTITIONS = ["ds", "grid", "field", "year"]
 PRODUCT_PARTITIONS = ["ds", "grid", "field", "year"]
 
 
-def _write(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], mode: str) -> None:
+def _write(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], mode: str,
+           finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Rebalance by output folder, then write sorted files.
 
     Rebalancing splits a folder that holds much of the data over several tasks and merges small
-    ones, so neither one huge file nor thousands of tiny ones come out.
+    ones, so neither one huge file nor thousands of tiny ones come out. ``finish`` works on the rows
+    where they are written, after the shuffle.
     """
+    rows = df.hint("rebalance", *partitions)
     (
-        df.hint("rebalance", *partitions)
+        (rows if finish is None else finish(rows))
         .sortWithinPartitions(*partitions, *order)
         .write.mode(mode).option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
@@ -32,6 +35,9 @@ def write_regridded(records: DataFrame, path: str) -> None:
     _write(rows, path, REGRIDDED_PARTITIONS, ["date", "cell_id"], "overwrite")
 
 
-def write_product(series: DataFrame, path: str, time: str = "time") -> None:
-    """An annual product sorted by time and cell. Years without a value must be left out before."""
-    _write(series, path, PRODUCT_PARTITIONS, [time, "cell_id"], "overwrite")
+def write_product(series: DataFrame, path: str, time: str = "time", finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """An annual product sorted by time and cell. Years without a value must be left out before.
+
+    With ``finish`` the series may be compact, such as one with gaps that are filled while writing.
+    """
+    _write(series, path, PRODUCT_PARTITIONS, [time, "cell_id"], "overwrite", finish)
