@@ -1,47 +1,45 @@
 """Source-to-target mapping: an exact radius join with an optional k-nearest limit and a nearest fallback.
 
-Space is cut into cubes whose edges are powers of two metres. A target is looked up only at the
-level whose edge just covers its own search radius, so a few wide targets do not widen everybody's
-search, and the join is an equi join on (level, cube).
-
-With a neighbour limit k, the cubes around a target are narrowed before any source is joined. A step
-knows the number of sources of each cube and its nearest and farthest distance from the target, takes
-as bound the distance within which k sources are certain, drops the cubes beyond it and splits
-the crowded rest. Sources are joined last, when every cube left holds few. So the candidates of a
-target stay a multiple of k however many sources crowd a place near it, and no result is lost.
-Without a limit all pairs in the radius are the result; crowded cubes are split by a hash of the source.
+Space is cut into blocks, cubes four times as wide as the power of two that covers a target's search
+radius, so a few wide targets do not widen everybody's search. A target lies in one block; a source is
+given to every block that it is within reach of, its own and those whose halo it lies in. So all that a
+target can map to is in its block, and the search is an equi join on (level, block).
+
+Targets and sources of a block are packed into rows of a few thousand positions; a crowded block makes
+several packs of each, dealt by a hash of the id, and every pair of packs is a row of its own. A task
+searches one such row at a time over arrays sorted along an axis. With a neighbour limit a pair of packs
+yields at most k sources a target, and the best of them are ranked; no result is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegrid.functions.geo import chord, valid_position, with_xyz
+from tidegrid.functions.geo import valid_position, with_xyz
 from tidegrid.session import shared_dir
-from tidegrid.sizing import materialize
+from tidegrid.sizing import bounded_broadcast, materialize
 
-# Cube edges from a millimetre to 16 777 km: the coarsest exceeds the sphere's diameter.
-MIN_LEVEL = -10
+# Levels are powers of two metres, from a metre to 16 777 km, which exceeds the sphere's diameter.
+MIN_LEVEL = 0
 MAX_LEVEL = 24
-# Levels a crowded cube is split by at once: into 64 cubes, of which only those with sources remain.
-SPLIT_LEVELS = 2
-# Sources of a cube that one key of the join holds without a limit.
-SOURCES_PER_KEY = 4096
+# A block's edge is this many levels above the radius it serves.
+BLOCK_LEVELS = 2
+# Positions that a pack holds, about; pairs of positions that are compared at once.
+PACK = 4096
+PAIRS_AT_ONCE = 1 << 20
 _AXES = ("x", "y", "z")
-_CUBE = ["level", "bx", "by", "bz"]
+_BLOCK = ["level", "bx", "by", "bz"]
 _SLACK_M = 0.001  # distances are rounded to the millimetre
 
 
-def _axis(coord: Column, level: Column) -> Column:
-    return F.floor(coord / F.pow(F.lit(2.0), level)).cast("bigint")
-
-
 def _level_for(radius: Column) -> Column:
-    """Smallest level whose edge covers the radius."""
+    """Smallest level whose power of two covers the radius."""
     raw = F.ceil(F.log2(F.greatest(radius, F.lit(1.0))))
     return F.greatest(F.lit(MIN_LEVEL), F.least(F.lit(MAX_LEVEL), raw)).cast("int")
 
@@ -51,97 +49,86 @@ def _positions(cells: DataFrame, id_col: str, *extra: str) -> DataFrame:
     return with_xyz(kept).select(id_col, "x", "y", "z", *extra)
 
 
-def _limit_copies(sources: DataFrame, k: int) -> DataFrame:
-    """Of sources at one identical position only the k first by id can ever be picked."""
-    w = Window.partitionBy("x", "y", "z").orderBy("src_id")
-    return sources.withColumn("copy", F.row_number().over(w)).filter(F.col("copy") <= k).drop("copy")
-
-
-def _levels(cubes: DataFrame) -> list[int]:
-    """Levels in use, at most ``MAX_LEVEL - MIN_LEVEL + 1``."""
-    return sorted(r.level for r in cubes.select("level").distinct().collect())
-
-
-def _placed(sources: DataFrame, levels: list[int]) -> DataFrame:
-    """Sources with their cube at each of the levels."""
-    level = F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))
-    return sources.withColumn("level", level).withColumns({f"b{c}": _axis(F.col(c), F.col("level")) for c in _AXES})
-
-
-def _counted(cubes: DataFrame, sources: DataFrame, levels: list[int]) -> DataFrame:
-    """Keep the cubes that hold sources, with their number ``n``; ``levels`` are those of the cubes."""
-    return cubes.join(_placed(sources, levels).groupBy(*_CUBE).agg(F.count(F.lit(1)).alias("n")), _CUBE)
+def _block(coord: Column) -> Column:
+    return F.floor(coord / F.pow(F.lit(2.0), F.col("level") + BLOCK_LEVELS)).cast("bigint")
 
 
-def _cubes_around(targets: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """The 27 cubes that cover each target's radius."""
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    t = targets.withColumn("level", _level_for(F.col("r")))
+def _within_reach(sources: DataFrame, levels: list[int]) -> DataFrame:
+    """Sources once for every block, of the levels in use, that they are in or within a radius of."""
+    placed = sources.withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    halo = F.pow(F.lit(2.0), F.col("level")) + _SLACK_M
     for c in _AXES:
-        t = t.withColumn(f"d{c}", F.explode(around))
-    return t.select(
-        "cell_id", *carry, "r", *(F.col(c).alias(f"t{c}") for c in _AXES), "level",
-        *((_axis(F.col(c), F.col("level")) + F.col(f"d{c}")).alias(f"b{c}") for c in _AXES))
-
-
-def _bounded(cubes: DataFrame, k: int | None) -> DataFrame:
-    """Drop cubes out of reach; with a limit, reach ends where the k nearest are certain to be found."""
-    edge = F.pow(F.lit(2.0), F.col("level"))
-    low = {c: F.col(f"b{c}") * edge - F.col(f"t{c}") for c in _AXES}
-    near = F.sqrt(sum((F.pow(F.greatest(low[c], -low[c] - edge, F.lit(0.0)), F.lit(2.0)) for c in _AXES), F.lit(0.0)))
-    far = F.sqrt(sum((F.pow(F.greatest(F.abs(low[c]), F.abs(low[c] + edge)), F.lit(2.0)) for c in _AXES), F.lit(0.0)))
-    cubes = cubes.withColumn("near", near)
-    if k is None:
-        return cubes.filter(F.col("near") <= F.col("r") + _SLACK_M).drop("near")
-    cell = Window.partitionBy("cell_id")
-    sure = F.sum("n").over(cell.orderBy("far", *_CUBE).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cubes = cubes.withColumn("far", far).withColumn("sure", sure)
-    bound = F.min(F.when(F.col("sure") >= k, F.col("far") + _SLACK_M)).over(cell)
-    cubes = cubes.withColumn("r", F.least("r", F.coalesce(bound, "r")))
-    return cubes.filter(F.col("near") <= F.col("r") + _SLACK_M).drop("near", "far", "sure")
-
-
-def _narrowed(cubes: DataFrame, sources: DataFrame, k: int) -> DataFrame:
-    """Split crowded cubes and tighten the bound until every cube left holds few sources."""
-    few = max(k, 8)
-    store = lambda df: materialize(df, shared_dir(df.sparkSession, "cubes"))
-    cubes = store(_bounded(_counted(cubes, sources, _levels(cubes)), k))
-    crowded = (F.col("n") > few) & (F.col("level") > MIN_LEVEL)
-    while levels := _levels(cubes.filter(crowded)):
-        down = F.least(F.lit(SPLIT_LEVELS), F.col("level") - MIN_LEVEL)
-        parts = cubes.filter(crowded).drop("n").withColumn("down", down).withColumn("times", F.expr("shiftleft(1, down)"))
-        for c in _AXES:
-            step = F.explode(F.sequence(F.lit(0), F.col("times") - 1))
-            parts = parts.withColumn("step", step).withColumn(f"b{c}", F.col(f"b{c}") * F.col("times") + F.col("step"))
-        parts = parts.withColumn("level", (F.col("level") - F.col("down")).cast("int")).select(*[c for c in cubes.columns if c != "n"])
-        # cubes out of reach go before they are counted
-        parts = _counted(_bounded(parts, None), sources, sorted({max(x - SPLIT_LEVELS, MIN_LEVEL) for x in levels}))
-        cubes = store(_bounded(cubes.filter(~crowded).unionByName(parts), k))
-    return cubes
+        placed = placed.withColumn(f"b{c}", F.explode(F.sequence(_block(F.col(c) - halo), _block(F.col(c) + halo))))
+    return placed
+
+
+def _packs(rows: DataFrame, sizes: DataFrame, id_col: str, own: str, other: str, name: str, fields: Sequence[str]) -> DataFrame:
+    """Positions of each (block, part) in one row, once for every part of the other side."""
+    mine = F.pmod(F.xxhash64(id_col), F.col(own)).cast("int").alias(f"{own}_no")
+    packed = rows.join(bounded_broadcast(sizes), _BLOCK).select(*_BLOCK, mine, other, F.struct(*fields).alias("p"))
+    packed = packed.groupBy(*_BLOCK, f"{own}_no", other).agg(F.collect_list("p").alias(name))
+    return packed.withColumn(f"{other}_no", F.explode(F.sequence(F.lit(0), (F.col(other) - 1).cast("int")))).drop(other)
+
+
+def _search(k: int | None, carry: Sequence[str]):
+    """Pairs of the positions of two packs, for ``mapInArrow``."""
+
+    def pairs(t: pa.StructArray, s: pa.StructArray) -> Iterator[pa.RecordBatch]:
+        at = {n: t.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "z", "r")}
+        to = {n: s.field(n).to_numpy(zero_copy_only=False) for n in _AXES}
+        axis = max(_AXES, key=lambda c: np.ptp(to[c]))
+        order = np.argsort(to[axis], kind="stable")
+        to, ids = {n: v[order] for n, v in to.items()}, s.field("src_id").to_numpy(zero_copy_only=False)[order]
+        lo = np.searchsorted(to[axis], at[axis] - at["r"] - _SLACK_M, "left")
+        sizes = np.searchsorted(to[axis], at[axis] + at["r"] + _SLACK_M, "right") - lo
+        ends, first = np.cumsum(sizes), 0
+        while first < len(sizes):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, "right")))
+            target = np.repeat(np.arange(first, last), sizes[first:last])
+            source = np.arange(len(target)) - np.repeat(ends[first:last] - sizes[first:last] - before, sizes[first:last]) + lo[target]
+            dx, dy, dz = (at[c][target] - to[c][source] for c in _AXES)
+            dist = np.rint(np.sqrt(dx * dx + dy * dy + dz * dz) * 1000) / 1000  # as functions.geo.chord
+            keep = np.flatnonzero(dist <= at["r"][target])
+            if k is not None and len(keep):
+                keep = keep[np.lexsort((ids[source[keep]], dist[keep], target[keep]))]
+                mine = target[keep]
+                begins = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+                nth = np.arange(len(mine)) - np.repeat(begins, np.diff(np.append(begins, len(mine))))
+                keep = keep[nth < k]
+            taken = t.take(pa.array(target[keep]))
+            yield pa.RecordBatch.from_arrays(
+                [taken.field("cell_id"), pa.array(ids[source[keep]]), pa.array(dist[keep]), *(taken.field(c) for c in carry)], ["cell_id", "src_id", "dist_m", *carry])
+            first = last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from pairs(batch.column(0)[i].values, batch.column(1)[i].values)
+
+    return run
 
 
 def candidate_pairs(
     targets: DataFrame, sources: DataFrame, radius: Column, k: int | None, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Pairs (cell_id, src_id, dist_m, r) of targets and sources of nearby cubes, before distances are tested."""
+    """Pairs (cell_id, src_id, dist_m) within ``radius``; with a limit at most k of each pair of packs, the best among them."""
+    spark = targets.sparkSession
     t = _positions(targets.withColumn("r", radius.cast("double")), "cell_id", "r", *carry).filter(F.col("r") >= 0)
-    s = _positions(sources, "src_id")
-    around = _cubes_around(t, carry)
-    if k is not None:
-        s = _limit_copies(s, k)
-        cubes = _narrowed(around, s, k).withColumn("part", F.lit(0))
-    else:
-        cubes = _bounded(_counted(around, s, _levels(around)), None)
-        cubes = cubes.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / SOURCES_PER_KEY).cast("int"))))
-    placed = _placed(s, _levels(cubes))
-    sizes = cubes.select(*_CUBE, "n").distinct()
-    if k is None:
-        parts = F.floor(F.col("n") / SOURCES_PER_KEY) + 1
-        placed = placed.join(sizes, _CUBE).withColumn("part", F.pmod(F.xxhash64("src_id"), parts).cast("int"))
-    else:
-        placed = placed.withColumn("part", F.lit(0))
-    pairs = cubes.drop("n").join(placed, [*_CUBE, "part"])
-    return pairs.select("cell_id", "src_id", chord(("tx", "ty", "tz"), ("x", "y", "z")).alias("dist_m"), "r", *carry)
+    t = t.withColumn("level", _level_for(F.col("r"))).withColumns({f"b{c}": _block(F.col(c)) for c in _AXES})
+    kinds = {f.name: f.dataType.simpleString() for f in t.schema}
+    source_kind = sources.schema["src_id"].dataType.simpleString()
+    out = ", ".join([f"cell_id {kinds['cell_id']}", f"src_id {source_kind}", "dist_m double", *(f"{c} {kinds[c]}" for c in carry)])
+
+    blocks = materialize(t.groupBy(*_BLOCK).agg(F.count(F.lit(1)).alias("n_t")), shared_dir(spark, "blocks"))
+    levels = sorted(r.level for r in blocks.select("level").distinct().collect())  # a few dozen at most
+    near = _within_reach(_positions(sources, "src_id"), levels).join(bounded_broadcast(blocks.select(*_BLOCK)), _BLOCK, "left_semi")
+    parts = lambda n: F.ceil(F.col(n) / PACK)
+    sizes = near.groupBy(*_BLOCK).agg(F.count(F.lit(1)).alias("n_s")).join(blocks, _BLOCK)
+    sizes = materialize(sizes.select(*_BLOCK, parts("n_s").alias("sp"), parts("n_t").alias("tp")), shared_dir(spark, "block-sizes"))
+    held = _packs(near, sizes, "src_id", "sp", "tp", "s", ["src_id", *_AXES])
+    asked = _packs(t, sizes, "cell_id", "tp", "sp", "t", ["cell_id", "r", *_AXES, *carry])
+    return asked.join(held, [*_BLOCK, "sp_no", "tp_no"]).select("t", "s").mapInArrow(_search(k, carry), out)
 
 
 def nearest_within(
@@ -155,7 +142,7 @@ def nearest_within(
     """
     if k is not None and k < 1:
         raise ValueError("the neighbour limit must be at least 1")
-    pairs = candidate_pairs(targets, sources, radius, k, carry).filter(F.col("dist_m") <= F.col("r")).drop("r")
+    pairs = candidate_pairs(targets, sources, radius, k, carry)
     w = Window.partitionBy("cell_id").orderBy("dist_m", "src_id")
     ranked = pairs.withColumn("rank", F.row_number().over(w))
     return ranked if k is None else ranked.filter(F.col("rank") <= k)
