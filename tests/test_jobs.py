@@ -9,7 +9,7 @@ from tidegrid.operators import mapping, state
 from tidegrid.plans import aggregate, harvest, transform
 from tidegrid.schemas import DatasetConfig, GRANULE
 from tidegrid.sinks.packing import pack_records
-from tidegrid.sinks.provenance import members, provenance_lines, write_provenance
+from tidegrid.sinks.provenance import members, provenance_lines, write_provenance, read_lineage, write_lineage
 from tidegrid.sinks.store import CommitConflict, StateStore
 from tidegrid.sizing import bounded_broadcast, plan_bytes, spread_join
 from tidegrid.sources import listings
@@ -166,7 +166,24 @@ def test_harvest_to_products(spark, tmp_path, rows):
     todo = aggregate.plan(store, targets, a_versions)
     assert rows(todo, "grid", "field", "year") == [("g", "h", 2020), ("g", "sst", 2020)]
     daily, monthly = str(tmp_path / "daily"), str(tmp_path / "monthly")
-    aggregate.run(store, out, cells, todo, CONFIG, daily, monthly, str(tmp_path / "staging"), F.lit("2022-01-01").cast("timestamp"))
+    more = {f"{n}_path": str(tmp_path / n) for n in ("facts", "packed", "lineage")}
+    before = store.latest()
+    aggregate.run(store, out, cells, todo, CONFIG, daily, monthly, str(tmp_path / "staging"), F.lit("2022-01-01").cast("timestamp"), **more)
+    assert store.latest() == before + 1  # state and status in one commit
+    facts = {r.scale: r for r in spark.read.parquet(more["facts_path"]).collect()}
+    assert set(facts) == {"daily", "monthly"} and facts["daily"].field == "sst" and facts["daily"].valid_max == pytest.approx(27.0)
+    assert (facts["daily"].coverage_start, facts["daily"].coverage_end, facts["daily"].resolution) == (D(2020, 1, 1), D(2021, 1, 1), "P1D")
+    assert facts["monthly"].resolution == "P1M" and facts["daily"].attrs["interpolated_grid"] == "g" and "original_filename" not in facts["daily"].attrs
+    blocks = spark.read.parquet(more["packed_path"] + "/blocks")
+    first = np.frombuffer(blocks.filter("date = DATE'2020-01-01'").first().data, ">f4")
+    assert blocks.count() == 366 and first.tolist() == [pytest.approx(5.0), pytest.approx(27.0)]
+    assert np.frombuffer(blocks.filter("date = DATE'2020-06-01'").first().data, ">f4").tolist() == [-9999.0] * 2
+    lineage = read_lineage(spark, more["lineage_path"])
+    assert rows(lineage.groupBy("field", "kind").count(), "field", "kind", "count") == [("h", "product", 1), ("h", "transformation", 4), ("sst", "product", 1), ("sst", "transformation", 4)]
+    found = store.read("aggregation")
+    write_lineage(provenance_lines(members(store.read("transformation"), store.read("granule")), found, store.read("dataset")), found, more["lineage_path"])
+    assert read_lineage(spark, more["lineage_path"]).count() == 10  # known versions are not written again
+    assert [r.daily_path.startswith(daily) for r in found.orderBy("field").collect()] == [False, True]
     d = spark.read.parquet(daily)
     assert d.count() == 366 * 2 and rows(d.filter("value is not null"), "date", "cell_id", "value") == [
         (date(2020, 1, 1), 0, pytest.approx(5.0)), (date(2020, 1, 1), 1, pytest.approx(27.0)),

@@ -128,12 +128,12 @@ DATASET_ATTRIBUTES = (
 )
 
 
-def dataset_attributes(raw: Mapping[str, object], grid: str, grid_type: str, t_version: float) -> Column:
-    """Dataset-level attributes of a record as a map; absent settings are left out."""
+def dataset_attributes(raw: Mapping[str, object], grid: Column | str, grid_type: Column | str, t_version: float) -> Column:
+    """Dataset-level attributes of a record as a map; absent settings are left out. Grid and type are texts or columns."""
     pairs = {k: raw[k] for k in DATASET_ATTRIBUTES if raw.get(k) is not None}
     pairs.update({"interpolated_grid": grid, "interpolated_grid_id": grid, "model_grid_type": grid_type,
                   "transformation_version": t_version})
-    return F.create_map(*[F.lit(str(x)) for kv in pairs.items() for x in kv])
+    return F.create_map(*[x if isinstance(x, Column) else F.lit(str(x)) for kv in pairs.items() for x in kv])
 
 
 def product_attributes(attrs: Column | str) -> Column:

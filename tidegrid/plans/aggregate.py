@@ -7,11 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.functions.text import product_name, stable_id
+from tidegrid.functions.timebounds import month_window, time_window
 from tidegrid.operators import planning, state, temporal
+from tidegrid.operators.regrid import dataset_attributes, on_full_grid, product_attributes, record_attributes
 from tidegrid.schemas import DatasetConfig
-from tidegrid.sinks.products import write_product
+from tidegrid.sinks.packing import numbered_cells, pack_records, write_blocks
+from tidegrid.sinks.products import write_facts, write_product
+from tidegrid.sinks.provenance import members, provenance_lines, write_lineage
 from tidegrid.sinks.store import StateStore
-from tidegrid.sizing import materialize, spread_join
+from tidegrid.sizing import bounded_broadcast, materialize, spread_join
 
 SERIES_KEYS = ("ds", "grid", "field")
 
@@ -79,6 +84,18 @@ def write_products(series: DataFrame, cells: DataFrame, config: DatasetConfig, d
     return stats
 
 
+def rebuild(store: StateStore, config: DatasetConfig, files: DataFrame, products: DataFrame) -> int:
+    """Give years whose state row is missing one, where the product is as new as all its inputs; returns the commit.
+
+    ``files`` has (output_path, mtime) of regridded records, ``products`` (ds, grid, field, year, product_mtime).
+    """
+    change = store.transaction()
+    tx, agg = (change.read(t).filter(F.col("ds") == config.ds) for t in ("transformation", "aggregation"))
+    checked = planning.agg_output_check(planning.agg_plan(tx, agg), tx, files, products)
+    change.upsert("aggregation", planning.rebuilt_agg_rows(checked, F.lit(config.a_version)))
+    return change.commit()
+
+
 def plan(store: StateStore, targets: DataFrame, versions: DataFrame) -> DataFrame:
     """(ds, grid, field, year) to aggregate.
 
@@ -91,23 +108,92 @@ def plan(store: StateStore, targets: DataFrame, versions: DataFrame) -> DataFram
     return fresh.unionByName(every).distinct()
 
 
+def product_facts(series: DataFrame, stats: DataFrame, config: DatasetConfig, grid_types: DataFrame) -> DataFrame:
+    """One row per annual product (ds, grid, field, year, scale): valid range, time coverage, attributes.
+
+    The windows come from the dates of the records, gaps included, not from their cells.
+    """
+    keys = list(planning.AGG_KEY)
+    monthly_only = config.time_scale == "monthly"
+    years = stats.filter("has_data").select(*keys, "valid_min", "valid_max")
+    dates = temporal.savable(series, SERIES_KEYS, stats=stats).select(*SERIES_KEYS, F.col("date").cast("date").alias("date"), "year").distinct()
+    gaps = (temporal.missing_months if monthly_only else temporal.missing_days)(dates.drop("year"), SERIES_KEYS)
+    window = time_window(start="date", period=_period(config))
+    own = dates.unionByName(gaps.withColumn("date", F.col("date").cast("date"))).withColumn("w", window).select(*keys, F.col("w.start").alias("time_start"), F.col("w.end").alias("time_end"))
+    covered = temporal.time_coverage(own, keys, "P1M" if monthly_only else "P1D").withColumn("scale", F.lit("monthly" if monthly_only else "daily"))
+    if config.do_monthly and not monthly_only:
+        months = years.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")).withColumn("w", month_window("year", "month"))
+        months = months.select(*keys, F.col("w.start").alias("time_start"), F.col("w.end").alias("time_end"))
+        covered = covered.unionByName(temporal.time_coverage(months, keys, "P1M").withColumn("scale", F.lit("monthly")))
+    fields = series.sparkSession.createDataFrame([(f.name, f.long_name, f.standard_name, f.units) for f in config.fields], "field string, long_name string, standard_name string, units string")
+    facts = covered.join(years, keys).join(F.broadcast(fields), "field", "left").join(bounded_broadcast(grid_types), "grid", "left")
+    described = record_attributes(facts, "grid", product_name("ds", "grid", "scale", "field", "year"))
+    general = dataset_attributes(config.extra, F.col("grid"), F.col("grid_type"), config.t_version)
+    both = F.map_concat(F.map_filter("attrs", lambda k, _: k != "interpolated_grid"), general)
+    return described.withColumn("attrs", product_attributes(both)).select(
+        *keys, "scale", "valid_min", "valid_max", "coverage_start", "coverage_end", "resolution", "attrs")
+
+
+def write_packed(series: DataFrame, cells: DataFrame, config: DatasetConfig, stats: DataFrame, path: str) -> None:
+    """Records of the annual products as blocks of big-endian floats, in order of time and offset.
+
+    A grid's cells are numbered from 0 in order of their ids; every block of every record comes out.
+    """
+    spark = series.sparkSession
+    rows = temporal.fill_gaps(daily_rows(series, cells, config, stats), SERIES_KEYS, _period(config)).withColumn("year", F.year("date"))
+    records = rows.select(*SERIES_KEYS, "year", "date").distinct()
+    full = on_full_grid(rows.select(*SERIES_KEYS, "date", "cell_id", "value"), cells, records, [*SERIES_KEYS, "date"])
+    for grid in [r.grid for r in stats.select("grid").distinct().collect()]:  # a row per grid
+        own = cells.filter(F.col("grid") == grid).select("cell_id").distinct()
+        # ids are dealt in ranges, so numbering them needs no single task
+        numbered = numbered_cells(own, f"{path}/_order-{grid}")
+        placed = full.filter(F.col("grid") == grid).join(bounded_broadcast(numbered), "cell_id")
+        blocks = pack_records(placed, [*SERIES_KEYS, "year", "date"], F.col("position"), numbered.count())
+        write_blocks(blocks, f"{path}/blocks")
+
+
 def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame, config: DatasetConfig,
-        daily_path: str, monthly_path: str, staging: str, now: Column) -> None:
-    """Aggregate the dataset's planned years, write the products, record the outcome; other datasets stay as they are."""
+        daily_path: str, monthly_path: str, staging: str, now: Column, facts_path: str | None = None,
+        packed_path: str | None = None, lineage_path: str | None = None) -> None:
+    """Aggregate the dataset's planned years, write the products, record the outcome; other datasets stay as they are.
+
+    A planned year without any record in ``records`` fails; one whose records hold no value succeeds
+    with a note and without a product. With their paths given, the job also writes a row of facts per
+    product, packed records, and the lineage of what it aggregated. State rows and the dataset's status are
+    one commit, made last: a run that dies before leaves products that the next one replaces.
+    """
+    keys = list(planning.AGG_KEY)
     todo = materialize(todo.filter(F.col("ds") == config.ds), f"{staging}/todo")
-    wanted = spread_join(records.withColumn("year", F.year("date")), todo, list(planning.AGG_KEY),
-                         salt_from=["cell_id"], how="left_semi").drop("year")
-    tx = store.read("transformation").filter(F.col("ds") == config.ds)
-    series = merged_series(wanted, unique=one_record_per_hemisphere(tx))
+    wanted = spread_join(records.withColumn("year", F.year("date")), todo, keys, salt_from=["cell_id"], how="left_semi").drop("year")
+    tx = store.read("transformation", datasets=[config.ds]).filter(F.col("ds") == config.ds)
+    series = materialize(merged_series(wanted, unique=one_record_per_hemisphere(tx)), f"{staging}/merged")
     stats = write_products(series, cells, config, daily_path, monthly_path, staging)
-    rows = todo.join(stats, list(planning.AGG_KEY), "left").select(
-        *planning.AGG_KEY, F.lit(True).alias("success"), now.alias("agg_time"),
-        F.lit(config.a_version).alias("version"), F.lit("").alias("message"),
-        F.when(F.col("has_data"), F.lit("")).otherwise(
-            F.lit("Empty year (no data present in grid), not saving to disk.")).alias("notes"),
-    )
-    store.upsert("aggregation", planning.with_ids(rows, store.read("aggregation"), planning.AGG_KEY).drop("reused"))
-    status = state.aggregation_status(store.read("aggregation").filter(F.col("ds") == config.ds)).select(
+    if facts_path is not None:
+        types = store.read("grid").select("grid", "grid_type")
+        write_facts(product_facts(series, stats, config, types), facts_path)
+    if packed_path is not None:
+        write_packed(series, cells, config, stats, packed_path)
+
+    found, empty = F.col("has_data").isNotNull(), ~F.col("has_data")
+    monthly_only = config.time_scale == "monthly"
+    folder = lambda root: F.when(F.col("has_data"), F.concat_ws("/", F.lit(root.rstrip("/")), *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])).otherwise("")
+    name = lambda scale: stable_id(*keys, F.lit(config.a_version), F.lit(scale), now)
+    rows = todo.join(stats, keys, "left").select(
+        *keys, found.alias("success"), now.alias("started"), now.alias("agg_time"), F.lit(config.a_version).alias("version"),
+        F.when(found, "").otherwise("Aggregation failed: no records of this year").alias("message"),
+        F.when(found & empty, "Empty year (no data present in grid), not saving to disk.").otherwise("").alias("notes"),
+        *([] if monthly_only else [folder(daily_path).alias("daily_path"), name("daily").alias("daily_uuid")]),
+        *([folder(monthly_path).alias("monthly_path"), name("monthly").alias("monthly_uuid")] if monthly_only or config.do_monthly else []))
+    change = store.transaction()
+    change.upsert("aggregation", planning.with_ids(rows, change.read("aggregation"), planning.AGG_KEY).drop("reused"))
+    agg = change.read("aggregation").filter(F.col("ds") == config.ds)
+    status = state.aggregation_status(agg).select(
         "ds", F.col("status").alias("aggregation_status"), F.lit(config.a_version).alias("aggregation_version"),
         now.alias("last_aggregation"))
-    store.upsert("dataset", status)
+    change.upsert("dataset", status)
+    if lineage_path is not None:
+        done = spread_join(agg, todo, keys, salt_from=["id"], how="left_semi").filter("success")
+        inputs = members(tx, store.read("granule", datasets=[config.ds]))
+        inputs = spread_join(inputs, done.select(*keys), keys, salt_from=["filename"], how="left_semi")
+        write_lineage(provenance_lines(inputs, done, change.read("dataset")), done, lineage_path)
+    change.commit()

@@ -168,7 +168,8 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     full = on_full_grid(values.select(*heads, "cell_id", "value"), grids.select("grid", "cell_id"), records, heads)
     write_records(full, records_path, staging)
 
-    stats = record_stats(spark.read.parquet(records_path), heads)
+    # what was regridded is staged; the written records are not read again
+    stats = records.select(*heads).join(record_stats(values, heads), heads, "left")
     absent = [n for n in names if n not in obs.columns]
     done = ready.join(present, "filename", "left_semi").join(stats, heads).select(
         *heads, F.lit(True).alias("success"),

@@ -10,11 +10,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.functions.units import BINARY_FILL
+from tidegrid.sizing import materialize, shuffle_width
 
 BLOCK_CELLS = 65_536
 BYTES_PER_CELL = 4
@@ -48,6 +49,27 @@ def pack_records(values: DataFrame, keys: Sequence[str], position: Column, n_cel
     return rows.groupBy(*keys, "block").applyInPandas(pack, schema)
 
 
+def numbered_cells(cells: DataFrame, path: str) -> DataFrame:
+    """(cell_id, position): distinct cell ids numbered from 0 in their order.
+
+    Ids are written in ranges; the sizes of the ranges, one number each, give every range its start.
+    """
+    ranged = cells.select("cell_id").repartitionByRange(shuffle_width(cells), "cell_id").sortWithinPartitions("cell_id")
+    local = materialize(ranged.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)), path)
+    sizes = local.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start"))  # a row per range
+    return local.join(F.broadcast(starts), "part").select("cell_id", (F.col("start") + F.col("at")).alias("position"))
+
+
+def write_blocks(blocks: DataFrame, path: str) -> None:
+    """Write blocks of annual products, in order of date and offset; only products in ``blocks`` are replaced."""
+    parts = ["ds", "grid", "field", "year"]
+    (
+        blocks.hint("rebalance", *parts).sortWithinPartitions(*parts, "date", "offset")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    )
+
+
 def unpack_blocks(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, position, value) of every cell of packed blocks; fill values stay as they are."""
     keys = list(keys)

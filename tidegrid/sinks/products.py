@@ -41,3 +41,11 @@ def write_product(series: DataFrame, path: str, time: str = "time", finish: Call
     With ``finish`` the series may be compact, such as one with gaps that are filled while writing.
     """
     _write(series, path, PRODUCT_PARTITIONS, [time, "cell_id"], "overwrite", finish)
+
+
+def write_facts(facts: DataFrame, path: str) -> None:
+    """One row per product and scale; only the products in ``facts`` are replaced."""
+    (
+        facts.hint("rebalance", *PRODUCT_PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PRODUCT_PARTITIONS, "scale").parquet(path)
+    )

@@ -6,12 +6,13 @@ and never gathered into one value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.functions.text import provenance_name
+from tidegrid.functions.text import provenance_name, stable_id
 from tidegrid.operators.planning import AGG_KEY, _true
-from tidegrid.sizing import bounded_broadcast
+from tidegrid.session import shared_dir
+from tidegrid.sizing import bounded_broadcast, materialize, spread_join
 
 
 def members(tx: DataFrame, granules: DataFrame) -> DataFrame:
@@ -54,3 +55,29 @@ def write_provenance(lines: DataFrame, path: str, stored: DataFrame | None = Non
         .select(*AGG_KEY, F.col("json").alias("value"))
         .write.mode("append").partitionBy(*AGG_KEY).text(path)
     )
+
+
+LINEAGE = "product string, grid string, field string, line_no int, kind string, json string, ds string, year int"
+
+
+def read_lineage(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of every version of every product; empty before the first one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], LINEAGE)
+    return spark.read.schema(LINEAGE).parquet(path)
+
+
+def write_lineage(lines: DataFrame, agg: DataFrame, path: str) -> None:
+    """Append the lines of product versions that have none yet, in folders of one dataset and year.
+
+    A version is known by a hash of its key, aggregation version and time, so a second run over the
+    same state writes nothing, and files grow with new versions, not with the number of products.
+    """
+    version = stable_id(*AGG_KEY, "version", "agg_time").alias("product")
+    versions = agg.select(*AGG_KEY, version)
+    years = read_lineage(agg.sparkSession, path).join(bounded_broadcast(agg.select("ds", "year").distinct()), ["ds", "year"], "left_semi")
+    new = versions.join(years.select("product").distinct(), "product", "left_anti")
+    rows = materialize(spread_join(lines, new, list(AGG_KEY), salt_from=["json"]).select(*[c.split()[0] for c in LINEAGE.split(", ")]), shared_dir(agg.sparkSession, "lineage"))
+    if not rows.isEmpty():
+        rows.hint("rebalance", "ds", "year").sortWithinPartitions("ds", "year", "product", "line_no").write.mode("append").partitionBy("ds", "year").parquet(path)
