@@ -8,8 +8,8 @@ from tidegrid.functions import layout
 from tidegrid.operators import mapping, state
 from tidegrid.plans import aggregate, harvest, transform
 from tidegrid.schemas import DatasetConfig, GRANULE
-from tidegrid.sinks.packing import pack_records
-from tidegrid.sinks.provenance import members, provenance_lines, write_provenance, read_lineage, write_lineage
+from tidegrid.sinks.packing import numbered_cells, pack_records, pack_whole
+from tidegrid.sinks.provenance import members, provenance_lines, read_lineage, write_lineage, write_provenance
 from tidegrid.sinks.store import CommitConflict, StateStore
 from tidegrid.sizing import bounded_broadcast, plan_bytes, spread_join
 from tidegrid.sources import listings
@@ -56,6 +56,24 @@ def test_packing_fills_and_orders(spark):
         assert np.array_equal(whole[t], want)
 
 
+def test_packing_whole_records(spark):
+    """Records with many, few and no values; the last block is shorter; positions and fill values are right."""
+    values = spark.createDataFrame([("a", p, None if p % 5 == 0 else float(p)) for p in range(150)] + [("b", 149, 7.0)], "rec string, position long, value double")
+    records = spark.createDataFrame([("a", 150), ("b", 150), ("gap", 130), ("none", 0)], "rec string, n_cells long")
+    got = pack_whole(values, records, ["rec"], block_cells=64).collect()
+    assert sorted((r.rec, r.block, r.offset, len(r.data)) for r in got) == [
+        (n, b, 256 * b, size * 4) for n, last in (("a", 22), ("b", 22), ("gap", 2)) for b, size in ((0, 64), (1, 64), (2, last))]
+    whole = {n: np.concatenate([np.frombuffer(r.data, ">f4") for r in sorted(got, key=lambda r: r.block) if r.rec == n]).tolist() for n in ("a", "b", "gap")}
+    assert whole["a"] == [-9999.0 if p % 5 == 0 else float(p) for p in range(150)]
+    assert whole["b"] == [-9999.0] * 149 + [7.0] and whole["gap"] == [-9999.0] * 130
+
+
+def test_cells_are_numbered_in_order(spark, tmp_path):
+    ids = [*range(0, 5000, 7), 10**13, -4]
+    got = {r.cell_id: r.position for r in numbered_cells(spark.createDataFrame([(i,) for i in ids], "cell_id long").repartition(5), str(tmp_path / "n")).collect()}
+    assert got == {c: n for n, c in enumerate(sorted(ids))}
+
+
 def test_packing_llc_order(spark):
     cells = [(t, j, i, float(n)) for n, (t, j, i) in enumerate((t, j, i) for t in range(13) for j in range(3) for i in range(3))]
     df = spark.createDataFrame([(0, *c) for c in cells], "rec int, tile int, j int, i int, value double")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidegrid.functions.text import product_name, stable_id
 from tidegrid.functions.timebounds import month_window, time_window
 from tidegrid.operators import planning, state, temporal
-from tidegrid.operators.regrid import dataset_attributes, on_full_grid, product_attributes, record_attributes
+from tidegrid.operators.regrid import dataset_attributes, product_attributes, record_attributes
 from tidegrid.schemas import DatasetConfig
-from tidegrid.sinks.packing import numbered_cells, pack_records, write_blocks
+from tidegrid.sinks.packing import numbered_cells, pack_whole, write_blocks
 from tidegrid.sinks.products import write_facts, write_product
 from tidegrid.sinks.provenance import members, provenance_lines, write_lineage
 from tidegrid.sinks.store import StateStore
@@ -139,17 +139,21 @@ def write_packed(series: DataFrame, cells: DataFrame, config: DatasetConfig, sta
 
     A grid's cells are numbered from 0 in order of their ids; every block of every record comes out.
     """
-    spark = series.sparkSession
-    rows = temporal.fill_gaps(daily_rows(series, cells, config, stats), SERIES_KEYS, _period(config)).withColumn("year", F.year("date"))
-    records = rows.select(*SERIES_KEYS, "year", "date").distinct()
-    full = on_full_grid(rows.select(*SERIES_KEYS, "date", "cell_id", "value"), cells, records, [*SERIES_KEYS, "date"])
+    spark, keys = series.sparkSession, [*planning.AGG_KEY, "date"]
+    rows = temporal.savable(series, SERIES_KEYS, stats=stats).withColumn("date", F.col("date").cast("date"))
+    numbered, sizes = None, []
     for grid in [r.grid for r in stats.select("grid").distinct().collect()]:  # a row per grid
-        own = cells.filter(F.col("grid") == grid).select("cell_id").distinct()
-        # ids are dealt in ranges, so numbering them needs no single task
-        numbered = numbered_cells(own, f"{path}/_order-{grid}")
-        placed = full.filter(F.col("grid") == grid).join(bounded_broadcast(numbered), "cell_id")
-        blocks = pack_records(placed, [*SERIES_KEYS, "year", "date"], F.col("position"), numbered.count())
-        write_blocks(blocks, f"{path}/blocks")
+        own = numbered_cells(cells.filter(F.col("grid") == grid).select("cell_id").distinct(), f"{path}/_order-{grid}").withColumn("grid", F.lit(grid))
+        sizes.append((grid, own.count()))
+        numbered = own if numbered is None else numbered.unionByName(own)
+    if numbered is None:
+        return
+    dates = rows.select(*keys).distinct()
+    gaps = (temporal.missing_months if config.time_scale == "monthly" else temporal.missing_days)(dates.drop("year"), SERIES_KEYS)
+    records = dates.unionByName(gaps.select(*SERIES_KEYS, "year", F.col("date").cast("date").alias("date")))
+    records = records.join(F.broadcast(spark.createDataFrame(sizes, "grid string, n_cells long")), "grid")
+    values = spread_join(rows, numbered, ["grid", "cell_id"], salt_from=["date"]).select(*keys, "position", "value")
+    write_blocks(pack_whole(values, records, keys), f"{path}/blocks")
 
 
 def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame, config: DatasetConfig,

@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,39 @@ def pack_records(values: DataFrame, keys: Sequence[str], position: Column, n_cel
     return rows.groupBy(*keys, "block").applyInPandas(pack, schema)
 
 
+def pack_whole(values: DataFrame, records: DataFrame, keys: Sequence[str], value: str = "value",
+               block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """(keys, block, offset, data) of every block of every record, whether it has values or not.
+
+    ``records`` has one row per record with ``n_cells``, its number of cells; ``values`` has keys,
+    ``position`` and the value of the cells that have one. A record without any, such as a gap, is made
+    of fill values where its blocks are written, so no row per missing cell exists.
+    """
+    keys = list(keys)
+    block = F.floor(F.col("position") / block_cells).alias("block")
+    cell = F.struct(F.pmod("position", F.lit(block_cells)).cast("int").alias("at"), F.col(value).cast("float").alias("v"))
+    held = values.filter(F.col(value).isNotNull()).select(*keys, block, cell.alias("cell")).groupBy(*keys, "block").agg(F.collect_list("cell").alias("cells"))
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("n_cells") - 1) / block_cells)).cast("array<bigint>")).alias("block")
+    sheets = records.filter("n_cells > 0").select(*keys, "n_cells", blocks).join(held, [*keys, "block"], "left")
+    size = F.least(F.lit(block_cells), F.col("n_cells") - F.col("block") * block_cells).cast("int").alias("size")
+    kinds = ", ".join(f"{k} {records.schema[k].dataType.simpleString()}" for k in keys)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells, sizes, data = batch.column(len(keys) + 2), batch.column(len(keys) + 1).to_numpy(), []
+            ends, flat = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(cells), 0).to_numpy())]), cells.flatten()
+            at, v = flat.field("at").to_numpy(), flat.field("v").to_numpy()
+            for i, n in enumerate(sizes.tolist()):
+                out = np.full(n, BINARY_FILL, dtype=">f4")
+                out[at[ends[i] : ends[i + 1]]] = v[ends[i] : ends[i + 1]]
+                data.append(out.tobytes())
+            blocks = batch.column(len(keys)).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(keys)], batch.column(len(keys)), pa.array(blocks * block_cells * BYTES_PER_CELL), pa.array(data, pa.binary())], [*keys, "block", "offset", "data"])
+
+    return sheets.select(*keys, "block", size, "cells").mapInArrow(pack, f"{kinds}, block long, offset long, data binary")
+
+
 def numbered_cells(cells: DataFrame, path: str) -> DataFrame:
     """(cell_id, position): distinct cell ids numbered from 0 in their order.
 
