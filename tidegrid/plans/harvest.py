@@ -42,6 +42,8 @@ def plan_slices(steps: DataFrame, config: DatasetConfig, known: DataFrame, compa
 
 def record(store: StateStore, attempts: DataFrame, files: DataFrame, now: Column) -> None:
     """Write harvest attempts to the granule table and refresh the rows of their datasets."""
-    store.upsert("granule", state.granule_results(attempts, store.read("granule"), files, now))
+    change = store.transaction()
+    change.upsert("granule", state.granule_results(attempts, change.read("granule"), files, now))
     tried = attempts.select("ds").distinct()
-    store.upsert("dataset", state.dataset_rows(store.read("granule").join(tried, "ds", "left_semi"), now))
+    change.upsert("dataset", state.dataset_rows(change.read("granule").join(tried, "ds", "left_semi"), now))
+    change.commit()
