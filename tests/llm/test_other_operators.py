@@ -209,13 +209,31 @@ def test_pipeline_against_brute_force(spark, corpus):
         start += len(ids)
 
 
+def test_pipeline_labels_by_the_model(spark, corpus):
+    """Documents without a label get the model's; labels that are there, and the documents, stay."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    bare = docs.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    odd = spark.createDataFrame([(10_000, None, None, None, 0), (10_001, "12", None, "s", 2), (10_002, "", "en", None, 0)], docs.schema)
+    got = corpus_pipeline.language(spark, bare.unionByName(odd), "").collect()
+    assert sorted(r.doc_id for r in got) == sorted(truth)
+    assert all(r.lang == truth[r.doc_id] for r in got if r.doc_id % 3)
+    filled = [r.lang == truth[r.doc_id] for r in got if r.doc_id % 3 == 0]
+    assert len(filled) > 10 and sum(filled) >= 0.9 * len(filled)
+    nothing = docs.filter("false")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name != "decontaminated":
+            assert stage(spark, nothing, "").count() == 0, name
+
+
 def test_queries_of_the_contract(spark):
     """The thin queries carry the digests that the operators' outputs give."""
     import __spark_entry__ as entry
 
     sf, queries = "/root/testdata/sf0.001", entry.queries()
     names = [n for n in queries if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries
     chats = {r.conv_id: r for r in queries["op8_chat_format"](spark, sf).collect()}
     said = "</s>[INST] ok [/INST]"
     assert (chats[-7].n_turns, chats[-7].loss_chars) == (2, len(said))

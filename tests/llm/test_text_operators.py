@@ -280,6 +280,21 @@ def test_apportion_is_highest_quotients(spark):
         assert {i: got[g, i] for i in range(12)} == {i: won[i] for i in range(12)}
 
 
+def test_language_sample(corpus):
+    """Languages take turns, a text counts once, the rarest language is learned, and partitions do not matter."""
+    rows = [(i, f"the common words {i % 2000}" if i % 3 else "one text a third of the rows hold", "en", None) for i in range(6000)]
+    rows += [(10_000 + i, f"seltene Worte {i}", "de", None) for i in range(6)] + [(20_000, None, "fr", None), (None, "sans", "fr", None), (20_001, "x" * 20_000, "fr", None)]
+    rows += [(3, "the common words 3", "en", None)] * 3
+    usable = {(r[1], r[2]) for r in rows if r[0] is not None and r[1] and len(r[1]) <= langid.TRAIN_BYTES and zlib.crc32(str(r[0]).encode()) % 4 != langid.HELD_OUT}
+    rare = {u for u in usable if u[1] == "de"}
+    docs = corpus(rows)
+    got = [(r.text, r.lang) for r in langid.sample(docs).collect()]
+    assert rare and len(got) == len(set(got)) == langid.TRAIN_DOCS and set(got) <= usable
+    assert {g for g in got if g[1] == "de"} == rare
+    assert set(got) == {(r.text, r.lang) for r in langid.sample(docs.repartition(64)).collect()}
+    assert langid.sample(corpus([])).count() == 0
+
+
 def test_language(corpus, spark):
     tables = "/root/testdata/sf0.01/documents.parquet"
     docs = spark.read.parquet(tables)

@@ -17,14 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.chunks import HashTable
+from tidegrid.llm.scratch import checked, hash_share, stored
 from tidegrid.llm.textops import hash_spans, kept, mix, word_pieces
 
-# The classifier is fitted on at most this many labelled texts (those with the lowest hash), each of at
-# most this many bytes.
+# The classifier is fitted on at most this many labelled texts (those with the lowest hash of each
+# language in turn), each of at most this many bytes.
 TRAIN_DOCS, TRAIN_BYTES = 1000, 16384
 HELD_OUT = 2  # of crc32(doc_id as text) modulo 4
 FEATURE_BITS = 16
@@ -229,10 +230,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
-def train(docs: DataFrame) -> bytes:
-    """Fit a model on a bounded sample of ``docs`` (doc_id, text, lang) outside the held-out part; one task."""
+def sample(docs: DataFrame) -> DataFrame:
+    """(text, lang, h) of the labelled texts of ``docs`` that a model is fitted on, at most ``TRAIN_DOCS``.
+
+    Languages take turns, each with its texts of the lowest hashes, so a rare one is learned from all it
+    has (with more than ``TRAIN_DOCS`` languages some are not learned). A text counts once per language,
+    however many copies it has. Only hashes below a bound from each language's number of texts are ranked,
+    and texts are fetched for what was chosen, so no task gets more as partitions grow in number.
+    """
     usable = docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.octet_length("text").between(1, TRAIN_BYTES))
-    sample = usable.select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "lang").limit(TRAIN_DOCS)
+    usable = usable.select("doc_id", "text", "lang", F.xxhash64("text").alias("h"))
+    bounds = stored(usable.groupBy("lang").agg((F.lit(4.0 * TRAIN_DOCS) / F.approx_count_distinct("h")).alias("share")), "languages")
+    low = usable.join(checked(bounds), "lang").filter(hash_share(F.col("h")) < F.col("share"))
+    low = low.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = stored(low.withColumn("turn", turn).orderBy("turn", "h", "lang").limit(TRAIN_DOCS), "language-sample")
+    return usable.join(checked(chosen), ["lang", "h", "doc_id"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang", "h")
+
+
+def train(docs: DataFrame) -> bytes:
+    """Fit a model on ``sample`` of ``docs`` (doc_id, text, lang) outside the held-out part; one task."""
+    chosen = sample(docs).repartition(1).sortWithinPartitions("h", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, langs = [], []
@@ -241,7 +259,7 @@ def train(docs: DataFrame) -> bytes:
             langs += batch.column(1).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, langs))], pa.binary())], ["model"])
 
-    rows = sample.select("text", "lang").coalesce(1).mapInArrow(run, "model binary").collect()
+    rows = chosen.select("text", "lang").mapInArrow(run, "model binary").collect()
     return bytes(rows[0].model) if rows else pickle.dumps(fit([], []))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.session import shared_dir
@@ -25,6 +25,11 @@ def checked(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
+def hash_share(h: Column) -> Column:
+    """The place of a 64-bit hash in its range, from 0 to 1: a share of the distinct hashes lies below each number."""
+    return h.cast("double") / 2.0**64 + 0.5
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of a test table; other columns are never read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
