@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.chunks import chunked, worker_encoder
+from tidegrid.llm.scratch import hash_share
 
 BLOCK_DOCS = 256
 BLOCK_BYTES = 8 << 20
-# The dictionary is trained on the ids of at most this many documents (lowest hash of id and text) of
-# at most this many bytes each. It affects the size of the files only.
+# The dictionary is trained on the ids of at most this many documents (lowest hash of id and text, of
+# about four times as many candidates) of at most this many bytes each. It affects the size of the files only.
 SAMPLE_DOCS, SAMPLE_BYTES = 1024, 8192
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 1
@@ -44,10 +45,17 @@ def encoded(column: pa.Array, path: str, end_id: int) -> Iterator[np.ndarray]:
             yield np.append(ids[lo:hi], np.uint32(end_id)).astype("<u4")
 
 
-def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
-    """A dictionary for the id arrays of a bounded sample of short documents; empty if they are too few."""
+def train_dictionary(docs: DataFrame, path: str, end_id: int, count: int) -> bytes:
+    """A dictionary for the id arrays of a bounded sample of short documents; empty if they are too few.
+
+    ``count`` is the number of rows: hashes below a bound that follows from it are the candidates, so the
+    task that picks the sample gets the same number of texts whatever the number of partitions. Equal
+    rows are one.
+    """
+    share = 4.0 * SAMPLE_DOCS / max(count, 1)
     chosen = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).select(
-        "text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_DOCS).select("text")
+        "text", F.xxhash64("doc_id", "text").alias("h")).filter(hash_share(F.col("h")) < share)
+    chosen = chosen.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(SAMPLE_DOCS).select("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples = [ids.tobytes() for b in batches for ids in encoded(b.column(0), path, end_id)]
@@ -81,7 +89,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0)
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dictionary = train_dictionary(docs, path, end_id)
+    count = docs.select(F.count(F.lit(1))).first()[0]
+    dictionary = train_dictionary(docs, path, end_id, count)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(dictionary, digest)], "data binary, sha256 string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/dictionary")
     shared = spark.sparkContext.broadcast(dictionary)
@@ -111,7 +120,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0)
         if block:
             yield flush()
 
-    shards = max(1, spark.sparkContext.defaultParallelism, -(-docs.select(F.count(F.lit(1))).first()[0] // DOCS_PER_SHARD))
+    shards = max(1, spark.sparkContext.defaultParallelism, -(-count // DOCS_PER_SHARD))
     ordered = docs.withColumn("h", F.xxhash64("text")).repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "h").sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "h").drop("h")
     ordered.mapInArrow(write, BLOCKS).write.mode("overwrite").parquet(f"{folder}/blocks")
