@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.masks import UnknownFunction
-from tidegrid.sizing import BROADCAST_LIMIT_BYTES, shuffle_width, spread_join
+from tidegrid.operators.median import HELD, bounded_median
+from tidegrid.session import shared_dir
+from tidegrid.sizing import BROADCAST_LIMIT_BYTES, materialize, shuffle_width, spread_join
 
 Reducer = Callable[[str, list[str]], Column]
 
@@ -31,6 +33,8 @@ OPERATIONS: dict[str, Reducer] = {
     "nearest": _nearest,
 }
 DEFAULT_OPERATION = "mean"
+# Whether a missing member voids the median.
+MEDIANS = {"median": True, "nanmedian": False}
 
 
 def reducer(operation: str) -> Reducer:
@@ -52,13 +56,16 @@ def regrid(
     value: str = "value",
     ties: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    bounded: bool = False,
 ) -> DataFrame:
     """Value per (record keys, target cell).
 
     The mapping is broadcast when its size is checked to fit, and each task then folds its own
     records before anything is shuffled. A larger mapping is joined on ``src_id``, salted by record
     so that a source cell with very many records does not land in one task. ``ties`` orders several
-    observations of one source cell in one record for the ``nearest`` operation.
+    observations of one source cell in one record for the ``nearest`` operation. ``bounded`` is for
+    medians over more values of a cell than a task may hold (see ``crowded``): the joined values are
+    stored and large groups searched.
     """
     reduce = reducer(operation)
     used = mapping if allow_nearest else mapping.filter(F.col("kind") == "radius")
@@ -67,9 +74,17 @@ def regrid(
         obs.select(*keys, "src_id", value, *ties), used, ["src_id"], salt_from=list(keys),
         limit=broadcast_limit,
     )
+    if bounded and operation in MEDIANS:
+        joined = materialize(joined.select(*keys, "cell_id", value), shared_dir(obs.sparkSession, "median-values"))
+        return bounded_median(joined, [*keys, "cell_id"], value, strict=MEDIANS[operation])
     return joined.groupBy(*keys, "cell_id").agg(reduce(value, list(ties)).alias(value))
 
 
+def crowded(mapping: DataFrame, held: int = HELD) -> bool:
+    """Whether some target cell has more source cells than a task may hold values of; reads the mapping's counts only."""
+    return not mapping.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > held).isEmpty()
+
+
 def on_full_grid(regridded: DataFrame, cells: DataFrame, records: DataFrame, keys: Sequence[str],
                  value: str = "value", cell_on: Sequence[str] = ("grid",)) -> DataFrame:
     """Every target cell of every record, missing where nothing was mapped.

@@ -15,7 +15,7 @@ from tidegrid.functions.timebounds import record_window
 from tidegrid.functions.units import apply_post
 from tidegrid.operators import planning, state
 from tidegrid.operators.mapping import ensure_mapping, filesystem, fingerprint
-from tidegrid.operators.regrid import on_full_grid, record_stats, regrid
+from tidegrid.operators.regrid import MEDIANS, crowded, on_full_grid, record_stats, regrid
 from tidegrid.plans.maintenance import mapping_mark
 from tidegrid.schemas import DatasetConfig, FieldConfig
 from tidegrid.sinks.products import write_regridded
@@ -56,13 +56,14 @@ def regrid_dataset(obs: DataFrame, mapping: DataFrame, config: DatasetConfig, gr
     wide = with_fields(obs, names).withColumn("w", window).withColumns(
         {"time_start": F.col("w.start"), "time": F.col("w.center"), "time_end": F.col("w.end")}).drop("w")
     keys = [*keys, "time_start", "time", "time_end"]
+    bounded = config.mapping_operation in MEDIANS and crowded(mapping)
     out = None
     for masks, post, members in _groups(config.fields):
         cols = [f.name for f in members]
         long = to_long(apply_masks(wide, masks), [*keys, "src_id"], cols)
         units = F.create_map(*[F.lit(x) for f in members for x in (f.name, f.units)])
         part = (
-            regrid(long, mapping, [*keys, "field"], config.mapping_operation)
+            regrid(long, mapping, [*keys, "field"], config.mapping_operation, bounded=bounded)
             .withColumns({"grid": F.lit(grid), "units": units[F.col("field")]})
         )
         part = apply_post(part, post)

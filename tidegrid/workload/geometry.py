@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import geo, layout
 from tidegrid.operators import mapping, regrid
+from tidegrid.operators.median import bounded_median
 from tidegrid.session import shared_dir
 from tidegrid.sinks.packing import pack_records, unpack_blocks
 from tidegrid.sources import cells as src_cells
@@ -267,6 +268,26 @@ for _op, _sql in (
     query(f"regrid_{_op}", _regrid_sql(_sql))(lambda v, o=_op: _regrid(v, o))
 
 
+def _price_medians(v: Views, strict: bool):
+    """Medians of few, very large groups: each is cut down to what a task may hold."""
+    price = F.when(F.col("l_returnflag") == "A", F.floor(F.col("l_extendedprice") / 10000) * 10000.0).otherwise(F.col("l_extendedprice"))
+    price = F.when((F.col("l_returnflag") != "N") | (F.col("l_linenumber") != 7), price)
+    rows = v.lineitem.select("l_returnflag", "l_linestatus", price.alias("value"))
+    out = bounded_median(rows, ["l_returnflag", "l_linestatus"], strict=strict, held=4096)
+    return out.select("l_returnflag", "l_linestatus", F.round("value", 6).alias("value"))
+
+
+def _price_sql(middle: str) -> str:
+    return sql("", f"""
+        SELECT l_returnflag, l_linestatus, round({middle}, 6) AS value
+        FROM (SELECT l_returnflag, l_linestatus, CASE WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN NULL
+              WHEN l_returnflag = 'A' THEN floor(l_extendedprice / 10000) * 10000 ELSE l_extendedprice END AS value FROM lineitem) GROUP BY ALL""")
+
+
+query("median_large_groups", _price_sql("median(value)"))(lambda v: _price_medians(v, False))
+query("median_large_groups_strict", _price_sql(_STRICT.format("median")))(lambda v: _price_medians(v, True))
+
+
 @query("regrid_nearest", sql("b_obs m_all", """
     SELECT field, cell_id, round(value, 8) AS value FROM b_obs JOIN m_all USING (src_id)
     QUALIFY row_number() OVER (PARTITION BY field, cell_id ORDER BY dist_m, src_id, event_id) = 1"""))
