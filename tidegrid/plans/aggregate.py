@@ -13,6 +13,7 @@ from tidegrid.operators import planning, state, temporal
 from tidegrid.operators.regrid import dataset_attributes, product_attributes, record_attributes
 from tidegrid.schemas import DatasetConfig
 from tidegrid.sinks.packing import numbered_cells, pack_whole, write_blocks
+from tidegrid.sinks.partials import monthly_from_partials, stored_partials, update_partials
 from tidegrid.sinks.products import write_facts, write_product
 from tidegrid.sinks.provenance import members, provenance_lines, write_lineage
 from tidegrid.sinks.store import StateStore
@@ -64,11 +65,12 @@ def monthly_product(series: DataFrame, config: DatasetConfig, stats: DataFrame |
 
 
 def write_products(series: DataFrame, cells: DataFrame, config: DatasetConfig, daily_path: str, monthly_path: str,
-                   staging: str) -> DataFrame:
+                   staging: str, partials_path: str | None = None) -> DataFrame:
     """Write a dataset's annual products and return the statistics of its years.
 
     The merged series is stored once and read by every step; the small per-year and per-month tables
-    are stored too, so the joins on them are planned with their real size.
+    are stored too, so the joins on them are planned with their real size. With ``partials_path`` monthly
+    means come from kept sums, of which only months whose series changed are computed again.
     """
     series = materialize(series, f"{staging}/series")
     stats = materialize(temporal.year_stats(series, SERIES_KEYS), f"{staging}/stats")
@@ -76,7 +78,13 @@ def write_products(series: DataFrame, cells: DataFrame, config: DatasetConfig, d
     write_product(
         daily_rows(series, cells, config, stats), monthly_path if monthly_only else daily_path,
         finish=lambda rows: temporal.fill_gaps(rows, SERIES_KEYS, _period(config)))
-    if config.do_monthly and not monthly_only:
+    if config.do_monthly and not monthly_only and partials_path is not None:
+        years = materialize(stats.filter("has_data").select(*planning.AGG_KEY), f"{staging}/years")
+        update_partials(series, partials_path, SERIES_KEYS, years)
+        kept = stored_partials(series.sparkSession, partials_path, [series.schema[k] for k in SERIES_KEYS], series.schema["cell_id"])
+        kept = spread_join(kept, years, planning.AGG_KEY, salt_from=["cell_id"], how="left_semi")
+        write_product(monthly_from_partials(kept, SERIES_KEYS, skipna=config.skipna, drop_empty=config.drop_empty_days), monthly_path)
+    elif config.do_monthly and not monthly_only:
         days = None
         if config.drop_empty_days and not config.skipna:
             days = materialize(temporal.days_with_data(series, SERIES_KEYS), f"{staging}/days")
@@ -158,12 +166,13 @@ def write_packed(series: DataFrame, cells: DataFrame, config: DatasetConfig, sta
 
 def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame, config: DatasetConfig,
         daily_path: str, monthly_path: str, staging: str, now: Column, facts_path: str | None = None,
-        packed_path: str | None = None, lineage_path: str | None = None) -> None:
+        packed_path: str | None = None, lineage_path: str | None = None, partials_path: str | None = None) -> None:
     """Aggregate the dataset's planned years, write the products, record the outcome; other datasets stay as they are.
 
     A planned year without any record in ``records`` fails; one whose records hold no value succeeds
     with a note and without a product. With their paths given, the job also writes a row of facts per
-    product, packed records, and the lineage of what it aggregated. State rows and the dataset's status are
+    product, packed records, and the lineage of what it aggregated, and keeps monthly sums, so that the
+    monthly means of a re-opened year are computed again for its changed months only. State rows and the dataset's status are
     one commit, made last: a run that dies before leaves products that the next one replaces.
     """
     keys = list(planning.AGG_KEY)
@@ -171,7 +180,7 @@ def run(store: StateStore, records: DataFrame, cells: DataFrame, todo: DataFrame
     wanted = spread_join(records.withColumn("year", F.year("date")), todo, keys, salt_from=["cell_id"], how="left_semi").drop("year")
     tx = store.read("transformation", datasets=[config.ds]).filter(F.col("ds") == config.ds)
     series = materialize(merged_series(wanted, unique=one_record_per_hemisphere(tx)), f"{staging}/merged")
-    stats = write_products(series, cells, config, daily_path, monthly_path, staging)
+    stats = write_products(series, cells, config, daily_path, monthly_path, staging, partials_path)
     if facts_path is not None:
         types = store.read("grid").select("grid", "grid_type")
         write_facts(product_facts(series, stats, config, types), facts_path)

@@ -9,9 +9,11 @@ from tidegrid.operators.planning import AGG_KEY
 from tidegrid.schemas import AGGREGATION, TRANSFORMATION, DatasetConfig, FieldConfig
 from tidegrid.session import shared_dir
 from tidegrid.plans import aggregate
+from tidegrid.sinks.partials import monthly_from_partials, stored_partials, update_partials
 from tidegrid.sinks.products import write_regridded
 from tidegrid.sinks.provenance import read_lineage
 from tidegrid.sinks.store import StateStore
+from tidegrid.sizing import materialize
 from tidegrid.workload.registry import Views, query, ts_text
 from tidegrid.workload.sqltext import TS, sql
 
@@ -147,6 +149,21 @@ def monthly_mean_strict_dropped(v: Views):
     return _monthly(v, False, True)
 
 
+@query("monthly_mean_kept", _monthly_sql("n = need"))
+def monthly_mean_kept(v: Views):
+    """Means from kept sums: stored for an older state of the series, then only the changed months again."""
+    series = materialize(_daily(v), shared_dir(v.spark, "series"))
+    late = (F.month("date") == 3) & (F.day("date") > 20)
+    path = shared_dir(v.spark, "partials")
+    for rows in (series.filter(~late), series):
+        update_partials(rows, path, ["field"])
+    kept = stored_partials(v.spark, path, [series.schema["field"]], series.schema["cell_id"])
+    out = monthly_from_partials(kept, ["field"])
+    return out.select(
+        "field", "cell_id", "year", "month", F.round("value", 8).alias("value"),
+        ts_text("time_start").alias("time_start"), ts_text("time_end").alias("time_end"))
+
+
 @query("monthly_mean_events", sql("b_series", """
     WITH c AS (SELECT DISTINCT field, year(date) AS y, cell_id FROM b_series),
     s AS (SELECT field, year(date) AS y, month(date) AS m, cell_id, round(avg(value), 8) AS value FROM b_series GROUP BY ALL)
