@@ -292,6 +292,37 @@ def test_transform_job(spark, tmp_path, rows):
     assert rows(store.read("dataset"), "transformation_status") == [("2 transformations failed",)]
 
 
+@pytest.mark.parametrize("all_fail", [False, True])
+def test_a_failing_grid_fails_alone(spark, tmp_path, rows, monkeypatch, all_fail):
+    """The mapping of one grid cannot be made: its combinations fail with the reason, the other grid is written."""
+    config = DatasetConfig.of({"ds_name": "D", "start": "20200101T00:00:00Z", "end": "20201231T00:00:00Z", "t_version": 1.0, "a_version": "1.0",
+                               "data_res": 0.5, "fields": [{"name": "h", "units": "m"}]})
+    store = StateStore(spark, str(tmp_path / "state"))
+    store.upsert("granule", spark.createDataFrame([granule("a_20200101.nc", id="a", path="/d", size=500, success=True, checksum="a", date=D(2020, 1, 1))], GRANULE))
+    targets = spark.createDataFrame([("D", "bad", "h"), ("D", "good", "h")], "ds string, grid string, field string")
+    grids = spark.createDataFrame([(g, i, 0.05 + i, 0.0, 20_000.0) for g in ("bad", "good") for i in range(2)], "grid string, cell_id bigint, lon double, lat double, radius_m double")
+    sources = spark.createDataFrame([(0, 0.0, 0.0)], "src_id bigint, lon double, lat double")
+    spark.createDataFrame([("a_20200101.nc", 0, 2.5)], "filename string, src_id bigint, h double").write.parquet(str(tmp_path / "cells"))
+    files = spark.createDataFrame([("/d", D(2020, 3, 1))], "path string, mtime timestamp")
+    none = spark.createDataFrame([], "ds string, filename string, grid string, field string, output_mtime timestamp, output_version double")
+    plain = transform.ensure_mapping
+
+    def mapped(spark, path, key, *more):
+        if all_fail or key[1] == "bad":
+            return spark.range(1).select(F.raise_error(F.lit("no such projection"))).collect()
+        return plain(spark, path, key, *more)
+
+    monkeypatch.setattr(transform, "ensure_mapping", mapped)
+    ready = transform.begin(store, transform.plan(store, config, targets, files, none), now(), str(tmp_path / "plan"))
+    results = transform.run(store, config, ready, str(tmp_path / "cells"), sources, grids, str(tmp_path / "maps"), str(tmp_path / "records"), str(tmp_path / "work"), now())
+    tx = {r.grid: r for r in store.read("transformation").collect()}
+    assert {g: r.success for g, r in tx.items()} == {"bad": False, "good": not all_fail} == {r.grid: r.success for r in results.collect()}
+    assert "no such projection" in tx["bad"].message and "mapping" in tx["bad"].message and not any(r.in_progress for r in tx.values())
+    if not all_fail:
+        assert rows(spark.read.parquet(str(tmp_path / "records")), "grid", "cell_id", "value") == [("good", 0, 2.5), ("good", 1, None)]
+    assert rows(store.read("dataset"), "transformation_status") == [("No successful transformations" if all_fail else "1 transformations failed",)]
+
+
 def test_commits_do_not_replace_each_other(spark, tmp_path, rows):
     store = StateStore(spark, str(tmp_path / "state"))
     store.upsert("granule", spark.createDataFrame([granule("a", size=1), granule("a", size=2)], GRANULE))

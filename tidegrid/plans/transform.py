@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.masks import apply_masks
@@ -138,7 +139,7 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     src_id or row and col, next to the variables), ``sources`` the source cells (src_id, lon, lat and, for
     a dataset by hemisphere, hemi), ``grids`` the target cells with grid and grid_type. Records cover the
     whole grid. A combination without cells in the input fails; a missing field is an empty record with a
-    warning.
+    warning. A grid whose mapping cannot be made fails with the reason, and the others go on.
     """
     spark = store.spark
     ready = materialize(ready, f"{staging}/ready")
@@ -148,18 +149,41 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     obs = obs.drop("ds", "date", "hemi").join(checked_broadcast(todo), "filename")
     present = obs.select("filename").distinct()
     spacing = float(config.data_res or 1.0) * METRES_PER_DEGREE
-    out, marks = None, {}
+    out, marks, broken = None, {}, []
     for grid in [r.grid for r in ready.select("grid").distinct().orderBy("grid").collect()]:
         target = grids.filter(F.col("grid") == grid)
         for hemi in [r.hemi for r in todo.select("hemi").distinct().orderBy("hemi").collect()]:
             own = sources.filter(F.col("hemi") == hemi) if hemi and "hemi" in sources.columns else sources
             key = (config.ds, grid, hemi, config.t_version)
-            mapping = ensure_mapping(spark, mapping_path, key, target, own, spacing)
-            marks[mapping_mark(*key)] = fingerprint(target, own, spacing)
+            try:
+                mapping = ensure_mapping(spark, mapping_path, key, target, own, spacing)
+                marks[mapping_mark(*key)] = fingerprint(target, own, spacing)
+            except (ValueError, PySparkException) as e:
+                broken.append((grid, hemi, f"mapping of the grid failed: {type(e).__name__}: {next(iter(str(e).splitlines()), '')[:200]}"))
+                continue
             values = regrid_dataset(obs.filter(F.col("hemi") == hemi), mapping, config, grid)
             out = values if out is None else out.unionByName(values)
-    if out is None:
+    if out is None and not broken:
         return ready.select("id", *planning.TX_KEY).withColumn("success", F.lit(True))
+    # a row per failed grid and hemisphere
+    failed = spark.createDataFrame(broken, "grid string, hemi string, failure string")
+    ready = ready.withColumn("hemi", F.coalesce("hemi", F.lit(""))).join(F.broadcast(failed), ["grid", "hemi"], "left")
+    results = ready.select("id", *planning.TX_KEY, F.lit(False).alias("success"), F.col("failure").alias("message")).filter("message IS NOT NULL")
+    ready = ready.filter(F.col("failure").isNull())
+    if out is not None:
+        done = _write_regridded(spark, ready, present, obs, out, grids, names, records_path, staging)
+        results = results.unionByName(state.failure_fanout(ready.select("id", *planning.TX_KEY), done, default="no cells of this granule in the input"))
+    folder = F.concat(F.lit(records_path.rstrip("/") + "/ds="), "ds", F.lit("/grid="), "grid", F.lit("/field="), "field")
+    results = materialize(results.withColumns({
+        "output_name": transformed_name("grid", "field", "filename"), "output_path": folder,
+        "checksum": F.lit(None).cast("string")}), f"{staging}/results")
+    finish(store, results, now, F.lit(config.t_version), marks)
+    return results
+
+
+def _write_regridded(spark: SparkSession, ready: DataFrame, present: DataFrame, obs: DataFrame, out: DataFrame, grids: DataFrame,
+                     names: Sequence[str], records_path: str, staging: str) -> DataFrame:
+    """Write the records of the combinations that have cells; returns what was done for each of these."""
     wanted = ready.select("ds", "filename", "grid", "field").distinct()
     values = materialize(out.join(checked_broadcast(wanted), ["ds", "filename", "grid", "field"], "left_semi"), f"{staging}/values")
     windows = ["time_start", "time", "time_end", "units"]
@@ -172,16 +196,9 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
     # what was regridded is staged; the written records are not read again
     stats = records.select(*heads).join(record_stats(values, heads), heads, "left")
     absent = [n for n in names if n not in obs.columns]
-    done = ready.join(present, "filename", "left_semi").join(stats, heads).select(
+    return ready.join(present, "filename", "left_semi").join(stats, heads).select(
         *heads, F.lit(True).alias("success"),
         F.when(F.col("field").isin(absent), F.concat(F.lit("Field '"), "field", F.lit("' missing from source data"))).otherwise("").alias("message"))
-    results = state.failure_fanout(ready.select("id", *planning.TX_KEY), done, default="no cells of this granule in the input")
-    folder = F.concat(F.lit(records_path.rstrip("/") + "/ds="), "ds", F.lit("/grid="), "grid", F.lit("/field="), "field")
-    results = materialize(results.withColumns({
-        "output_name": transformed_name("grid", "field", "filename"), "output_path": folder,
-        "checksum": F.lit(None).cast("string")}), f"{staging}/results")
-    finish(store, results, now, F.lit(config.t_version), marks)
-    return results
 
 
 def finish(store: StateStore, results: DataFrame, now: Column, version: Column, marks: Mapping[str, str] | None = None) -> None:
