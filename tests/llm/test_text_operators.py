@@ -10,6 +10,7 @@ import pytest
 from conftest_llm import folded, prose, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidegrid.llm import chunks, decontaminate, jaccard, langid, mixture, substrings, tokencount, tokenfiles
 from tidegrid.session import shared_dir
@@ -280,6 +281,21 @@ def test_apportion_is_highest_quotients(spark):
         assert {i: got[g, i] for i in range(12)} == {i: won[i] for i in range(12)}
 
 
+def test_groups_of_blocks_are_bounded(spark, monkeypatch):
+    """A tile of many classes that are all apart: blocks count once for each pair they are in."""
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 64)
+    n, limit = 3000, 1 << 18
+    tiles = spark.range(n).select(F.lit(7).cast("long").alias("sig"), F.col("id").alias("f"))
+    bitmaps = tiles.select("f", F.lit(500).cast("long").alias("n"), F.lit(b"x" * 128).alias("bits"))
+    labels = spark.createDataFrame([], "node long, root long")
+    members = jaccard.unresolved_members(tiles, labels, bitmaps, limit)
+    sizes = [r.b for r in members.groupBy("group").agg(F.sum(F.octet_length("bits") + 64).alias("b")).collect()]
+    assert max(sizes) <= 2 * limit and len(sizes) > 20
+    pairs = members.select("i", "j").distinct().count()
+    blocks = -(-n // 64)
+    assert pairs == blocks * (blocks + 1) // 2
+
+
 def test_language_sample(corpus):
     """Languages take turns, a text counts once, the rarest language is learned, and partitions do not matter."""
     rows = [(i, f"the common words {i % 2000}" if i % 3 else "one text a third of the rows hold", "en", None) for i in range(6000)]

@@ -35,7 +35,7 @@ SALTS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x510E527FA
 BAND_RATIO = 1.5
 LEAST_BITS = 1024  # of a bitmap; a larger set has two bits for each element at least
 TILE_ROWS = 1024
-GROUP_BYTES = 16 << 20  # of bitmaps and ids that are compared in one call
+GROUP_BYTES = 8 << 20  # of bitmaps and ids that are compared in one call
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -255,10 +255,11 @@ def _compare(percent: int):
     return run
 
 
-def unresolved_pairs(tiles: DataFrame, labels: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of tiles' members with different labels that the bitmaps do not rule out.
+def unresolved_members(tiles: DataFrame, labels: DataFrame, bitmaps: DataFrame, group_bytes: int | None = None) -> DataFrame:
+    """Members of pairs of blocks (sig, i, j) that are still apart, dealt to groups of about ``GROUP_BYTES``.
 
-    Tiles are cut into blocks of ``TILE_ROWS`` by label; pairs of blocks of one single label are skipped.
+    Tiles are cut into blocks of ``TILE_ROWS`` by label; pairs of blocks of one single label are skipped. A
+    block is in a group once for each of its pairs, and counts as often.
     """
     rows = tiles.join(labels.withColumnRenamed("node", "f"), "f", "left").withColumn("label", F.coalesce("root", "f")).drop("root")
     mixed = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("sig")
@@ -269,9 +270,15 @@ def unresolved_pairs(tiles: DataFrame, labels: DataFrame, bitmaps: DataFrame, pe
     blocks = parts.withColumnRenamed("part", "i").join(second, "sig").filter("i <= j AND NOT (lo = hi AND lo2 = hi2 AND lo = lo2)").select("sig", "i", "j")
     sides = blocks.withColumn("part", F.explode(F.array_distinct(F.array("i", "j"))))
     members = rows.join(sides, ["sig", "part"]).join(bitmaps, "f")
-    size = rows.join(bitmaps, "f").select(F.sum(F.octet_length("bits") + 64)).first()[0] or 0
-    groups = max(1, -(-size // GROUP_BYTES))
-    members = members.withColumn("group", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(groups)))
+    held = rows.join(bitmaps, "f").groupBy("sig", "part").agg(F.sum(F.octet_length("bits") + 64).alias("bytes"))
+    size = sides.join(held, ["sig", "part"]).select(F.sum("bytes")).first()[0] or 0
+    groups = max(1, -(-size // (group_bytes or GROUP_BYTES)))
+    return members.withColumn("group", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(groups)))
+
+
+def unresolved_pairs(tiles: DataFrame, labels: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of tiles' members with different labels that the bitmaps do not rule out."""
+    members = unresolved_members(tiles, labels, bitmaps)
     return members.groupBy("group").applyInPandas(_compare(percent), "a long, b long").distinct()
 
 
