@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tidegrid import sizing
 from tidegrid.functions.geo import SPHERE_RADIUS_M as R
 from tidegrid.functions.masks import UnknownFunction
 from tidegrid.operators import mapping, regrid
@@ -196,3 +197,25 @@ def test_crowd_of_many_packs(spark, monkeypatch):
     assert pairs.count() <= 70 * 10 * 20
     assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
     check(spark, targets, sources, 1.0, 10)
+
+
+def test_salts_do_not_multiply_a_large_mapping(spark, tmp_path):
+    """A mapping that is larger than the observations is joined once, not once for each sub-key."""
+    spark.range(200_000).selectExpr("id AS cell_id", "id % 10 AS src_id", "rand(1) AS dist_m", "'radius' AS kind").write.parquet(str(tmp_path / "m"))
+    spark.range(10).selectExpr("id AS src_id", "'f' AS field", "double(id) AS value").write.parquet(str(tmp_path / "o"))
+    m, obs = spark.read.parquet(str(tmp_path / "m")), spark.read.parquet(str(tmp_path / "o"))
+    assert sizing.affordable_salts(obs, m) == 1
+    assert sizing.affordable_salts(m, obs) == sizing.salts_for(m)
+    out = regrid.regrid(obs, m, ["field"], "mean", broadcast_limit=-1)
+    assert out.filter("value = cell_id % 10").count() == 200_000
+
+
+def test_every_pair_is_moved_once(spark, tmp_path, monkeypatch):
+    """A mapping without a limit is ranked and written: pairs are not stored in between or sorted again for the file."""
+    stored = []
+    keep = mapping.materialize
+    monkeypatch.setattr(mapping, "materialize", lambda df, path: stored.append(df.columns) or keep(df, path))
+    t, s = frames(spark, [(0, 0.0, 0.0, 1000.0), (1, 9.0, 9.0, 1.0)], [(0, 0.0, 0.0), (1, 0.0, 0.001), (2, 9.0, 9.001)])
+    got = mapping.ensure_mapping(spark, str(tmp_path / "m"), ("D", "g", "", 1.0), t, s, 1000.0)
+    assert sorted((r.cell_id, r.src_id, r.kind) for r in got.collect()) == [(0, 0, "radius"), (0, 1, "radius"), (1, 2, "nearest")]
+    assert not any({"src_id", "dist_m"} <= set(columns) for columns in stored)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.masks import UnknownFunction
 from tidegrid.operators.median import HELD, bounded_median
 from tidegrid.session import shared_dir
-from tidegrid.sizing import BROADCAST_LIMIT_BYTES, materialize, shuffle_width, spread_join
+from tidegrid.sizing import BROADCAST_LIMIT_BYTES, affordable_salts, materialize, shuffle_width, spread_join
 
 Reducer = Callable[[str, list[str]], Column]
 
@@ -62,7 +62,8 @@ def regrid(
 
     The mapping is broadcast when its size is checked to fit, and each task then folds its own
     records before anything is shuffled. A larger mapping is joined on ``src_id``, salted by record
-    so that a source cell with very many records does not land in one task. ``ties`` orders several
+    so that a source cell with very many records does not land in one task; the salts repeat the mapping,
+    so there are only as many as keep that within the size of the observations. ``ties`` orders several
     observations of one source cell in one record for the ``nearest`` operation. ``bounded`` is for
     medians over more values of a cell than a task may hold (see ``crowded``): the joined values are
     stored and large groups searched.
@@ -70,10 +71,9 @@ def regrid(
     reduce = reducer(operation)
     used = mapping if allow_nearest else mapping.filter(F.col("kind") == "radius")
     used = used.select("src_id", "cell_id", "dist_m")
+    seen = obs.select(*keys, "src_id", value, *ties)
     joined = spread_join(
-        obs.select(*keys, "src_id", value, *ties), used, ["src_id"], salt_from=list(keys),
-        limit=broadcast_limit,
-    )
+        seen, used, ["src_id"], salt_from=list(keys), salts=affordable_salts(seen, used), limit=broadcast_limit)
     if bounded and operation in MEDIANS:
         joined = materialize(joined.select(*keys, "cell_id", value), shared_dir(obs.sparkSession, "median-values"))
         return bounded_median(joined, [*keys, "cell_id"], value, strict=MEDIANS[operation])

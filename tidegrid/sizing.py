@@ -53,6 +53,15 @@ def salts_for(df: DataFrame) -> int:
     return widest if size is None else max(1, min(widest, -(-size // BYTES_PER_SALT)))
 
 
+def affordable_salts(big: DataFrame, small: DataFrame) -> int:
+    """Sub-keys for ``big`` whose repeats of ``small`` stay within the size of ``big``.
+
+    Where ``small`` turns out to be the larger side it is not repeated; a hot key is then split at run time.
+    """
+    size, repeated = plan_bytes(big), plan_bytes(small)
+    return salts_for(big) if not size or not repeated else max(1, min(salts_for(big), size // repeated))
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
