@@ -64,14 +64,22 @@ def regrid(
     records before anything is shuffled. A larger mapping is joined on ``src_id``, salted by record
     so that a source cell with very many records does not land in one task; the salts repeat the mapping,
     so there are only as many as keep that within the size of the observations. ``ties`` orders several
-    observations of one source cell in one record for the ``nearest`` operation. ``bounded`` is for
+    observations of one source cell in one record for the ``nearest`` operation, which goes by the mapping's
+    ``rank`` (the order of ``dist_m`` and ``src_id`` within a cell) where it has one. ``bounded`` is for
     medians over more values of a cell than a task may hold (see ``crowded``): the joined values are
     stored and large groups searched.
     """
     reduce = reducer(operation)
     used = mapping if allow_nearest else mapping.filter(F.col("kind") == "radius")
-    used = used.select("src_id", "cell_id", "dist_m")
+    ranked = operation == "nearest" and "rank" in mapping.columns
+    used = used.select("src_id", "cell_id", "rank" if ranked else "dist_m")
     seen = obs.select(*keys, "src_id", value, *ties)
+    if ranked:
+        # one value per source first, so that rank alone orders a cell's values: numbers of fixed width, which
+        # are folded by hash as the joined rows come, where a struct would have all of them sorted
+        if ties:
+            seen = seen.groupBy(*keys, "src_id").agg(F.min_by(value, F.struct(*ties)).alias(value))
+        ties, reduce = (), lambda v, _: F.min_by(v, "rank")
     joined = spread_join(
         seen, used, ["src_id"], salt_from=list(keys), salts=affordable_salts(seen, used), limit=broadcast_limit)
     if bounded and operation in MEDIANS:
