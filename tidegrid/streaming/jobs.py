@@ -35,7 +35,7 @@ def follow_listing(listing: DataFrame, store: StateStore, checkpoint: str) -> St
 
     def batch(rows: DataFrame, _: int) -> None:
         latest = harvest.latest_per_key(rows, ["ds", "filename"], ["mod_time", "url"])
-        datasets = [r.ds for r in latest.select("ds").distinct().collect()]  # a row per dataset of the batch
+        datasets = [r.ds for r in rows.select("ds").distinct().collect()]  # a row per dataset of the batch
         known = store.read("granule", datasets=datasets).withColumn("download_time", F.coalesce("download_time", "mod_time"))
         fresh = planning.needs_harvest(latest, known.withColumn(
             "success", F.coalesce(F.col("success"), F.lit(True))))
