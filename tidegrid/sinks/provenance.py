@@ -47,13 +47,16 @@ def member_counts(lines: DataFrame) -> DataFrame:
 
 
 def write_provenance(lines: DataFrame, path: str, stored: DataFrame | None = None) -> None:
-    """Write the lines of products that have none yet, one folder per product."""
-    new = lines if stored is None else lines.join(stored.select(*AGG_KEY).distinct(), AGG_KEY, "left_anti")
+    """Write the lines of products that have none yet, one folder per product; text files are gzipped, as lines repeat themselves."""
+    new = lines
+    if stored is not None:  # a row per product, stored for its size: lines meet it where they are
+        known = materialize(stored.select(*AGG_KEY).distinct(), shared_dir(lines.sparkSession, "known-products"))
+        new = spread_join(lines, known, list(AGG_KEY), salt_from=["json"], how="left_anti")
     named = new.withColumn("name", provenance_name("ds", "field", "grid", "year"))
     (
         named.hint("rebalance", "name").sortWithinPartitions("name", "line_no")
         .select(*AGG_KEY, F.col("json").alias("value"))
-        .write.mode("append").partitionBy(*AGG_KEY).text(path)
+        .write.mode("append").partitionBy(*AGG_KEY).option("compression", "gzip").text(path)
     )
 
 

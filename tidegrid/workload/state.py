@@ -13,6 +13,7 @@ from tidegrid.schemas import AGGREGATION, DOCUMENT_FIELDS, GRANULE, GRID, TRANSF
 from tidegrid.session import shared_dir
 from tidegrid.sinks import provenance
 from tidegrid.sinks.store import StateStore
+from tidegrid.sizing import materialize
 from tidegrid.sources import files as src_files
 from tidegrid.sources import state as src
 from tidegrid.workload.registry import Views, query, ts_text
@@ -364,7 +365,10 @@ def provenance_content(v: Views):
 def provenance_files(v: Views):
     """Provenance written as text and read back; products that have it are not written again."""
     path = shared_dir(v.spark, "provenance")
-    lines = provenance.provenance_lines(_members(v), v.agg, v.config.select("ds", "variable"))
+    # both writes read the same members and products: these are joined and grouped once
+    held = materialize(_members(v), shared_dir(v.spark, "members"))
+    agg = materialize(v.agg, shared_dir(v.spark, "aggregations"))
+    lines = provenance.provenance_lines(held, agg, v.config.select("ds", "variable"))
     provenance.write_provenance(lines, path)
     provenance.write_provenance(lines, path, v.spark.read.text(path))
     return v.spark.read.text(path).groupBy("ds").agg(F.count(F.lit(1)).alias("n"))
