@@ -402,12 +402,13 @@ def maintenance_job(v: Views):
     Grid A is registered and unchanged, N has another file now, R is new.
     """
     store = StateStore(v.spark, shared_dir(v.spark, "state"))
-    grids = v.tx.select("grid").distinct()
-    found = grids.select("grid", F.lit("llc").alias("grid_type"), F.concat(F.lit("/g/"), "grid").alias("path"), F.when(F.col("grid") == "N", "new").otherwise("old").alias("checksum"))
     load = store.transaction()
     load.replace("granule", src.with_defaults(v.granule, GRANULE))
     load.replace("transformation", src.with_defaults(v.tx, TRANSFORMATION))
     load.replace("aggregation", src.with_defaults(v.agg, AGGREGATION))
+    # from the stored rows and once: the grids are asked for by several steps
+    grids = materialize(load.read("transformation").select("grid").distinct(), shared_dir(v.spark, "grids"))
+    found = grids.select("grid", F.lit("llc").alias("grid_type"), F.concat(F.lit("/g/"), "grid").alias("path"), F.when(F.col("grid") == "N", "new").otherwise("old").alias("checksum"))
     load.replace("grid", src.with_defaults(found.filter("grid <> 'R'").withColumns({"checksum": F.lit("old"), "id": F.col("grid"), "added": F.lit("2000-01-01").cast("timestamp")}), GRID))
     load.mark(maintenance.mapping_mark("DS1", "A", "", 1.0), "f")
     load.mark(maintenance.mapping_mark("DS1", "N", "", 1.0), "f")
