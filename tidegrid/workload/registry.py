@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.session import configure, shared_dir
+from tidegrid.sizing import plan_bytes
+
+# Stored bytes of a table that one task of ``Views.spread`` takes; rows in memory are about ten times as large.
+SPREAD_BYTES = 16 * 1024 * 1024
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -67,8 +71,12 @@ class Views:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Spread a single-row-group table over all cores; a stated number keeps it from being merged back."""
-        return df.repartition(self.spark.sparkContext.defaultParallelism, key)
+        """Spread a single-row-group table over all cores; a stated number keeps it from being merged back.
+
+        The number grows with the table, so that what a task sorts does not.
+        """
+        size = plan_bytes(df) or 0
+        return df.repartition(max(self.spark.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES)), key)
 
     @cached_property
     def events(self) -> DataFrame:
