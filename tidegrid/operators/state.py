@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import text
 from tidegrid.operators.planning import TX_KEY, _true
-from tidegrid.sizing import bounded_broadcast, spread_join
+from tidegrid.session import shared_dir
+from tidegrid.sizing import bounded_broadcast, materialize, spread_join
 
 IN_PROGRESS_MESSAGE = "Transformation in progress (or interrupted before completion)"
 
@@ -183,8 +184,13 @@ def changed_grids(grids: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def cascade(dependents: DataFrame, changed: DataFrame) -> DataFrame:
-    """Dependent state rows that survive a change of grids."""
-    return dependents.join(bounded_broadcast(changed.select("grid").distinct()), "grid", "left_anti")
+    """Dependent state rows that survive a change of grids.
+
+    The changed grids are stored first, so the join knows their size: an estimate from the tables that they
+    come from would have the dependents sorted by grid, all rows of a grid in one task.
+    """
+    names = materialize(changed.select("grid").distinct(), shared_dir(changed.sparkSession, "changed-grids"))
+    return spread_join(dependents, names, ["grid"], salt_from=dependents.columns, how="left_anti")
 
 
 def register_grids(grids: DataFrame, found: DataFrame, added: Column) -> DataFrame:
