@@ -43,7 +43,7 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[
     """
     if "gap_dates" in df.columns:
         weight = F.when(F.col("gap_dates").isNull(), F.lit(1)).otherwise(F.size("gap_dates") * F.size("gap_cells"))
-        rows = spread_by_rows(df, partitions, weight, [F.coalesce("date", F.col("gap_dates")[0]), F.coalesce("cell_id", F.col("gap_cells")[0])])
+        rows = spread_by_rows(df, partitions, weight, [F.coalesce("date", F.get("gap_dates", F.lit(0))), F.coalesce("cell_id", F.get("gap_cells", F.lit(0)))])
     else:
         rows = df.hint("rebalance", *partitions)
     (
