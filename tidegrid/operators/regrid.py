@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.functions.masks import UnknownFunction
+from tidegrid.operators.mapping import Packs, meet, near_positions
 from tidegrid.operators.median import HELD, bounded_median
 from tidegrid.session import shared_dir
 from tidegrid.sizing import BROADCAST_LIMIT_BYTES, affordable_salts, materialize, shuffle_width, spread_join
@@ -35,6 +40,11 @@ OPERATIONS: dict[str, Reducer] = {
 DEFAULT_OPERATION = "mean"
 # Whether a missing member voids the median.
 MEDIANS = {"median": True, "nanmedian": False}
+# Whether a missing member voids the mean.
+MEANS = {"mean": True, "nanmean": False}
+# Values of a pack of sources that are folded with one search; records that are folded at once.
+SHEET = 1 << 14
+RECORDS_AT_ONCE = 64
 
 
 def reducer(operation: str) -> Reducer:
@@ -49,7 +59,7 @@ BLOCK = 1024
 
 def regrid(
     obs: DataFrame,
-    mapping: DataFrame,
+    mapping: DataFrame | Packs,
     keys: Sequence[str],
     operation: str = DEFAULT_OPERATION,
     allow_nearest: bool = True,
@@ -60,7 +70,8 @@ def regrid(
 ) -> DataFrame:
     """Value per (record keys, target cell).
 
-    The mapping is broadcast when its size is checked to fit, and each task then folds its own
+    Means over a mapping in packs are folded pack by pack, so that pairs are neither joined nor moved; other
+    operations take its pairs. A mapping of pairs is broadcast when its size is checked to fit, and each task then folds its own
     records before anything is shuffled. A larger mapping is joined on ``src_id``, salted by record
     so that a source cell with very many records does not land in one task; the salts repeat the mapping,
     so there are only as many as keep that within the size of the observations. ``ties`` orders several
@@ -70,6 +81,12 @@ def regrid(
     stored and large groups searched.
     """
     reduce = reducer(operation)
+    if isinstance(mapping, Packs):
+        if operation in MEANS and isinstance(obs.schema[value].dataType, (T.FractionalType, T.IntegralType)) and not isinstance(obs.schema[value].dataType, T.DecimalType):
+            out = _mean_over_packs(obs, mapping, keys, value, MEANS[operation], broadcast_limit)
+            rest = regrid(obs, mapping.nearest, keys, operation, value=value, broadcast_limit=broadcast_limit)
+            return out.unionByName(rest) if allow_nearest else out
+        mapping = mapping.pairs()
     used = mapping if allow_nearest else mapping.filter(F.col("kind") == "radius")
     ranked = operation == "nearest" and "rank" in mapping.columns
     used = used.select("src_id", "cell_id", "rank" if ranked else "dist_m")
@@ -88,8 +105,86 @@ def regrid(
     return joined.groupBy(*keys, "cell_id").agg(reduce(value, list(ties)).alias(value))
 
 
-def crowded(mapping: DataFrame, held: int = HELD) -> bool:
+def _sheets(seen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Placed values in rows (zone, box of the pack, records) of about ``SHEET`` values of one pack.
+
+    ``seen`` has (zone, pack, place, x, y, z, total, n, m) per record and source, so a record has at most
+    a pack's positions in a row.
+    """
+    ends = [f(c).alias(f"{e}{c}") for e, f in (("lo", F.min), ("hi", F.max)) for c in "xyz"]
+    cells = F.collect_list(F.struct("place", "x", "y", "z", "total", "n", "m")).alias("cells")
+    records = seen.repartition(shuffle_width(seen), "zone").groupBy("zone", "pack", *keys).agg(cells, *ends)
+    before = Window.partitionBy("zone", "pack").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    records = records.withColumn("run", F.floor(F.coalesce(F.sum(F.size("cells")).over(before), F.lit(0)) / SHEET))
+    ends = [f(f"{e}{c}").alias(f"{e}{c}") for e, f in (("lo", F.min), ("hi", F.max)) for c in "xyz"]
+    return records.groupBy("zone", "pack", "run").agg(F.collect_list(F.struct(F.struct(*keys).alias("k"), "cells")).alias("records"), *ends)
+
+
+def _fold(t: pa.StructArray, records: pa.StructArray) -> Iterator[pa.RecordBatch]:
+    """Sum and counts of a sheet's values for each of its records and each target that they are within reach of."""
+    lists, flat = records.field("cells"), records.field("cells").flatten()
+    rec = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    cell = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+    _, first, col = np.unique(cell["place"], return_index=True, return_inverse=True)
+    # a product with zero keeps numbers apart only if they are finite: others are counted by kind
+    total, kinds = cell["total"], [cell["n"], cell["m"]]
+    odd = not np.isfinite(total).all()
+    if odd:
+        kinds += [np.isnan(total), total == np.inf, total == -np.inf]
+        total = np.where(np.isfinite(total), total, 0.0)
+    columns = [total, *kinds]
+    for low, high, target, source, _ in near_positions(t, {c: cell[c][first] for c in "xyz"}):
+        linked = np.zeros((high - low, len(first)))
+        linked[target - low, source] = 1.0
+        for r in range(0, len(lists), RECORDS_AT_ONCE):
+            own = (rec >= r) & (rec < r + RECORDS_AT_ONCE)
+            used, at = np.unique(col[own], return_inverse=True)
+            held = np.zeros((len(columns), len(used), min(RECORDS_AT_ONCE, len(lists) - r)))
+            for k, c in enumerate(columns):
+                held[k, at, rec[own] - r] = c[own]
+            near = linked[:, used]
+            sums = [near @ h for h in held]
+            cells, found = np.nonzero(sums[2])
+            out = [s[cells, found] for s in sums]
+            if odd:
+                nan, up, down = (x > 0 for x in out[3:])
+                out[0] = np.select([nan | (up & down), up, down], [np.nan, np.inf, -np.inf], out[0])
+            yield pa.RecordBatch.from_arrays(
+                [records.field("k").take(pa.array(found + r)), t.field("cell_id").take(pa.array(cells + low)), pa.array(out[0]),
+                 pa.array(np.rint(out[1]).astype(np.int64)), pa.array(np.rint(out[2]).astype(np.int64))], ["k", "cell_id", "total", "n", "m"])
+
+
+def _fold_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield from _fold(batch.column(0)[i].values, batch.column(1)[i].values)
+
+
+def _mean_over_packs(obs: DataFrame, packs: Packs, keys: Sequence[str], value: str, strict: bool, broadcast_limit: int) -> DataFrame:
+    """Mean per (record keys, target cell) of the sources in its radius.
+
+    Observations are reduced to a sum and counts for each record and source and sent to the source's zone,
+    where packs meet the targets in reach of them. What is shuffled after that is a row for each record,
+    target and task, so nothing that is moved grows with the pairs.
+    """
+    v = F.col(value).cast("double")
+    seen = obs.groupBy(*keys, "src_id").agg(F.coalesce(F.sum(v), F.lit(0.0)).alias("total"), F.count(v).alias("n"), F.count(F.lit(1)).alias("m"))
+    placed = packs.placed()
+    # rows in memory are several times as large as stored positions
+    seen = spread_join(seen, placed, ["src_id"], salt_from=list(keys), salts=affordable_salts(obs, placed), limit=broadcast_limit // 4)
+    key = T.StructType([obs.schema[k] for k in keys])
+    out = T.StructType([T.StructField("k", key), T.StructField("cell_id", T.LongType()), T.StructField("total", T.DoubleType()),
+                        T.StructField("n", T.LongType()), T.StructField("m", T.LongType())])
+    folded = meet(_sheets(seen, keys), packs.targets).select("t", "records").mapInArrow(_fold_all, out)
+    sums = folded.select(*[F.col("k")[k].alias(k) for k in keys], "cell_id", "total", "n", "m").groupBy(*keys, "cell_id").agg(
+        *[F.sum(c).alias(f"__{c}") for c in ("total", "n", "m")])
+    whole = F.col("__n") == F.col("__m") if strict else F.col("__n") > 0
+    return sums.select(*keys, "cell_id", F.when(whole, F.col("__total") / F.col("__n")).alias(value))
+
+
+def crowded(mapping: DataFrame | Packs, held: int = HELD) -> bool:
     """Whether some target cell has more source cells than a task may hold values of; reads the mapping's counts only."""
+    mapping = mapping.pairs() if isinstance(mapping, Packs) else mapping
     return not mapping.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > held).isEmpty()
 
 

@@ -15,7 +15,7 @@ from tidegrid.functions.text import hemi_tag, transformed_name
 from tidegrid.functions.timebounds import record_window
 from tidegrid.functions.units import apply_post
 from tidegrid.operators import planning, state
-from tidegrid.operators.mapping import ensure_mapping, filesystem, fingerprint
+from tidegrid.operators.mapping import Packs, ensure_mapping, filesystem, fingerprint, read_packs
 from tidegrid.operators.regrid import MEDIANS, crowded, on_full_grid, record_stats, regrid
 from tidegrid.plans.maintenance import mapping_mark
 from tidegrid.schemas import DatasetConfig, FieldConfig
@@ -38,7 +38,7 @@ def _groups(fields: Sequence[FieldConfig]) -> list[tuple[tuple[str, ...], tuple[
     return [(masks, post, members) for (masks, post), members in groups.items()]
 
 
-def regrid_dataset(obs: DataFrame, mapping: DataFrame, config: DatasetConfig, grid: str,
+def regrid_dataset(obs: DataFrame, mapping: DataFrame | Packs, config: DatasetConfig, grid: str,
                    keys: Sequence[str] = RECORD_KEYS) -> DataFrame:
     """All fields of a dataset on one grid, with record windows and units.
 
@@ -156,8 +156,9 @@ def run(store: StateStore, config: DatasetConfig, ready: DataFrame, cells_path:
             own = sources.filter(F.col("hemi") == hemi) if hemi and "hemi" in sources.columns else sources
             key = (config.ds, grid, hemi, config.t_version)
             try:
-                mapping = ensure_mapping(spark, mapping_path, key, target, own, spacing)
+                ensure_mapping(spark, mapping_path, key, target, own, spacing)
                 marks[mapping_mark(*key)] = fingerprint(target, own, spacing)
+                mapping = read_packs(spark, mapping_path, *key, marks[mapping_mark(*key)])
             except (ValueError, PySparkException) as e:
                 broken.append((grid, hemi, f"mapping of the grid failed: {type(e).__name__}: {next(iter(str(e).splitlines()), '')[:200]}"))
                 continue

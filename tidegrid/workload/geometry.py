@@ -256,7 +256,7 @@ def _regrid_sql(value: str, extra: str = "") -> str:
 
 
 def _regrid(v: Views, op: str, **kw):
-    out = regrid.regrid(v.obs, v.mapping, ["field"], op, ties=["event_id"], **kw)
+    out = regrid.regrid(v.obs, v.packs, ["field"], op, ties=["event_id"], **kw)
     return out.withColumn("value", F.round("value", 8))
 
 
@@ -323,7 +323,7 @@ def regrid_full_grid(v: Views):
     """Every target cell of every record."""
     grid = F.lit("suppliers").alias("grid")
     records = v.obs.select("field").distinct().select("field", grid)
-    out = regrid.on_full_grid(regrid.regrid(v.obs, v.mapping, ["field"], "nanmean"), v.tgt.select("cell_id", grid), records, ["field"])
+    out = regrid.on_full_grid(regrid.regrid(v.obs, v.packs, ["field"], "nanmean"), v.tgt.select("cell_id", grid), records, ["field"])
     return out.select("field", "cell_id", F.round("value", 8).alias("value"))
 
 
@@ -332,7 +332,7 @@ def regrid_full_grid(v: Views):
     FROM (SELECT field, cell_id, avg(value) AS m FROM b_obs JOIN m_all USING (src_id) GROUP BY ALL) GROUP BY field"""))
 def record_minmax(v: Views):
     """Valid range of each regridded record."""
-    out = regrid.record_stats(regrid.regrid(v.obs, v.mapping, ["field"], "nanmean"), ["field"])
+    out = regrid.record_stats(regrid.regrid(v.obs, v.packs, ["field"], "nanmean"), ["field"])
     return out.drop("notes").withColumns({c: F.round(c, 8) for c in ("valid_min", "valid_max")})
 
 

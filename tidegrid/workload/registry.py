@@ -135,14 +135,19 @@ class Views:
 
     @cached_property
     def mapping(self) -> DataFrame:
+        """The stored mapping as pairs."""
+        return self.packs.pairs()
+
+    @cached_property
+    def packs(self):
         """The stored mapping, built by the first query that needs it and reused, as jobs do."""
-        from tidegrid.operators.mapping import ensure_mapping
+        from tidegrid.operators.mapping import ensure_packs
 
         run = (self.spark.sparkContext.applicationId, self.dir)
         if run not in _STORED_MAPPINGS:
             _STORED_MAPPINGS[run] = shared_dir(self.spark, "mapping")
         key = ("tables", "suppliers", "", 1.0)
-        return ensure_mapping(self.spark, _STORED_MAPPINGS[run], key, self.tgt, self.src, self.MAX_SPACING_M)
+        return ensure_packs(self.spark, _STORED_MAPPINGS[run], key, self.tgt, self.src, self.MAX_SPACING_M)
 
     @cached_property
     def granule(self) -> DataFrame:
