@@ -353,3 +353,23 @@ def test_forward_backward_is_exact():
     assert not gamma[0, 5:].any()
 
 
+
+def test_unseen_chunks_are_taken_out_together(encoder, monkeypatch):
+    """Chunks that a worker has not seen leave the buffer in one step per piece, whole and in order, with their ids."""
+    import pyarrow as pa
+
+    texts = [*ODD, None, "", "z\U0001F600 é\n　x " * 50]
+    learned = []
+    keep = chunks.Encoder._learn
+    monkeypatch.setattr(chunks.Encoder, "_learn", lambda self, new: learned.extend(new) or keep(self, new))
+    encoder.reset()
+    for c in chunks.chunked(pa.array(texts), encoder.whole):
+        cut = [c.data[a:b].tobytes().decode() for a, b in zip(c.starts, c.ends)]
+        some = np.array([len(cut) - 1, 0, 2])
+        assert c.texts(some) == [cut[i] for i in some] and c.texts(np.arange(len(cut))) == cut
+        ids, lengths = encoder.expand(encoder.entries(c))
+        at = np.concatenate([[0], np.cumsum(lengths)])[c.bounds]
+        for i, (lo, hi) in enumerate(zip(at[:-1], at[1:])):
+            assert ids[lo:hi].tolist() == encoder.encode([texts[c.first + i] or ""])[0]
+        assert set(cut) <= set(learned) and len(learned) == len(set(learned))
+

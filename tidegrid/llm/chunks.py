@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,8 +81,11 @@ class Chunks:
     bounds: np.ndarray
     hashes: np.ndarray
 
-    def text(self, i: int) -> str:
-        return self.data[self.starts[i] : self.ends[i]].tobytes().decode("utf-8")
+    def texts(self, which: np.ndarray) -> list[str]:
+        """The chunks at ``which``, taken out of the buffer together."""
+        offsets = pa.py_buffer(np.append(self.starts, len(self.data)).astype(np.int64))
+        whole = pa.Array.from_buffers(pa.large_string(), len(self.starts), [None, offsets, pa.py_buffer(self.data)])
+        return whole.take(pa.array(which)).to_pylist()
 
 
 def chunked(column: pa.Array, whole: tuple[bytes, ...] | None):
@@ -159,7 +163,7 @@ class Encoder:
             new, first = np.unique(hashes[missing], return_index=True)
             where = missing[first] if which is None else which[missing[first]]
             for lo in range(0, len(new), 4096):
-                self._learn([chunks.text(i) for i in where[lo : lo + 4096]])
+                self._learn(chunks.texts(where[lo : lo + 4096]))
             self.known.add(new, np.arange(self.size - len(new), self.size, dtype=np.int32))
             found[missing] = self.known.find(hashes[missing])
         return found
@@ -171,7 +175,7 @@ class Encoder:
             self.lengths, self.at = np.concatenate([self.lengths] * 2), np.concatenate([self.at] * 2)
         self.lengths[self.size : self.size + len(ids)] = lengths
         if self.ids:
-            flat = np.fromiter((x for one in ids for x in one), np.uint32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
             while self.used + len(flat) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
             self.pool[self.used : self.used + len(flat)] = flat
