@@ -373,3 +373,22 @@ def test_unseen_chunks_are_taken_out_together(encoder, monkeypatch):
             assert ids[lo:hi].tolist() == encoder.encode([texts[c.first + i] or ""])[0]
         assert set(cut) <= set(learned) and len(learned) == len(set(learned))
 
+
+def test_words_take_little_memory():
+    """A worker holds a few times a small piece of the texts while it finds words, however many there are; pieces change nothing."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidegrid.llm import textops
+
+    column = pa.array(["some words of a text that is cut " * 30] * 4000)
+    tracemalloc.start()
+    try:
+        found = [p.hashes for p in textops.word_pieces(column, textops.NOT_SPACE, True)]
+        held = sum(h.nbytes for h in found)
+        assert tracemalloc.get_traced_memory()[1] - held < 20 << 20
+    finally:
+        tracemalloc.stop()
+    whole = [p.hashes for p in textops.word_pieces(column, textops.NOT_SPACE, True, 1 << 30)]
+    assert len(found) > 8 and len(whole) == 1 and (np.concatenate(found) == whole[0]).all()

@@ -20,6 +20,8 @@ WORD_BASE = 0xD6E8FEB86659FD93
 MIX_A, MIX_B = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 
 PIECE_BYTES = 1 << 20
+# Of words: their arrays take about fifty bytes a byte of text, in each of the workers of an executor.
+WORD_PIECE_BYTES = 1 << 18
 
 _byte = np.arange(256)
 # Bytes of words [^\x20\x09-\x0D]+
@@ -146,7 +148,7 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_pieces(column: pa.Array, word_bytes: np.ndarray, lower: bool, limit: int = PIECE_BYTES) -> Iterator[Words]:
+def word_pieces(column: pa.Array, word_bytes: np.ndarray, lower: bool, limit: int = WORD_PIECE_BYTES) -> Iterator[Words]:
     """The words of a text column, piece by piece."""
     data, offsets = buffers(column)
     for first, last in pieces(offsets, limit):

@@ -18,8 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Only the partitions a job produced are replaced, never the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Long texts: a batch for a Python worker is bounded by bytes, well below its share of memory.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    # Long texts: a batch for a Python worker is bounded by bytes, well below its share of memory. Both the
+    # executor and the worker hold it, and the executor keeps its buffers.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
