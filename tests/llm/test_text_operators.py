@@ -374,6 +374,29 @@ def test_unseen_chunks_are_taken_out_together(encoder, monkeypatch):
         assert set(cut) <= set(learned) and len(learned) == len(set(learned))
 
 
+def longest_run(table):
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], table.keys != 0, [0]]).astype(int)))
+    return int((edges[1::2] - edges[::2]).max())
+
+
+@pytest.mark.parametrize("chosen", ["smallest of eight", "range", "any"])
+def test_chosen_keys_do_not_crowd(chosen):
+    rng = np.random.default_rng(7)
+    keys = rng.integers(1, 1 << 64, (6000, 8), dtype=np.uint64)
+    keys = np.unique({"smallest of eight": keys.min(axis=1), "range": keys[:, 0] >> np.uint64(5), "any": keys[:, 0]}[chosen])
+    table = chunks.HashTable()
+    table.add(keys[::2], np.arange(len(keys[::2]), dtype=np.int32))
+    assert longest_run(table) < 64
+    assert (table.find(keys[::2]) == np.arange(len(keys[::2]))).all() and (table.find(keys[1::2]) == -1).all()
+
+
+def test_windows_are_looked_up_without_crowding():
+    rng = random.Random(3)
+    items = [(str(i), " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for i in range(200)]
+    index = decontaminate.prefix_index(decontaminate.cut_windows(items, 10), {})  # all shingles equally rare
+    assert index.table.count > 1000 and longest_run(index.table) < 64
+
+
 def test_words_take_little_memory():
     """A worker holds a few times a small piece of the texts while it finds words, however many there are; pieces change nothing."""
     import tracemalloc

@@ -17,7 +17,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from tidegrid.llm.textops import buffers, hash_spans, kept, pieces, release
+from tidegrid.llm.textops import BYTE_BASE, buffers, hash_spans, kept, pieces, release
 
 _byte = np.arange(256)
 # Lead bytes C2, E1, E2 and E3 also begin white space outside ASCII, so no cut is made before them.
@@ -27,14 +27,18 @@ POOL_IDS = 1 << 22
 
 
 class HashTable:
-    """Open addressing from 64-bit hashes to small integers, looked up many at a time."""
+    """Open addressing from 64-bit hashes to small integers, looked up many at a time.
+
+    Keys may have been chosen by their value (the smallest of some, those of a range), so their first bits
+    alone would crowd them into few slots and every lookup there would walk past the others.
+    """
 
     def __init__(self, bits: int = 12):
         self.bits, self.count = bits, 0
         self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (keys * np.uint64(BYTE_BASE) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Value of each key, or -1."""
