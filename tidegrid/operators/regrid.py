@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidegrid.functions.masks import UnknownFunction
 from tidegrid.operators.mapping import Packs, meet, near_positions
 from tidegrid.operators.median import HELD, bounded_median
+from tidegrid.operators.packmedian import median_over_packs
 from tidegrid.session import shared_dir
 from tidegrid.sizing import BROADCAST_LIMIT_BYTES, affordable_salts, materialize, shuffle_width, spread_join
 
@@ -70,8 +71,8 @@ def regrid(
 ) -> DataFrame:
     """Value per (record keys, target cell).
 
-    Means over a mapping in packs are folded pack by pack, so that pairs are neither joined nor moved; other
-    operations take its pairs. A mapping of pairs is broadcast when its size is checked to fit, and each task then folds its own
+    Means and medians over a mapping in packs are taken pack by pack, so that pairs are neither joined nor moved;
+    other operations, and medians that are ``bounded``, take its pairs. A mapping of pairs is broadcast when its size is checked to fit, and each task then folds its own
     records before anything is shuffled. A larger mapping is joined on ``src_id``, salted by record
     so that a source cell with very many records does not land in one task; the salts repeat the mapping,
     so there are only as many as keep that within the size of the observations. ``ties`` orders several
@@ -82,7 +83,10 @@ def regrid(
     """
     reduce = reducer(operation)
     if isinstance(mapping, Packs):
-        if operation in MEANS and isinstance(obs.schema[value].dataType, (T.FractionalType, T.IntegralType)) and not isinstance(obs.schema[value].dataType, T.DecimalType):
+        plain = isinstance(obs.schema[value].dataType, (T.FractionalType, T.IntegralType)) and not isinstance(obs.schema[value].dataType, T.DecimalType)
+        if operation in MEDIANS and plain and not bounded:
+            return _medians(obs, mapping, keys, operation, allow_nearest, value, broadcast_limit)
+        if operation in MEANS and plain:
             out = _mean_over_packs(obs, mapping, keys, value, MEANS[operation], broadcast_limit)
             rest = regrid(obs, mapping.nearest, keys, operation, value=value, broadcast_limit=broadcast_limit)
             return out.unionByName(rest) if allow_nearest else out
@@ -182,6 +186,24 @@ def _mean_over_packs(obs: DataFrame, packs: Packs, keys: Sequence[str], value: s
     return sums.select(*keys, "cell_id", F.when(whole, F.col("__total") / F.col("__n")).alias(value))
 
 
+def _medians(obs: DataFrame, packs: Packs, keys: Sequence[str], operation: str, allow_nearest: bool, value: str, broadcast_limit: int) -> DataFrame:
+    """Median per (record keys, target cell), fallback included.
+
+    Cells that come at several positions, or without an id, take the pairs, as their values have to be put together.
+    """
+    cells = materialize(packs.cells(), shared_dir(obs.sparkSession, "cells"))
+    several = cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("cell_id").isNull()).select("cell_id")
+    rest, out = packs.nearest, None
+    if not several.isEmpty():
+        other = several.select(F.col("cell_id").alias("__cell"))
+        apart = F.col("cell_id").eqNullSafe(F.col("__cell"))
+        cells, rest = cells.join(other, apart, "left_anti"), rest.join(other, apart, "left_anti")
+        out = regrid(obs, packs.only(several).pairs(), keys, operation, allow_nearest, value, broadcast_limit=broadcast_limit)
+    found = median_over_packs(obs, packs, cells, keys, value, MEDIANS[operation], broadcast_limit)
+    out = found if out is None else out.unionByName(found)
+    return out.unionByName(regrid(obs, rest, keys, operation, value=value, broadcast_limit=broadcast_limit)) if allow_nearest else out
+
+
 def crowded(mapping: DataFrame | Packs, held: int = HELD) -> bool:
     """Whether some target cell has more source cells than a task may hold values of; reads the mapping's counts only."""
     mapping = mapping.pairs() if isinstance(mapping, Packs) else mapping
